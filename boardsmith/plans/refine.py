@@ -273,3 +273,63 @@ def validate_refined_q(spark, sf_dir):
     """Every refined row with its contract violation (null = valid)."""
     a = aligned_text(spark, sf_dir)
     return a.select(F.col("post_id").alias("id"), R.validation_reason().alias("reject_reason"))
+
+
+# ---- H5: JSON replies (20-row batches) ------------------------------------------------------
+def json_post():
+    lang, n, src = F.col("lang"), F.col("n_chars"), F.col("source")
+    comments = (
+        F.when(lang == "de", F.array().cast("array<string>"))
+        .when(lang == "es", F.array(F.lit("없음")))
+        .otherwise(F.array(src, lang))
+    )
+    n_kw = F.when(n < 300, F.lit(2)).when(n > 8000, F.lit(6)).otherwise(F.lit(3))
+    keywords = F.slice(F.array(src, lang, F.lit("k1"), F.lit("k2"), F.lit("k3"), F.lit("k4")), F.lit(1), n_kw)
+    tendency = (
+        F.when((lang == "fr") & (n < 300), F.lit(None).cast("string"))
+        .when((lang == "fr") & (n > 5000), F.lit("정보성"))
+        .when(lang.isin("en", "de"), F.lit("경험성"))
+        .otherwise(F.lit("질문성"))
+    )
+    return F.struct(F.regexp_replace("text", "\n", " ").alias("content"), comments.alias("comments"), keywords.alias("keywords"), tendency.alias("tendency"))
+
+
+def json_replies(spark, sf_dir):
+    num = numbered_input(spark, sf_dir, JSON_BATCH)
+    g = num.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("row_idx", json_post().alias("p")))).alias("_ps"))
+    b = F.col("batch_id")
+    body = F.to_json(F.struct(F.transform("_ps", lambda x: x["p"]).alias("posts")))
+    resp = F.when(b % 5 == 3, F.concat(F.lit("not json: "), b.cast("string"))).when(b % 7 == 6, F.lit(None).cast("string")).otherwise(body)
+    return g.select("batch_id", resp.alias("response"))
+
+
+JSON_REPLIES_SQL = f"""
+{RIN_SQL},
+jp AS (SELECT row_idx // {JSON_BATCH} AS batch_id, row_idx,
+              {{'content': replace(text, chr(10), ' '),
+                'comments': CASE WHEN lang = 'de' THEN []::VARCHAR[] WHEN lang = 'es' THEN ['없음'] ELSE [source, lang] END,
+                'keywords': list_slice([source, lang, 'k1', 'k2', 'k3', 'k4'], 1, CASE WHEN n_chars < 300 THEN 2 WHEN n_chars > 8000 THEN 6 ELSE 3 END),
+                'tendency': CASE WHEN lang = 'fr' AND n_chars < 300 THEN NULL WHEN lang = 'fr' AND n_chars > 5000 THEN '정보성'
+                                 WHEN lang IN ('en', 'de') THEN '경험성' ELSE '질문성' END}} AS p
+       FROM rin),
+jreplies AS (SELECT batch_id,
+                    CASE WHEN batch_id % 5 = 3 THEN 'not json: ' || CAST(batch_id AS VARCHAR) WHEN batch_id % 7 = 6 THEN NULL
+                         ELSE CAST(to_json({{'posts': list(p ORDER BY row_idx)}}) AS VARCHAR) END AS response
+             FROM jp GROUP BY batch_id),
+jdec AS (SELECT batch_id, from_json(response, '{{"posts":[{{"content":"VARCHAR","comments":["VARCHAR"],"keywords":["VARCHAR"],"tendency":"VARCHAR"}}]}}') AS j
+         FROM jreplies WHERE response IS NOT NULL AND response <> '' AND json_valid(response)),
+jparsed AS (SELECT batch_id, unnest(j.posts) AS p, generate_subscripts(j.posts, 1) - 1 AS entry_no FROM jdec),
+jlast AS (SELECT batch_id * {JSON_BATCH} + entry_no AS row_idx, arg_max(p, batch_id) AS p FROM jparsed GROUP BY 1)
+"""
+
+
+@register("parse_json_reply", oracle=f"""
+WITH {JSON_REPLIES_SQL}
+SELECT r.post_id AS id, l.p.content AS content, array_to_string(l.p.comments, '; ') AS comments,
+       array_to_string(l.p.keywords, '; ') AS keywords, l.p.tendency AS tendency, r.views, r.date_text AS date
+FROM jlast l JOIN rin r ON r.row_idx = l.row_idx
+""")
+def parse_json_reply_q(spark, sf_dir):
+    """H5 + C1 + W2: JSON replies decoded (malformed -> no rows), aligned by position."""
+    parsed = R.parse_json_replies(json_replies(spark, sf_dir), JSON_BATCH)
+    return R.to_refined_rows(R.align(parsed, numbered_input(spark, sf_dir, JSON_BATCH)))

@@ -64,3 +64,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table, e.g. ``table(spark, '/root/testdata/sf0.01', 'documents')``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+
+    Reliable (not local) checkpoint, so a lost executor re-reads the files instead of
+    recomputing the upstream plan.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
