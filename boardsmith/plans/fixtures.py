@@ -62,3 +62,10 @@ raw_posts AS (
 # SQL spelling of the Python whitespace strip used by the Spark side (ASCII set suffices for the tables).
 def sql_strip(x: str) -> str:
     return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def sql_normalize(x: str) -> str:
+    """SQL spelling of H1 (normalize_text)."""
+    s = sql_strip(f"regexp_replace({x}, '\\s+', ' ', 'g')")
+    s = f"replace(replace(replace(regexp_replace({s}, '. ,', '', 'g'), '..', '.'), '. .', '.'), chr(10), '')"
+    return sql_strip(s)
