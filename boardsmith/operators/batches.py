@@ -1,47 +1,65 @@
 """Global numbering (W1), batch ranges (D4), prompt building (D3).
 
-W1 at scale: a window ``row_number() over (order by key)`` moves every row into one
-task.  Instead the input is range-partitioned on the key and sorted inside partitions;
-``monotonically_increasing_id`` then encodes (partition, position).  Per-partition counts
-are one row per partition, their running sum gives each partition's offset, and that
-offsets table (bounded by the partition count, not the data) is broadcast back.  The key
-must be unique so the order, and any recomputation after an executor loss, is stable.
+W1 at scale: ``row_number() over (order by key)`` moves every row into one task, and
+range repartitioning is not reproducible (Spark re-samples imbalanced inputs with a seed
+taken from the RDD id, so two evaluations of one plan can cut at different bounds).
+Instead: quantile bounds of the key are computed once (n-1 values, n = bucket count, a
+bounded list) and turned into a balanced comparison tree, so a row's bucket is a pure
+function of its key.  Per-bucket counts (one row per bucket) give running offsets that
+are broadcast back; inside a bucket ``row_number`` orders by the key.  Any recomputation,
+e.g. after an executor is lost, yields the same numbers.  The key must be unique.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from boardsmith.functions.util import ordered_concat
 
-_LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | position
-
-
-def with_row_index(df: DataFrame, order_cols: list[str] | str, out: str = "row_idx", num_partitions: int | None = None) -> DataFrame:
-    """Add a dense 0-based position in ``order_cols`` order, without a single-partition window."""
-    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(n, *order_cols)
-        .sortWithinPartitions(*order_cols)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_mid", _LOCAL_BITS))
-        .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
-    )
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+MAX_BUCKETS = 1024
+QUANTILE_ACCURACY = 10_000
+
+
+def _bucket_tree(key: Column, bounds: list, lo: int, hi: int) -> Column:
+    """Bucket index in [lo, hi] = number of bounds strictly below ``key`` (bounds sorted)."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(key <= F.lit(bounds[mid]), _bucket_tree(key, bounds, lo, mid)).otherwise(_bucket_tree(key, bounds, mid + 1, hi))
+
+
+def key_buckets(df: DataFrame, key: str, n: int) -> Column:
+    """Order-preserving bucket of ``key`` from approximate quantiles (computed once, on ``n - 1`` points)."""
+    if n <= 1 or not isinstance(df.schema[key].dataType, T.NumericType):
+        return F.lit(0)
+    qs = [i / n for i in range(1, n)]
+    row = df.select(F.percentile_approx(F.col(key), qs, QUANTILE_ACCURACY).alias("q")).first()
+    bounds = sorted({b for b in (row["q"] or []) if b is not None})
+    if not bounds:
+        return F.lit(0)
+    return _bucket_tree(F.col(key), bounds, 0, len(bounds))
+
+
+def with_row_index(df: DataFrame, order_col: str, out: str = "row_idx", num_buckets: int | None = None) -> DataFrame:
+    """Add a dense 0-based position in ``order_col`` order, without a one-partition window."""
+    n = num_buckets or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+    b = df.withColumn("_bucket", key_buckets(df, order_col, n))
+    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_bucket", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_bucket").orderBy(F.col(order_col).asc())
     return (
-        ranged.join(F.broadcast(offsets), "_part")
-        .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
-        .drop("_mid", "_part", "_local", "_off")
+        b.join(F.broadcast(offsets), "_bucket")
+        .withColumn(out, (F.col("_off") + F.row_number().over(inside) - 1).cast("bigint"))
+        .drop("_bucket", "_off")
     )
 
 
-def with_batches(df: DataFrame, order_cols, size: int, row_col: str = "row_idx", batch_col: str = "batch_id") -> DataFrame:
+def with_batches(df: DataFrame, order_col: str, size: int, row_col: str = "row_idx", batch_col: str = "batch_id") -> DataFrame:
     """Global position plus ``batch_id = position div size``."""
-    numbered = with_row_index(df, order_cols, row_col)
+    numbered = with_row_index(df, order_col, row_col)
     return numbered.withColumn(batch_col, F.floor(F.col(row_col) / F.lit(size)).cast("bigint"))
 
 
