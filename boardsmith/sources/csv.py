@@ -35,7 +35,8 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     """A1/A2: quoted CSV with header; a UTF-8 BOM before the header is dropped by the reader.
 
     With ``schema`` the columns are typed by position; without it the header names are
-    kept and every column is a string.
+    kept and every column is a string.  An empty field reads as null (as a pandas re-read
+    of the reference's files gives NaN).
     """
     r = _reader(spark, null_value)
     return r.schema(schema).csv(path) if schema is not None else r.csv(path)

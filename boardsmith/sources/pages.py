@@ -25,7 +25,7 @@ def scan_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt == "html":
-        return spark.read.option("wholetext", True).text(path).select(
+        return spark.read.text(path, wholetext=True).select(
             F.input_file_name().alias("url"), F.col("value").alias("html")
         )
     raise ValueError(f"unknown page format {fmt}")
