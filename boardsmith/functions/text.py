@@ -19,9 +19,13 @@ NONE_MARKER = "없음"
 LIST_SEP = "; "
 
 
+# The same set as plain characters, for ``trim(BOTH <set> FROM s)`` (no regex needed).
+WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def py_strip(c) -> Column:
     """``str.strip()``: remove leading/trailing whitespace of the full Unicode set."""
-    return F.regexp_replace(as_col(c), f"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    return F.trim(as_col(c), F.lit(WS_CHARS))
 
 
 def normalize_text(c) -> Column:
@@ -85,7 +89,7 @@ TOKEN_PATTERN = r"[A-Za-z]+|[0-9]{1,3}|[^\sA-Za-z0-9]"
 
 def token_estimate(c) -> Column:
     """B11 helper: estimated token count of a text (an estimate, not the cl100k count)."""
-    return F.size(F.regexp_extract_all(F.coalesce(as_col(c), F.lit("")), F.lit(TOKEN_PATTERN), 0)).cast("bigint")
+    return F.regexp_count(F.coalesce(as_col(c), F.lit("")), F.lit(TOKEN_PATTERN)).cast("bigint")
 
 
 def _regex_literal(sep: str) -> str:

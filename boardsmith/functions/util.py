@@ -16,3 +16,11 @@ def sql_str(s: str) -> str:
 def ordered_concat(value: str, order_by: str, sep: str = "") -> Column:
     """``listagg(value, sep) WITHIN GROUP (ORDER BY order_by)`` over named columns."""
     return F.expr(f"listagg(`{value}`, {sql_str(sep)}) WITHIN GROUP (ORDER BY {order_by})")
+
+
+def with_columns_where(df, exprs: dict, predicate):
+    """Add computed columns and keep rows where ``predicate(struct)`` holds, computing each
+    expression once.  (``withColumn(...).where(...)`` lets the optimizer copy the expression
+    into the filter and evaluate it twice; a one-element array through ``inline`` does not.)"""
+    s = F.struct(*[e.alias(k) for k, e in exprs.items()])
+    return df.select(*[F.col(c) for c in df.columns], F.inline(F.filter(F.array(s), predicate)))

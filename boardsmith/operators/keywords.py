@@ -5,9 +5,10 @@ the top-k tokens by tf-idf, a deterministic stand-in (not the model's choice).
 
 Scale notes: term and document frequencies are hash aggregates with map-side partial
 aggregation, so a token found in every document costs one partial row per task, not one
-row per occurrence.  Document frequencies are joined back broadcast only when the
-vocabulary is under ``max_broadcast_vocab`` (counted first); above it the join is a shuffle
-join and AQE's skew-join split handles hot tokens.
+row per occurrence.  The document-frequency table is joined back by AQE's runtime choice:
+it is broadcast only when its measured size is under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise it stays a shuffle join in
+which AQE's skew split handles hot tokens (a token in every document).
 """
 
 from __future__ import annotations
@@ -22,16 +23,13 @@ KEYWORD_TOKEN = "[a-z]{3,}"
 # Default stop list (function words that never make a useful keyword).
 STOP_WORDS = ("the", "and", "for", "that", "with", "this", "are", "was", "from", "have", "not", "but", "you", "all", "its")
 
-MAX_BROADCAST_VOCAB = 2_000_000
-
-
 def tokens(df: DataFrame, id_col: str, text_col: str, pattern: str = KEYWORD_TOKEN) -> DataFrame:
     """(id, token) for every match in the lower-cased whole text."""
     return df.select(F.col(id_col).alias("doc_id"), F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(pattern), 0)).alias("token"))
 
 
 def top_keywords(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, stop: DataFrame | None = None,
-                 digits: int = 6, max_broadcast_vocab: int = MAX_BROADCAST_VOCAB) -> DataFrame:
+                 digits: int = 6) -> DataFrame:
     """(doc_id, rank, keyword, score); score = tf * ln(N / df), ties by keyword."""
     spark = docs.sparkSession
     if stop is None:
@@ -39,11 +37,9 @@ def top_keywords(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     toks = tokens(docs, id_col, text_col).join(F.broadcast(stop.select("token")), "token", "left_anti")
     tf = toks.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"))
     dfreq = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = docs.count()
-    vocab = dfreq.count() if max_broadcast_vocab else None
-    dside = F.broadcast(dfreq) if vocab is not None and vocab <= max_broadcast_vocab else dfreq
+    n_docs = docs.select(F.col(id_col)).count()
     score = F.round(F.col("tf").cast("double") * F.log(F.lit(float(n_docs)) / F.col("df").cast("double")), digits)
-    scored = tf.join(dside, "token").select("doc_id", "token", score.alias("score"))
+    scored = tf.join(dfreq, "token").select("doc_id", "token", score.alias("score"))
     w = Window.partitionBy("doc_id").orderBy(F.col("score").desc(), F.col("token").asc())
     return (
         scored.withColumn("rank", F.row_number().over(w))

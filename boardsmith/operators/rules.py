@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardsmith.functions.text import NONE_MARKER, WS_CLASS, py_strip, token_estimate
-from boardsmith.functions.util import as_col, ordered_concat
+from boardsmith.functions.util import as_col, ordered_concat, with_columns_where
 
 MAX_INLINE_LEXICON = 10_000
 
@@ -121,5 +121,5 @@ TOKEN_LIMIT = 8192
 
 
 def cap_tokens(df: DataFrame, text_col: str, limit: int = TOKEN_LIMIT, out: str = "n_tokens") -> DataFrame:
-    """Keep rows whose estimated token count is strictly below ``limit``."""
-    return df.withColumn(out, token_estimate(F.col(text_col))).where(F.col(out) < limit)
+    """Keep rows whose estimated token count is strictly below ``limit`` (count computed once)."""
+    return with_columns_where(df, {out: token_estimate(F.col(text_col))}, lambda r: r[out] < limit)

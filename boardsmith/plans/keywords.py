@@ -28,7 +28,7 @@ def refined(spark, sf_dir):
         F.col("doc_id").alias("id"),
         F.when(F.col("lang") == "fr", F.concat("keywords", F.lit(";"))).otherwise(F.col("keywords")).alias("keywords"),
     )
-    return materialize(r)
+    return materialize(r, "refined_keywords")
 
 
 TOP_SQL = f"""
@@ -120,7 +120,7 @@ def build_categories_q(spark, sf_dir):
 def keyword_category_join_q(spark, sf_dir):
     """Post keywords matched to category keywords (broadcast of the bounded category table)."""
     r = refined(spark, sf_dir)
-    return C.keyword_categories(r, materialize(C.build_categories(r, N_CATEGORIES, PER_CATEGORY)))
+    return C.keyword_categories(r, materialize(C.build_categories(r, N_CATEGORIES, PER_CATEGORY), "categories"))
 
 
 @register("assign_categories", oracle=f"""
@@ -134,5 +134,5 @@ FROM refined r LEFT JOIN picks p ON p.post_id = r.id
 def assign_categories_q(spark, sf_dir):
     """Every refined post once, with its primary and secondary category (``''`` when none)."""
     r = refined(spark, sf_dir)
-    cats = materialize(C.build_categories(r, N_CATEGORIES, PER_CATEGORY))
+    cats = materialize(C.build_categories(r, N_CATEGORIES, PER_CATEGORY), "categories")
     return C.assign_categories(r, cats).select("id", "keywords", "primary_category", "secondary_category")

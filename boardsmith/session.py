@@ -61,16 +61,35 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread an under-partitioned scan over the cluster's cores.
+
+    A few large files (or one row group) give fewer scan tasks than cores, and every
+    row-local text step after the scan would run on that handful of tasks.  Only in that
+    case the rows are hash-partitioned on ``key`` (the first column by default;
+    deterministic, so a retried task sees the same rows).  A scan that is already split
+    at least ``defaultParallelism`` ways - the normal case on a large table - is returned
+    untouched, so no shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, df[key or df.columns[0]])
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
     """One driver table, e.g. ``table(spark, '/root/testdata/sf0.01', 'documents')``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
-    Reliable (not local) checkpoint, so a lost executor re-reads the files instead of
-    recomputing the upstream plan.
+    One computation (``Dataset.checkpoint`` would compute an unpersisted plan twice: once for
+    its action, once to write), and a lost executor re-reads files instead of recomputing
+    the upstream plan.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
