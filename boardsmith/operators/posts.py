@@ -142,3 +142,21 @@ __all__ = [
     "newest_first", "head", "union_pages", "posts_with_comments", "frontier", "id_bounds", "crawl_frontier",
     "missing_ids", "to_refined", "relative_date",
 ]
+
+
+COMMENT_CHUNK = 1000
+
+
+def comments_json(comments: DataFrame, post_col: str = "post_id", pos_col: str = "pos", date_col: str = "comment_date",
+                  text_col: str = "comment_text", chunk_size: int = COMMENT_CHUNK) -> DataFrame:
+    """H6: a post's comments as JSON arrays of ``{comment_date, comment_text}`` in position
+    order, non-ASCII kept.  One array per ``chunk_size`` positions (``chunk = pos div
+    chunk_size``), so a post with a third of all comments still spreads over bounded groups;
+    a post with fewer comments than ``chunk_size`` gets exactly one array.
+    """
+    chunk = F.floor(F.col(pos_col) / F.lit(chunk_size)).cast("bigint")
+    item = F.struct(F.col(pos_col).alias("p"), F.col(date_col).alias("comment_date"), F.col(text_col).alias("comment_text"))
+    arr = F.transform(F.array_sort(F.collect_list(item)), lambda x: F.struct(x["comment_date"].alias("comment_date"), x["comment_text"].alias("comment_text")))
+    return comments.groupBy(F.col(post_col).alias(post_col), chunk.alias("chunk")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_comments"), F.to_json(arr).alias("comments_json")
+    )

@@ -79,17 +79,17 @@ def join_list_q(spark, sf_dir):
 
 
 # ---- H6 -------------------------------------------------------------------------------------
-@register("to_json_comments", oracle="""
-SELECT conv_id, CAST(count(*) AS BIGINT) AS n_comments,
-       CAST(to_json(list({'comment_date': '2025-01-01 00:0' || CAST(turn AS VARCHAR), 'comment_text': text} ORDER BY turn)) AS VARCHAR) AS comments_json
-FROM conversations WHERE turn >= 1 GROUP BY conv_id
+@register("to_json_comments", oracle=f"""
+SELECT conv_id, CAST(turn // {P.COMMENT_CHUNK} AS BIGINT) AS chunk, CAST(count(*) AS BIGINT) AS n_comments,
+       CAST(to_json(list({{'comment_date': '2025-01-01 00:0' || CAST(turn AS VARCHAR), 'comment_text': text}} ORDER BY turn)) AS VARCHAR) AS comments_json
+FROM conversations WHERE turn >= 1 GROUP BY conv_id, turn // {P.COMMENT_CHUNK}
 """)
 def to_json_comments_q(spark, sf_dir):
     """H6: a post's comments (turns >= 1) as a JSON array of ``{comment_date, comment_text}``, non-ASCII kept."""
-    c = table(spark, sf_dir, "conversations").where(F.col("turn") >= 1)
-    item = F.struct("turn", F.concat(F.lit("2025-01-01 00:0"), F.col("turn").cast("string")).alias("comment_date"), F.col("text").alias("comment_text"))
-    arr = F.transform(F.array_sort(F.collect_list(item)), lambda x: F.struct(x["comment_date"].alias("comment_date"), x["comment_text"].alias("comment_text")))
-    return c.groupBy("conv_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_comments"), F.to_json(arr).alias("comments_json"))
+    c = table(spark, sf_dir, "conversations").where(F.col("turn") >= 1).select(
+        "conv_id", "turn", F.concat(F.lit("2025-01-01 00:0"), F.col("turn").cast("string")).alias("comment_date"), F.col("text").alias("comment_text")
+    )
+    return P.comments_json(c, "conv_id", "turn")
 
 
 # ---- H8 -------------------------------------------------------------------------------------

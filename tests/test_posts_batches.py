@@ -78,3 +78,13 @@ def test_prompts(spark):
     p = {r.batch_id: r.prompt for r in B.build_prompts(B.with_batches(df, "post_id", 2)).collect()}
     assert p[0] == "1. Title: t1, Contents: c1, Comments: ['a']\n2. Title: nan, Contents: c2, Comments: nan\n"
     assert p[1] == "3. Title: t3, Contents: c3, Comments: []\n"
+
+
+def test_comments_json_chunks(spark):
+    rows = [(1, p, f"d{p}", f"c{p}") for p in range(2500)] + [(2, 0, "d", 'é "q"')]
+    df = spark.createDataFrame(rows, "post_id bigint, pos bigint, comment_date string, comment_text string")
+    out = {(r.post_id, r.chunk): r for r in P.comments_json(df).collect()}
+    assert sorted(out) == [(1, 0), (1, 1), (1, 2), (2, 0)]
+    assert [out[(1, c)].n_comments for c in range(3)] == [1000, 1000, 500]
+    assert out[(2, 0)].comments_json == '[{"comment_date":"d","comment_text":"é \\"q\\""}]'
+    assert out[(1, 1)].comments_json.startswith('[{"comment_date":"d1000"')
