@@ -18,6 +18,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardsmith.functions.text import split_list
+from boardsmith.session import broadcast_if_small
+
+# A caller's category table is broadcast only up to this many (category, keyword) rows.
+MAX_BROADCAST_CATEGORY_KEYWORDS = 1_000_000
 
 # How a built category describes itself.
 DESCRIPTION = "Posts about %s and related topics (%d posts)"
@@ -59,7 +63,9 @@ def build_categories(refined: DataFrame, n: int = 10, per: int = 9, id_col: str
 def keyword_categories(refined: DataFrame, categories: DataFrame, id_col: str = "id", col: str = "keywords") -> DataFrame:
     """(post_id, keyword, ord, category) for every keyword found in a category (many-to-many)."""
     ck = categories.select("ord", F.col("name").alias("category"), F.explode("related_keywords").alias("keyword"))
-    return post_keywords(refined, id_col, col).join(F.broadcast(ck), "keyword").select("post_id", "keyword", "ord", "category")
+    return post_keywords(refined, id_col, col).join(broadcast_if_small(ck, MAX_BROADCAST_CATEGORY_KEYWORDS), "keyword").select(
+        "post_id", "keyword", "ord", "category"
+    )
 
 
 def assign_categories(refined: DataFrame, categories: DataFrame, id_col: str = "id", col: str = "keywords") -> DataFrame:

@@ -17,12 +17,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardsmith.functions.text import py_strip, split_list
+from boardsmith.session import broadcast_if_small
 
 # Token pattern for keyword candidates (lower-cased letters, 3 or more).
 KEYWORD_TOKEN = "[a-z]{3,}"
 # Default stop list (function words that never make a useful keyword).
 STOP_WORDS = ("the", "and", "for", "that", "with", "this", "are", "was", "from", "have", "not", "but", "you", "all", "its")
 
+# A caller's stop list is broadcast only up to this many rows.
+MAX_BROADCAST_STOP = 1_000_000
+
+
 def tokens(df: DataFrame, id_col: str, text_col: str, pattern: str = KEYWORD_TOKEN) -> DataFrame:
     """(id, token) for every match in the lower-cased whole text."""
     return df.select(F.col(id_col).alias("doc_id"), F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(pattern), 0)).alias("token"))
@@ -33,8 +38,10 @@ def top_keywords(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, rank, keyword, score); score = tf * ln(N / df), ties by keyword."""
     spark = docs.sparkSession
     if stop is None:
-        stop = spark.createDataFrame([(w,) for w in STOP_WORDS], "token string")
-    toks = tokens(docs, id_col, text_col).join(F.broadcast(stop.select("token")), "token", "left_anti")
+        stop_side = F.broadcast(spark.createDataFrame([(w,) for w in STOP_WORDS], "token string"))
+    else:
+        stop_side = broadcast_if_small(stop.select("token"), MAX_BROADCAST_STOP)
+    toks = tokens(docs, id_col, text_col).join(stop_side, "token", "left_anti")
     tf = toks.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"))
     dfreq = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     n_docs = docs.select(F.col(id_col)).count()

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from boardsmith.functions.text import NONE_MARKER, WS_CLASS, py_strip, token_estimate
 from boardsmith.functions.util import as_col, ordered_concat, with_columns_where
+from boardsmith.session import broadcast_if_small
 
 MAX_INLINE_LEXICON = 10_000
+MAX_BROADCAST_LEXICON = 1_000_000
 
 # Whole-reply rules of the refine instructions - agreement phrases become one
 # phrase, bare yes/no answers are dropped.
@@ -65,7 +67,7 @@ def replace_words(df: DataFrame, text_col: str, lexicon: DataFrame, out: str = "
     if not id_cols:
         raise ValueError("a lexicon above the inline bound needs id_cols to regroup words")
     words = df.select(*id_cols, F.posexplode(F.split(F.col(text_col), " ")).alias("_pos", "_w"))
-    lex = F.broadcast(lexicon.select(F.col(key).alias("_k"), F.col(value).alias("_v")))
+    lex = broadcast_if_small(lexicon.select(F.col(key).alias("_k"), F.col(value).alias("_v")), MAX_BROADCAST_LEXICON)
     rep = words.join(lex, F.lower(F.col("_w")) == F.col("_k"), "left").withColumn("_o", F.coalesce("_v", "_w"))
     joined = rep.groupBy(*id_cols).agg(ordered_concat("_o", "_pos", " ").alias(out))
     return df.join(joined, id_cols, "left")

@@ -93,3 +93,12 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows (checked with a bounded
+    ``limit(max_rows + 1).count()``); otherwise leave the join strategy to AQE's runtime
+    size check, which falls back to a shuffle join with skew splitting."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
