@@ -172,9 +172,10 @@ def align(parsed: DataFrame, numbered_posts: DataFrame, row_col: str = "row_idx"
     return latest.join(numbered_posts.select(*keep), row_col, "inner")
 
 
-def to_refined_rows(aligned: DataFrame, id_col: str = "post_id", views: str = "views", date: str = "date_text") -> DataFrame:
-    """Id, content, comments, keywords (``'; '``-joined), tendency, views, date."""
-    return aligned.select(
+def to_refined_rows(aligned: DataFrame, id_col: str = "post_id", views: str = "views", date: str = "date_text",
+                    keep: list[str] | None = None) -> DataFrame:
+    """Id, content, comments, keywords (``'; '``-joined), tendency, views, date (+ ``keep``)."""
+    return aligned.select(*(keep or []),
         F.col(id_col).alias("id"), "content",
         join_list("comments", LIST_SEP).alias("comments"),
         join_list("keywords", LIST_SEP).alias("keywords"),

@@ -34,8 +34,8 @@ TEXT_BATCH, JSON_BATCH = 10, 20
 
 @dataclass
 class Refined:
-    refined: DataFrame     # id, content, comments, keywords, tendency, views, date
-    rejects: DataFrame     # refined rows with a reject_reason
+    refined: DataFrame     # id, content, comments, keywords, tendency, views, date (rows missing a key dropped)
+    rejects: DataFrame     # every row breaking the reply contract: id, batch_id, reject_reason
     responses: DataFrame   # batch_id, response, error (written once)
 
 
@@ -53,9 +53,12 @@ def refine_posts(posts: DataFrame, fn: Callable[[int, str], str], mode: str = "t
         raise ValueError(f"unknown reply mode {mode}")
     aligned = R.align(parsed, numbered.select("row_idx", "post_id", "views", "date_text"))
     checked = aligned.withColumn("reject_reason", R.validation_reason())
-    refined = R.to_refined_rows(checked)
+    # Rows that only break the declared contract (tendency label, keyword count) are kept, as
+    # the reference keeps them; a row missing a key would be half-written there and is dropped.
+    kept = checked.where(F.col("reject_reason").isNull() | (F.col("reject_reason") != "missing_key"))
+    refined = R.to_refined_rows(kept)
     if out_path:
-        append_batches(R.to_refined_rows(checked).join(checked.select(F.col("post_id").alias("id"), "batch_id"), "id"), out_path)
+        append_batches(R.to_refined_rows(kept, keep=["batch_id"]), out_path)
     rejects = checked.where(F.col("reject_reason").isNotNull()).select(F.col("post_id").alias("id"), "batch_id", "reject_reason")
     return Refined(refined, rejects, responses)
 

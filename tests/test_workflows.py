@@ -49,3 +49,21 @@ def test_refine_json_mode(spark):
 
     r = W.refine_posts(_posts(spark), fn, mode="json")
     assert r.refined.count() == 200 and r.rejects.count() == 0
+
+
+def test_refine_json_rejects(spark):
+    import json
+
+    def fn(batch_id, prompt):
+        import re
+
+        n = len(re.findall(r"(?m)^[0-9]+\. Title: ", prompt))
+        posts = [{"content": f"c{i}", "comments": [], "keywords": ["a", "b", "c"], "tendency": "질문성"} for i in range(n)]
+        posts[0] = {"content": "no keys"}                      # missing keys: dropped, rejected
+        posts[1]["tendency"] = "정보성"                         # wrong label: kept, flagged
+        return json.dumps({"posts": posts})
+
+    r = W.refine_posts(_posts(spark), fn, mode="json")
+    reasons = {x.reject_reason for x in r.rejects.collect()}
+    assert reasons == {"missing_key", "bad_tendency"}
+    assert r.refined.count() == 200 - 10 and r.rejects.count() == 20
