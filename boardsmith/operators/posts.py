@@ -10,8 +10,8 @@ from boardsmith.functions.util import as_col
 
 # The missing-value marker the crawler writes, and its URL layouts.
 NA = "N/A"
-DETAIL_URL = "https://forum.example/alba-talk/experience/%d?sortType=CREATED_DATE"
-LISTING_URL = "https://forum.example/alba-talk/experience?pageIndex=%d&searchKeyword=&sortType=CREATED_DATE"
+DETAIL_URL = "https://forum.example/talk/%d?sortType=CREATED_DATE"
+LISTING_URL = "https://forum.example/talk?pageIndex=%d&sortType=CREATED_DATE"
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, str] | None = None) -> DataFrame:
