@@ -1,0 +1,36 @@
+"""H7: 3,000 random entries, Spark fold parser vs the plain-Python rule statement (one Spark job)."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from boardsmith.operators import replies as R
+from test_reply_parser import py_parse_entry
+
+PIECES = [
+    "{n}. content {w}", "{n}.content{w}", "3.3% {w}. tail", "plain {w}", "{n} no dot {w}", "- {w}", "-{w}", "  - {w}  ",
+    "댓글:", "댓글: 없음", "댓글:없음", "댓글: extra {w}", "키워드:", "키워드: x", "성향: 경험성", "성향: 질문성", "성향:{w}:{w}",
+    "성향:", "- 없음", "{n}. {w}", "", "   ", "\t{w}", "{w}. {w}",
+]
+
+
+def random_entry(rng):
+    lines = []
+    for _ in range(rng.randint(1, 12)):
+        lines.append(rng.choice(PIECES).format(n=rng.randint(0, 120), w=rng.choice(["a", "bb", "가나", "x.y", "1.2", "q q"])))
+    return "\n".join(lines)
+
+
+def test_random_entries_match_rules(spark):
+    rng = random.Random(20261202)
+    entries = [random_entry(rng) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(entries)), "i int, entry string")
+    got = df.select("i", R.parse_entry(F.col("entry")).alias("p")).collect()
+    bad = []
+    for r in got:
+        p = r["p"]
+        mine = (p["content"], list(p["comments"]), list(p["keywords"]), p["tendency"])
+        want = py_parse_entry(entries[r["i"]])
+        if mine != want:
+            bad.append((entries[r["i"]], mine, want))
+    assert not bad, bad[:3]
