@@ -36,10 +36,11 @@ def build_categories(refined: DataFrame, n: int = 10, per: int = 9, id_col: str
     """(ord, name, description, related_keywords array, n_keywords); every anchor kept."""
     pk = post_keywords(refined, id_col, col)
     freq = pk.groupBy("keyword").agg(F.count(F.lit(1)).alias("n_posts"))
-    anchors = (
-        freq.orderBy(F.col("n_posts").desc(), F.col("keyword").asc()).limit(n)
-        .withColumn("ord", F.row_number().over(Window.orderBy(F.col("n_posts").desc(), F.col("keyword").asc())))
-        .select(F.col("keyword").alias("anchor"), "ord", F.col("n_posts").alias("anchor_posts"))
+    # The n anchors are computed once (a bounded top-n) and reused by three branches as a
+    # small literal table, instead of each branch re-aggregating the whole keyword table.
+    top = freq.orderBy(F.col("n_posts").desc(), F.col("keyword").asc()).limit(n).collect()
+    anchors = refined.sparkSession.createDataFrame(
+        [(r["keyword"], i + 1, r["n_posts"]) for i, r in enumerate(top)], "anchor string, ord int, anchor_posts bigint"
     )
     anchors_b = F.broadcast(anchors)
     anchor_posts = pk.join(anchors_b, pk.keyword == anchors_b.anchor).select("post_id", "anchor", "ord")
