@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from boardsmith.functions import html as H
 from boardsmith.plans import register
 from boardsmith.plans.fixtures import BASE_TS, RELATIVE_DATE_SOURCE, sql_strip
-from boardsmith.session import table
+from boardsmith.session import spread, table
 from boardsmith.sources.pages import api_items, scan_pages
 
 ASOF = "2025-02-02"
@@ -37,7 +37,7 @@ _CLEAN_CTE = f"cleaned AS (SELECT page_id, {_CLEAN_SQL} AS h FROM pages)"
 
 
 def cleaned(spark, sf_dir):
-    return scan_pages(spark, f"{sf_dir}/pages.parquet").select("page_id", H.clean_html("html").alias("h"))
+    return spread(scan_pages(spark, f"{sf_dir}/pages.parquet")).select("page_id", H.clean_html("html").alias("h"))
 
 
 @register("scan_pages", oracle="SELECT page_id, url, CAST(length(html) AS BIGINT) AS n_chars FROM pages")
