@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from boardsmith.functions.text import TOKEN_PATTERN, normalize_text
 from boardsmith.operators import keywords as K
 from boardsmith.operators import rules as RU
-from boardsmith.operators.vectorize import text_vectors
+from boardsmith.operators.vectorize import DIMS, text_vectors
 from boardsmith.plans import register
 from boardsmith.plans.fixtures import sql_normalize, sql_strip
 from boardsmith.session import table
@@ -90,9 +90,14 @@ def token_cap_q(spark, sf_dir):
     return RU.cap_tokens(d, "content").select("doc_id", "n_tokens")
 
 
-@register("text_vectors")
+@register("text_vectors", oracle=f"""
+SELECT doc_id, CAST({DIMS} AS BIGINT) AS dims,
+       CAST(CASE WHEN regexp_matches({sql_normalize('text')}, '[\\p{{L}}\\p{{N}}]') THEN 1.0 ELSE 0.0 END AS DOUBLE) AS norm
+FROM documents
+""")
 def text_vectors_q(spark, sf_dir):
-    """U4 (rows-only): hashed tf-idf unit vectors of normalised documents; width and norm reported."""
+    """U4: hashed tf-idf unit vectors of normalised documents.  The values are not SQL-expressible (hashing);
+    the twin checks what the definition fixes: width 256 and unit norm (0 when a text has no word)."""
     d = table(spark, sf_dir, "documents").select("doc_id", normalize_text("text").alias("content"))
     v = text_vectors(d, "content")
     sq = F.aggregate(F.transform("content_vector", lambda x: x.cast("double") * x.cast("double")), F.lit(0.0), lambda a, x: a + x)
