@@ -114,12 +114,26 @@ replies AS (SELECT batch_id, CASE WHEN batch_id % 9 = 4 THEN NULL ELSE string_ag
 """
 
 _S = sql_strip
+
+
+def _parsed_sql(compact: bool) -> str:
+    if not compact:
+        return PARSED_SQL
+    return PARSED_SQL.replace(PE_STRICT, PE_COMPACT)
+
+
 _DIGIT1 = "regexp_matches(substr(line, 1, 1), '^[0-9]$')"
-PARSED_SQL = f"""
-{REPLIES_SQL},
-pe AS (SELECT batch_id, unnest(string_split(response, chr(10) || chr(10))) AS entry,
+PE_STRICT = f"""pe AS (SELECT batch_id, unnest(string_split(response, chr(10) || chr(10))) AS entry,
               generate_subscripts(string_split(response, chr(10) || chr(10)), 1) - 1 AS entry_no
+       FROM replies WHERE response IS NOT NULL AND response <> ''),"""
+PE_COMPACT = f"""pe_all AS (SELECT batch_id, unnest(string_split(response, chr(10) || chr(10))) AS entry,
+              generate_subscripts(string_split(response, chr(10) || chr(10)), 1) AS piece_no
        FROM replies WHERE response IS NOT NULL AND response <> ''),
+pe AS (SELECT batch_id, entry, row_number() OVER (PARTITION BY batch_id ORDER BY piece_no) - 1 AS entry_no
+       FROM pe_all WHERE {sql_strip('entry')} <> ''),"""
+PARSED_SQL = f"""
+{REPLIES_SQL},
+{PE_STRICT}
 pl AS (SELECT batch_id, entry_no, unnest(string_split(entry, chr(10))) AS raw, generate_subscripts(string_split(entry, chr(10)), 1) AS ln
        FROM pe WHERE {_S('entry')} <> ''),
 cls AS (SELECT batch_id, entry_no, ln, line,
@@ -333,3 +347,15 @@ def parse_json_reply_q(spark, sf_dir):
     """H5 + C1 + W2: JSON replies decoded (malformed -> no rows), aligned by position."""
     parsed = R.parse_json_replies(json_replies(spark, sf_dir), JSON_BATCH)
     return R.to_refined_rows(R.align(parsed, numbered_input(spark, sf_dir, JSON_BATCH)))
+
+
+@register("parse_text_reply_compact", oracle=f"""
+WITH {_parsed_sql(True)}
+SELECT batch_id, entry_no, row_idx, content, array_to_string(comments, '; ') AS comments, array_to_string(keywords, '; ') AS keywords, tendency
+FROM parsed
+""")
+def parse_text_reply_compact_q(spark, sf_dir):
+    """H7 (default mode): blank pieces are dropped before entries are numbered, so a blank piece no longer shifts rows."""
+    p = R.parse_text_replies(text_replies(spark, sf_dir), TEXT_BATCH, strict_position=False)
+    return p.select("batch_id", "entry_no", "row_idx", "content", F.array_join("comments", "; ").alias("comments"),
+                    F.array_join("keywords", "; ").alias("keywords"), "tendency")
