@@ -2,7 +2,8 @@
 
 File source -> event time cast to ``timestamp`` (a watermark needs it) -> watermark ->
 ``dropDuplicatesWithinWatermark(post_id)``.  State is bounded by the watermark delay: a
-post that reappears later than ``delay`` after its first sighting is kept again.
+post that reappears later than ``delay`` after its first sighting is kept again (Spark evicts the
+state at the end of a micro-batch, with the watermark of the previous one).
 """
 
 from __future__ import annotations

@@ -37,3 +37,25 @@ def test_enrich_isolates_errors(spark):
     assert len(rows) == 27
     assert rows[13].response is None and rows[13].error.startswith("EchoFailure")
     assert rows[1].response == "1 lines\nline 1\n" and rows[1].error is None
+
+
+def test_stream_ingest_state_is_bounded_by_delay(spark, tmp):
+    import datetime as dt
+    import time
+
+    landing = os.path.join(tmp, "landing")
+    schema = "post_id bigint, ts timestamp_ntz"
+    t0 = dt.datetime(2025, 1, 1)
+    batches = [
+        [(1, t0), (1, t0 + dt.timedelta(hours=1))],          # repeat within the delay: dropped
+        [(2, t0 + dt.timedelta(days=10))],                    # moves the watermark past post 1's state
+        [(3, t0 + dt.timedelta(days=20))],                    # post 1's state is evicted at the end of this batch
+        [(1, t0 + dt.timedelta(days=21))],                    # post 1 again, long after: kept again
+    ]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+        time.sleep(1.1)  # distinct modification times keep the file order
+    src = read_landed(spark, landing, schema, max_files=1)
+    run_to_table(ingest_posts(src, "post_id", "ts", "1 day"), os.path.join(tmp, "out"), os.path.join(tmp, "ck"))
+    got = sorted(r.post_id for r in spark.read.parquet(os.path.join(tmp, "out")).collect())
+    assert got == [1, 1, 2, 3]
