@@ -3,9 +3,9 @@
 W1 at scale: ``row_number() over (order by key)`` moves every row into one task, and
 range repartitioning is not reproducible (Spark re-samples imbalanced inputs with a seed
 taken from the RDD id, so two evaluations of one plan can cut at different bounds).
-Instead: quantile bounds of the key are computed once (n-1 values, n = bucket count, a
-bounded list) and turned into a balanced comparison tree, so a row's bucket is a pure
-function of its key.  Per-bucket counts (one row per bucket) give running offsets that
+Instead: quantile bounds of the key are computed once (n-1 values; n grows with the row
+count so a bucket holds about 2M rows) and a row's bucket is found by binary search over
+them, a pure function of its key.  Per-bucket counts (one row per bucket) give running offsets that
 are broadcast back; inside a bucket ``row_number`` orders by the key.  Any recomputation,
 e.g. after an executor is lost, yields the same numbers.  The key must be unique.
 """
@@ -18,33 +18,67 @@ from pyspark.sql import types as T
 
 from boardsmith.functions.util import ordered_concat
 
-MAX_BUCKETS = 1024
+MAX_BUCKETS = 65_536
+TARGET_ROWS_PER_BUCKET = 2_000_000
 QUANTILE_ACCURACY = 10_000
 
 
+TREE_MAX_BOUNDS = 512  # a compiled comparison tree is fastest, but stops compiling near 2,000 leaves
+
+
 def _bucket_tree(key: Column, bounds: list, lo: int, hi: int) -> Column:
-    """Bucket index in [lo, hi] = number of bounds strictly below ``key`` (bounds sorted)."""
+    """Bucket index in [lo, hi] = number of bounds strictly below ``key`` (balanced comparison tree)."""
     if lo == hi:
         return F.lit(lo)
     mid = (lo + hi) // 2
     return F.when(key <= F.lit(bounds[mid]), _bucket_tree(key, bounds, lo, mid)).otherwise(_bucket_tree(key, bounds, mid + 1, hi))
 
 
+def _bucket_search(key: Column, bounds: list) -> Column:
+    """Number of ``bounds`` (sorted) strictly below ``key``, by binary search: an ``aggregate``
+    fold of ceil(log2(m+1)) halving steps over one array literal, so the expression size does
+    not grow with the number of buckets (a comparison tree stops compiling near 2,000 leaves)."""
+    m = len(bounds)
+    arr = F.lit(bounds)
+    steps = max(1, m.bit_length())
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi + 1) / 2).cast("int")
+        below = F.element_at(arr, F.greatest(mid, F.lit(1))) < key
+        return F.when(lo < hi, F.struct(
+            F.when(below, mid).otherwise(lo).alias("lo"),
+            F.when(below, hi).otherwise(mid - 1).alias("hi"),
+        )).otherwise(acc)
+
+    init = F.struct(F.lit(0).alias("lo"), F.lit(m).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+
+
 def key_buckets(df: DataFrame, key: str, n: int) -> Column:
     """Order-preserving bucket of ``key`` from approximate quantiles (computed once, on ``n - 1`` points)."""
     if n <= 1 or not isinstance(df.schema[key].dataType, T.NumericType):
         return F.lit(0)
     qs = [i / n for i in range(1, n)]
-    row = df.select(F.percentile_approx(F.col(key), qs, QUANTILE_ACCURACY).alias("q")).first()
+    row = df.select(F.percentile_approx(F.col(key), qs, max(QUANTILE_ACCURACY, 4 * n)).alias("q")).first()
     bounds = sorted({b for b in (row["q"] or []) if b is not None})
     if not bounds:
         return F.lit(0)
-    return _bucket_tree(F.col(key), bounds, 0, len(bounds))
+    if len(bounds) <= TREE_MAX_BOUNDS:
+        return _bucket_tree(F.col(key), bounds, 0, len(bounds))
+    return _bucket_search(F.col(key), bounds)
+
+
+def bucket_count(df: DataFrame, target_rows: int = TARGET_ROWS_PER_BUCKET) -> int:
+    """Buckets for W1: at least the shuffle partition count, more when buckets would exceed ``target_rows``."""
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.count()
+    return int(min(MAX_BUCKETS, max(base, -(-rows // target_rows))))
 
 
 def with_row_index(df: DataFrame, order_col: str, out: str = "row_idx", num_buckets: int | None = None) -> DataFrame:
     """Add a dense 0-based position in ``order_col`` order, without a one-partition window."""
-    n = num_buckets or min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+    n = num_buckets or bucket_count(df)
     b = df.withColumn("_bucket", key_buckets(df, order_col, n))
     counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

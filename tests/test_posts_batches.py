@@ -88,3 +88,11 @@ def test_comments_json_chunks(spark):
     assert [out[(1, c)].n_comments for c in range(3)] == [1000, 1000, 500]
     assert out[(2, 0)].comments_json == '[{"comment_date":"d","comment_text":"é \\"q\\""}]'
     assert out[(1, 1)].comments_json.startswith('[{"comment_date":"d1000"')
+
+
+def test_row_index_many_buckets_binary_search(spark):
+    df = spark.range(20000).select(((F.col("id") * 7919) % 20011).alias("k"))
+    a = {r.k: r.row_idx for r in B.with_row_index(df, "k", num_buckets=8).collect()}
+    b = {r.k: r.row_idx for r in B.with_row_index(df, "k", num_buckets=3000).collect()}
+    assert a == b and sorted(a.values()) == list(range(20000))
+    assert all(a[k1] < a[k2] for k1, k2 in zip(sorted(a)[:-1], sorted(a)[1:]))
