@@ -3,8 +3,9 @@
 Plan shape: the corpus is scanned once and never shuffled before the top-k.  The query
 set is the small side; it is broadcast only after its row count is checked against
 ``max_broadcast_queries`` (a query is one vector, so bytes = rows x dims x 8).  Above the
-bound the queries are processed in broadcast-sized chunks whose results are unioned, so
-no single broadcast grows with the input.  Norms are computed once per row on each side
+bound the corpus is broadcast instead when it is the side under the bound; when neither is,
+the queries are processed in broadcast-sized chunks whose results are unioned, so no single
+broadcast grows with the input.  Norms are computed once per row on each side
 before the join; per pair only a dot product runs.  The top-k is a ``row_number`` filter,
 which Catalyst turns into a partial ``WindowGroupLimit`` before the shuffle, so only
 k rows per query and corpus partition cross the network.
@@ -27,9 +28,10 @@ def _prepare(corpus: DataFrame, queries: DataFrame, id_col: str, vec_col: str, q
     return c, q
 
 
-def _scored(c: DataFrame, q: DataFrame) -> DataFrame:
+def _scored(c: DataFrame, q: DataFrame, broadcast_corpus: bool = False) -> DataFrame:
     sim = dot("_v", "_qv") / F.nullif(F.col("_n") * F.col("_qn"), F.lit(0.0))
-    return c.join(F.broadcast(q), how="inner").select("query_id", "id", sim.alias("similarity"))
+    pairs = q.join(F.broadcast(c), how="inner") if broadcast_corpus else c.join(F.broadcast(q), how="inner")
+    return pairs.select("query_id", "id", sim.alias("similarity"))
 
 
 def similarity(
@@ -46,6 +48,8 @@ def similarity(
     n_queries = q.count()
     if n_queries <= max_broadcast_queries:
         return _scored(c, q)
+    if c.limit(max_broadcast_queries + 1).count() <= max_broadcast_queries:
+        return _scored(c, q, broadcast_corpus=True)  # many questions, small corpus: the corpus is the bounded side
     n_chunks = -(-n_queries // max_broadcast_queries)
     q = q.withColumn("_chunk", F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)))
     parts = [_scored(c, q.where(F.col("_chunk") == i).drop("_chunk")) for i in range(n_chunks)]

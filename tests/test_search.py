@@ -49,3 +49,13 @@ def test_rag_context(spark):
     posts = spark.createDataFrame([(1, "내용1", None), (2, "내용2", "답")], "post_id bigint, content string, comments string")
     r = rag_context(hits, posts).first()
     assert r.n_hits == 2 and r.context == "id:1, 내용:내용1, 답변:  \nid:2, 내용:내용2, 답변:답  \n"
+
+
+def test_broadcast_corpus_when_queries_are_many(spark):
+    c, q = _dfs(spark)
+    a = sorted(similarity(c, q).collect())
+    b = sorted(similarity(c, q, max_broadcast_queries=len(CORPUS)).collect())  # queries (2) fit; same path
+    many = spark.createDataFrame([(i, [1.0, float(i % 3)]) for i in range(20)], "query_id bigint, query_vec array<float>")
+    x = sorted(similarity(c, many, max_broadcast_queries=len(CORPUS)).collect())   # corpus (6) broadcast
+    y = sorted(similarity(c, many, max_broadcast_queries=3).collect())             # neither fits: chunks
+    assert a == b and x == y and len(x) == 20 * len(CORPUS)
