@@ -3,7 +3,6 @@
 import glob
 import os
 
-from pyspark.sql import functions as F
 
 from boardsmith.sources import categories as SC
 from boardsmith.sources import csv as SV

@@ -1,6 +1,5 @@
 """H12, H13, D8, B11, U4."""
 
-from pyspark.sql import functions as F
 
 from boardsmith.operators import rules as RU
 from boardsmith.operators import rules as rules_mod

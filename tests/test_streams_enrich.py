@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from boardsmith.operators.enrich import echo, enrich_batches
 from boardsmith.streaming.ingest import ingest_posts, read_landed, run_to_table
