@@ -43,7 +43,10 @@ def top_keywords(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         stop_side = broadcast_if_small(stop.select("token"), MAX_BROADCAST_STOP)
     toks = tokens(docs, id_col, text_col).join(stop_side, "token", "left_anti")
     tf = toks.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    # df = documents with tf > 0.  Counting through ``tf`` keeps the (doc, token) aggregate identical in
+    # both branches, so Spark reuses its shuffle and the text is tokenised once (a bare count lets the
+    # optimizer prune that branch into a different plan, which re-tokenises every document).
+    dfreq = tf.groupBy("token").agg(F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"))
     n_docs = docs.select(F.col(id_col)).count()
     score = F.round(F.col("tf").cast("double") * F.log(F.lit(float(n_docs)) / F.col("df").cast("double")), digits)
     scored = tf.join(dfreq, "token").select("doc_id", "token", score.alias("score"))
