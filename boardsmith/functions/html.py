@@ -50,9 +50,9 @@ def node_text(inner) -> Column:
 def html_text(c, tag: str, cls: str | None = None, default: str | None = DEFAULT, cleaned: bool = False) -> Column:
     """Text of the first ``tag`` (optionally with class ``cls``); ``default`` when absent."""
     h = as_col(c) if cleaned else clean_html(c)
-    pat = element_pattern(tag, cls)
-    found = F.regexp_extract(h, pat, 1)
-    return F.when(h.rlike(pat), node_text(found)).otherwise(F.lit(default))
+    # One regex pass: the whole first element (null when absent); its tags go with node_text.
+    element = F.regexp_substr(h, F.lit(element_pattern(tag, cls)))
+    return F.coalesce(node_text(element), F.lit(default))
 
 
 def html_items(c, container: str = "ul", item: str = "li", cleaned: bool = False) -> Column:
