@@ -55,13 +55,17 @@ def _bucket_search(key: Column, bounds: list) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
 
 
-def key_buckets(df: DataFrame, key: str, n: int) -> Column:
-    """Order-preserving bucket of ``key`` from approximate quantiles (computed once, on ``n - 1`` points)."""
-    if n <= 1 or not isinstance(df.schema[key].dataType, T.NumericType):
-        return F.lit(0)
+def _quantile_bounds(df: DataFrame, key: str, n: int, with_count: bool = False):
     qs = [i / n for i in range(1, n)]
-    row = df.select(F.percentile_approx(F.col(key), qs, max(QUANTILE_ACCURACY, 4 * n)).alias("q")).first()
+    aggs = [F.percentile_approx(F.col(key), qs, max(QUANTILE_ACCURACY, 4 * n)).alias("q")]
+    if with_count:
+        aggs.append(F.count(F.lit(1)).alias("rows"))
+    row = df.select(*aggs).first()
     bounds = sorted({b for b in (row["q"] or []) if b is not None})
+    return bounds, (row["rows"] if with_count else None)
+
+
+def _bucket_expr(key: str, bounds: list) -> Column:
     if not bounds:
         return F.lit(0)
     if len(bounds) <= TREE_MAX_BOUNDS:
@@ -69,17 +73,28 @@ def key_buckets(df: DataFrame, key: str, n: int) -> Column:
     return _bucket_search(F.col(key), bounds)
 
 
-def bucket_count(df: DataFrame, target_rows: int = TARGET_ROWS_PER_BUCKET) -> int:
-    """Buckets for W1: at least the shuffle partition count, more when buckets would exceed ``target_rows``."""
+def key_buckets(df: DataFrame, key: str, n: int | None = None) -> Column:
+    """Order-preserving bucket of ``key`` from approximate quantiles, computed once.
+
+    With ``n`` unset: one aggregation returns the row count and the bounds for the shuffle
+    partition count; only when buckets would then exceed ``TARGET_ROWS_PER_BUCKET`` rows is a
+    second pass run with more bounds (n = rows / target, at most ``MAX_BUCKETS``).
+    """
+    if not isinstance(df.schema[key].dataType, T.NumericType):
+        return F.lit(0)
+    if n is not None:
+        return F.lit(0) if n <= 1 else _bucket_expr(key, _quantile_bounds(df, key, n)[0])
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.count()
-    return int(min(MAX_BUCKETS, max(base, -(-rows // target_rows))))
+    bounds, rows = _quantile_bounds(df, key, max(base, 2), with_count=True)
+    wanted = min(MAX_BUCKETS, -(-(rows or 0) // TARGET_ROWS_PER_BUCKET))
+    if wanted > base:
+        bounds, _ = _quantile_bounds(df, key, wanted)
+    return _bucket_expr(key, bounds)
 
 
 def with_row_index(df: DataFrame, order_col: str, out: str = "row_idx", num_buckets: int | None = None) -> DataFrame:
     """Add a dense 0-based position in ``order_col`` order, without a one-partition window."""
-    n = num_buckets or bucket_count(df)
-    b = df.withColumn("_bucket", key_buckets(df, order_col, n))
+    b = df.withColumn("_bucket", key_buckets(df, order_col, num_buckets))
     counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bucket", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))

@@ -96,3 +96,12 @@ def test_row_index_many_buckets_binary_search(spark):
     b = {r.k: r.row_idx for r in B.with_row_index(df, "k", num_buckets=3000).collect()}
     assert a == b and sorted(a.values()) == list(range(20000))
     assert all(a[k1] < a[k2] for k1, k2 in zip(sorted(a)[:-1], sorted(a)[1:]))
+
+
+def test_row_index_bucket_count_follows_data(spark, monkeypatch):
+    monkeypatch.setattr(B, "TARGET_ROWS_PER_BUCKET", 500)   # 20,000 rows -> 40 buckets > 8 shuffle partitions
+    df = spark.range(20000).select(((F.col("id") * 7919) % 20011).alias("k"))
+    out = B.with_row_index(df, "k")
+    assert out.select(F.countDistinct("row_idx"), F.min("row_idx"), F.max("row_idx")).first() == (20000, 0, 19999)
+    b = df.select(B.key_buckets(df, "k").alias("b")).agg(F.countDistinct("b")).first()[0]
+    assert b > 30
