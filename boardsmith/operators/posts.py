@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardsmith.functions.text import py_strip, relative_date
+from boardsmith.functions.text import py_strip
 from boardsmith.functions.util import as_col
 
 # The missing-value marker the crawler writes, and its URL layouts.
@@ -48,17 +48,17 @@ def rejected(df: DataFrame, title: str = "title", contents: str = "contents", da
     return df.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
 
 
-def to_count(c) -> F.Column:
+def to_count(c) -> Column:
     """View/reply count text (``'1,234'``, ``'N/A'``) -> bigint, null when not a number."""
     return F.regexp_replace(py_strip(as_col(c)), ",", "").try_cast("bigint")
 
 
-def post_id_from_url(c) -> F.Column:
+def post_id_from_url(c) -> Column:
     """B2: last ``/`` part of the URL, cut at ``?`` and ``#``, as bigint (null if not a number)."""
     return url_tail(c).try_cast("bigint")
 
 
-def url_tail(c) -> F.Column:
+def url_tail(c) -> Column:
     tail = F.element_at(F.split(as_col(c), "/"), -1)
     return F.split_part(F.split_part(tail, F.lit("?"), F.lit(1)), F.lit("#"), F.lit(1))
 
@@ -137,13 +137,6 @@ def to_refined(df: DataFrame) -> DataFrame:
     )
 
 
-__all__ = [
-    "with_defaults", "required", "rejected", "to_count", "post_id_from_url", "url_tail", "with_url", "ok_pages",
-    "newest_first", "head", "union_pages", "posts_with_comments", "frontier", "id_bounds", "crawl_frontier",
-    "missing_ids", "to_refined", "relative_date",
-]
-
-
 COMMENT_CHUNK = 1000
 
 
