@@ -66,3 +66,22 @@ def html_count(c, tag: str, cleaned: bool = False) -> Column:
     """Number of ``tag`` start tags (outside scripts, styles and comments)."""
     h = as_col(c) if cleaned else clean_html(c)
     return F.regexp_count(h, F.lit(r"(?i)<" + tag + r"\b")).cast("bigint")
+
+
+def html_item_blocks(c, container: str = "ul", item: str = "li", cleaned: bool = False) -> Column:
+    """Inner HTML of each ``item`` inside the first ``container`` (for per-item field extraction)."""
+    h = as_col(c) if cleaned else clean_html(c)
+    inner = F.regexp_extract(h, element_pattern(container), 1)
+    return F.regexp_extract_all(inner, F.lit(element_pattern(item)), 1)
+
+
+def html_rows(df, html_col: str, container: str = "ul", item: str = "li", fields: dict | None = None,
+              keep: list[str] | None = None, cleaned: bool = False):
+    """A list page -> one row per item: (keep..., pos, text, <field>...) where each field is
+    ``name: (tag, cls)`` extracted inside that item (``'N/A'`` when the item lacks it)."""
+    keep = keep or []
+    rows = df.select(*keep, F.posexplode(html_item_blocks(F.col(html_col), container, item, cleaned)).alias("pos", "_item"))
+    out = [*keep, F.col("pos").cast("bigint").alias("pos"), node_text(F.col("_item")).alias("text")]
+    for name, (tag, cls) in (fields or {}).items():
+        out.append(html_text(F.col("_item"), tag, cls, cleaned=True).alias(name))
+    return rows.select(*out)

@@ -80,15 +80,20 @@ def html_items_q(spark, sf_dir):
     return c.select("page_id", F.size("items").cast("bigint").alias("n_items"), F.array_join("items", "; ").alias("items"))
 
 
+_A_PAT = H.element_pattern("a")
+
+
 @register("html_rows", oracle=f"""
 WITH {_CLEAN_CTE}
-SELECT page_id, CAST(generate_subscripts(items, 1) - 1 AS BIGINT) AS pos, unnest(items) AS item
-FROM (SELECT page_id, {_ITEMS_SQL} AS items FROM cleaned)
+SELECT page_id, CAST(generate_subscripts(blocks, 1) - 1 AS BIGINT) AS pos,
+       {_sql_node_text('unnest(blocks)')} AS item,
+       CASE WHEN regexp_matches(unnest(blocks), '{_A_PAT}') THEN {_sql_node_text(f"regexp_extract(unnest(blocks), '{_A_PAT}', 1)")} ELSE 'N/A' END AS link
+FROM (SELECT page_id, regexp_extract_all(regexp_extract(h, '{H.element_pattern('ul')}', 1), '{H.element_pattern('li')}', 1) AS blocks FROM cleaned)
 """)
 def html_rows_q(spark, sf_dir):
-    """One row per list item of every page."""
-    c = cleaned(spark, sf_dir).select("page_id", F.posexplode(H.html_items("h", cleaned=True)).alias("pos", "item"))
-    return c.select("page_id", F.col("pos").cast("bigint").alias("pos"), "item")
+    """One row per navigation list item of every page, with the link text found inside the item."""
+    rows = H.html_rows(cleaned(spark, sf_dir), "h", "ul", "li", fields={"link": ("a", None)}, keep=["page_id"], cleaned=True)
+    return rows.select("page_id", "pos", F.col("text").alias("item"), "link")
 
 
 @register("html_count", oracle=f"""

@@ -27,3 +27,12 @@ def test_items_and_rows(spark):
     df = spark.createDataFrame([(PAGE,), (CUT,)], "html string")
     items = [r.i for r in df.select(H.html_items("html").alias("i")).collect()]
     assert items == [["A & B", "two"], []]
+
+
+def test_html_rows_fields_per_item(spark):
+    page = ('<ul class="list"><li><div class="title"><div>T1</div></div><div class="contents"><div>C1 &amp; more</div></div>'
+            '<span class="date">2025-02-02 00:23</span></li><li><div class="title"><div>T2</div></div></li></ul>')
+    df = spark.createDataFrame([(7, page)], "page_id bigint, html string")
+    rows = H.html_rows(df, "html", fields={"title": ("div", "title"), "contents": ("div", "contents"), "date": ("span", "date")},
+                       keep=["page_id"]).orderBy("pos").collect()
+    assert [(r.pos, r.title, r.contents, r.date) for r in rows] == [(0, "T1", "C1 & more", "2025-02-02 00:23"), (1, "T2", "N/A", "N/A")]
