@@ -36,6 +36,9 @@ def test_refine_categorize_search(spark, tmp):
     hits, ctx = W.search_posts(r.refined, q, k=3)
     assert hits.groupBy("query_id").count().where("count = 3").count() == 2
     assert ctx.count() == 2
+    top1 = hits.where("query_id = 1 AND rank = 1").first()
+    assert rows[top1.id].content == "post from src3" and abs(top1.similarity - 1.0) < 1e-6
+    assert ctx.where("query_id = 1").first().context.startswith(f"id:{top1.id}, 내용:post from src3, 답변:없음  \n")
 
 
 def test_refine_json_mode(spark):
