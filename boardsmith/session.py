@@ -105,3 +105,31 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     from pyspark.sql import functions as F
 
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``boardsmith`` importable on executors (Python workers import operator code by
+    reference): zip the package once per application and register it with ``addPyFile``."""
+    import zipfile
+
+    import boardsmith
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(boardsmith.__file__))
+    base = ensure_checkpoint_dir(spark)
+    local = "://" not in base or base.startswith("file:")
+    folder = scratch_dir(spark, "pyfiles") if local else tempfile.mkdtemp(prefix="boardsmith-pyfiles-")
+    zpath = os.path.join(folder, "boardsmith.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
