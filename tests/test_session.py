@@ -40,3 +40,20 @@ def test_with_columns_where_computes_once(spark):
     assert [(r.id, r.n) for r in out.collect()] == [(1, 4)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("length(") == 1
+
+
+def test_ship_package_once_per_application(spark):
+    import glob
+    import os
+    import zipfile
+
+    from boardsmith import session as S
+
+    S._SHIPPED.discard(spark.sparkContext.applicationId)
+    S.ship_package(spark)
+    S.ship_package(spark)  # second call is a no-op
+    base = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    zips = glob.glob(os.path.join(base, "pyfiles-*", "boardsmith.zip"))
+    assert zips
+    names = zipfile.ZipFile(sorted(zips, key=os.path.getmtime)[-1]).namelist()
+    assert "boardsmith/operators/enrich.py" in names and "boardsmith/__init__.py" in names
