@@ -59,7 +59,7 @@ def _after_first_dot(x: Column) -> Column:
     return py_strip(F.regexp_replace(x, r"^[^.]*\.", ""))
 
 
-def _fold_line(st: Column, x: Column) -> Column:
+def _fold_line(st: Column, x: Column, strict: bool = True) -> Column:
     sec = st["sec"]
     is_c = x.startswith(COMMENTS_HEADER)
     is_k = ~is_c & x.startswith(KEYWORDS_HEADER)
@@ -82,7 +82,10 @@ def _fold_line(st: Column, x: Column) -> Column:
         .otherwise(st["keywords"])
     )
     tendency = F.when(is_t, py_strip(F.split_part(x, F.lit(":"), F.lit(2)))).otherwise(st["tendency"])
-    content_line = F.when(_is_digit_first(x) & F.contains(x, F.lit(". ")), _after_first_dot(x)).otherwise(x)
+    if strict:  # the reference: a digit-first line containing '. ' loses everything up to its first '.'
+        content_line = F.when(_is_digit_first(x) & F.contains(x, F.lit(". ")), _after_first_dot(x)).otherwise(x)
+    else:       # default: only a real list number ('12. ') is removed, so '3.3% ...' stays whole
+        content_line = F.regexp_replace(x, r"^[0-9]+\.\s+", "")
     content = F.when(~header & ~is_item & (sec == "content"), content_line).otherwise(st["content"])
     new_sec = F.when(is_c, F.lit("comments")).when(is_k, F.lit("keywords")).when(is_t, F.lit("tendency")).otherwise(sec)
     return F.struct(
@@ -91,7 +94,7 @@ def _fold_line(st: Column, x: Column) -> Column:
     )
 
 
-def parse_entry(entry: Column) -> Column:
+def parse_entry(entry: Column, strict: bool = True) -> Column:
     """H7 for one entry: struct(content, comments array, keywords array, tendency).
 
     Rules (strict, as the reference): lines are stripped and blank ones skipped; ``댓글:``,
@@ -99,7 +102,8 @@ def parse_entry(entry: Column) -> Column:
     ``-`` lines, and digit lines inside comments, are items (digit items lose everything up
     to the first ``.``; ``-`` items lose the first character); items are ignored once the
     comments are ``[없음]``; the tendency is the text between the first and second colon; in
-    the content section the last plain line wins, a leading number with ``'. '`` cut off.
+    the content section the last plain line wins, a leading number with ``'. '`` cut off
+    (``strict``: up to the first ``.``, as the reference; otherwise only ``^\\d+\\.\\s+``).
     """
     lines = F.filter(F.transform(F.split(entry, LINE_SEP), lambda l: py_strip(l)), lambda l: l != F.lit(""))
     init = F.struct(
@@ -107,23 +111,24 @@ def parse_entry(entry: Column) -> Column:
         F.array().cast("array<string>").alias("comments"), F.array().cast("array<string>").alias("keywords"),
         F.lit("").alias("tendency"),
     )
-    st = F.aggregate(lines, init, _fold_line)
+    st = F.aggregate(lines, init, lambda acc, x: _fold_line(acc, x, strict))
     return F.struct(st["content"].alias("content"), st["comments"].alias("comments"), st["keywords"].alias("keywords"), st["tendency"].alias("tendency"))
 
 
-def parse_text_replies(replies: DataFrame, size: int, strict_position: bool = True, batch_col: str = "batch_id", response: str = "response") -> DataFrame:
+def parse_text_replies(replies: DataFrame, size: int, strict_position: bool = False, batch_col: str = "batch_id", response: str = "response") -> DataFrame:
     """H7 + C1 positions: (batch_id, entry_no, row_idx, content, comments, keywords, tendency).
 
-    ``strict_position`` counts blank pieces when numbering entries (the reference's
-    behaviour: a blank piece shifts the rest of the batch onto later rows); otherwise blank
-    pieces are dropped before numbering.
+    ``strict_position=True`` is the reference's behaviour: blank pieces count when numbering
+    entries (a blank piece shifts the rest of the batch onto later rows) and content numbers
+    are cut up to the first ``.``.  The default drops blank pieces before numbering and only
+    removes a real list number from content lines.
     """
     pieces = F.split(F.col(response), ENTRY_SEP)
     if not strict_position:
         pieces = F.filter(pieces, lambda p: py_strip(p) != F.lit(""))
     e = ok_replies(replies, response).select(batch_col, F.posexplode(pieces).alias("entry_no", "entry"))
     e = e.where(py_strip("entry") != "")
-    parsed = parse_entry(F.col("entry"))
+    parsed = parse_entry(F.col("entry"), strict=strict_position)
     return e.select(
         batch_col,
         F.col("entry_no").cast("bigint").alias("entry_no"),

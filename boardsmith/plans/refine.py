@@ -119,10 +119,13 @@ _S = sql_strip
 def _parsed_sql(compact: bool) -> str:
     if not compact:
         return PARSED_SQL
-    return PARSED_SQL.replace(PE_STRICT, PE_COMPACT)
+    return PARSED_SQL.replace(PE_STRICT, PE_COMPACT).replace(CONTENT_STRICT_SQL, CONTENT_DEFAULT_SQL)
 
 
 _DIGIT1 = "regexp_matches(substr(line, 1, 1), '^[0-9]$')"
+_CUT_TO_DOT = sql_strip("regexp_replace(line, '^[^.]*[.]', '')")
+CONTENT_STRICT_SQL = f"CASE WHEN {_DIGIT1} AND contains(line, '. ') THEN {_CUT_TO_DOT} ELSE line END"
+CONTENT_DEFAULT_SQL = r"regexp_replace(line, '^[0-9]+[.]\s+', '')"
 PE_STRICT = f"""pe AS (SELECT batch_id, unnest(string_split(response, chr(10) || chr(10))) AS entry,
               generate_subscripts(string_split(response, chr(10) || chr(10)), 1) - 1 AS entry_no
        FROM replies WHERE response IS NOT NULL AND response <> ''),"""
@@ -148,7 +151,7 @@ sec AS (SELECT *, coalesce(last_value(hdr IGNORE NULLS) OVER (PARTITION BY batch
 items AS (SELECT *, hdr IS NULL AND (starts_with(line, '-') OR (sec = 'comments' AND {_DIGIT1})) AS is_item FROM sec),
 agg AS (
   SELECT batch_id, entry_no,
-         coalesce(arg_max(CASE WHEN {_DIGIT1} AND contains(line, '. ') THEN {_S("regexp_replace(line, '^[^.]*[.]', '')")} ELSE line END, ln)
+         coalesce(arg_max({CONTENT_STRICT_SQL}, ln)
                   FILTER (WHERE hdr IS NULL AND NOT is_item AND sec = 'content'), '') AS content,
          coalesce(bool_or(hdr = 'comments' AND ln = lc AND line = '댓글: 없음'), false) AS none_hdr,
          list(CASE WHEN {_DIGIT1} THEN (CASE WHEN contains(line, '.') THEN {_S("regexp_replace(line, '^[^.]*[.]', '')")} ELSE line END)

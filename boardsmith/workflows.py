@@ -40,7 +40,7 @@ class Refined:
 
 
 def refine_posts(posts: DataFrame, fn: Callable[[int, str], str], mode: str = "text", size: int | None = None,
-                 strict_position: bool = True, out_path: str | None = None) -> Refined:
+                 strict_position: bool = False, out_path: str | None = None) -> Refined:
     """``posts``: post_id, title, contents, comments, views, date_text (post_id unique)."""
     size = size or (TEXT_BATCH if mode == "text" else JSON_BATCH)
     numbered = B.with_batches(posts, "post_id", size)
