@@ -44,17 +44,17 @@ def _write(df, path: str, csv: bool) -> None:
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="boardsmith")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    r = sub.add_parser("refine")
+    r = sub.add_parser("refine", help="crawled-post CSV -> numbered batches -> hook replies -> refined rows")
     r.add_argument("--input", required=True)
     r.add_argument("--output", required=True)
     r.add_argument("--mode", choices=["text", "json"], default="text")
     r.add_argument("--hook")
-    c = sub.add_parser("categorize")
+    c = sub.add_parser("categorize", help="refined rows -> built categories -> primary/secondary category")
     c.add_argument("--input", required=True)
     c.add_argument("--output", required=True)
     c.add_argument("--n", type=int, default=10)
     c.add_argument("--per", type=int, default=9)
-    s = sub.add_parser("search")
+    s = sub.add_parser("search", help="refined rows + questions file -> top-k hits and grounding context")
     s.add_argument("--input", required=True)
     s.add_argument("--questions", required=True)
     s.add_argument("--output", required=True)
