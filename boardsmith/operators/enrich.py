@@ -22,7 +22,10 @@ def enrich_batches(prompts: DataFrame, fn: Callable[[int, str], str], batch_col:
             out_resp, out_err = [], []
             for b, p in zip(pdf[batch_col].tolist(), pdf[prompt_col].tolist()):
                 try:
-                    out_resp.append(fn(int(b), p))
+                    reply = fn(int(b), p)
+                    if reply is not None and not isinstance(reply, str):
+                        raise TypeError(f"the hook returned {type(reply).__name__}, not text")
+                    out_resp.append(reply)
                     out_err.append(None)
                 except Exception as e:  # noqa: BLE001 - the hook isolates any failure
                     out_resp.append(None)

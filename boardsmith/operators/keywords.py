@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from boardsmith.functions.text import split_list
 from boardsmith.session import broadcast_if_small
 
-# Token pattern for keyword candidates (lower-cased letters, 3 or more).
-KEYWORD_TOKEN = "[a-z]{3,}"
+# Token pattern for keyword candidates (whole runs of letters of any script, 2 or more).
+KEYWORD_TOKEN = r"\p{L}{2,}"
 # Default stop list (function words that never make a useful keyword).
 STOP_WORDS = ("the", "and", "for", "that", "with", "this", "are", "was", "from", "have", "not", "but", "you", "all", "its")
 
@@ -84,14 +84,19 @@ def keyword_frequency(refined: DataFrame, id_col: str = "id", col: str = "keywor
     return pk.groupBy("keyword").agg(F.count(F.lit(1)).cast("bigint").alias("n_posts"))
 
 
-def keyword_list(refined: DataFrame, top_n: int = 300, id_col: str = "id", col: str = "keywords") -> DataFrame:
-    """The keyword vocabulary as one prompt value, capped to the ``top_n`` most frequent.
+def keyword_list(refined: DataFrame, chunk: int = 300, id_col: str = "id", col: str = "keywords") -> DataFrame:
+    """The whole keyword vocabulary as prompt values of ``chunk`` keywords, most frequent first.
 
-    The cap is the feature (a prompt holds a bounded list); the ranking is a
-    TakeOrderedAndProject, so no task ever holds the whole vocabulary.
+    (chunk_no, n_keywords, keywords).  A keyword's rank is the number of keywords of higher frequency plus its place
+    among those of its own frequency; the first is a running sum over the distinct frequencies (few rows).
     """
-    top = keyword_frequency(refined, id_col, col).orderBy(F.col("n_posts").desc(), F.col("keyword").asc()).limit(top_n)
-    return top.agg(
+    kf = keyword_frequency(refined, id_col, col)
+    classes = kf.groupBy("n_posts").agg(F.count(F.lit(1)).alias("_size"))
+    above = Window.orderBy(F.col("n_posts").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = classes.select("n_posts", F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_off"))
+    own = Window.partitionBy("n_posts").orderBy("keyword")
+    ranked = kf.withColumn("_place", F.row_number().over(own)).join(offsets, "n_posts").withColumn("_rank", F.col("_off") + F.col("_place") - 1)
+    return ranked.groupBy(F.floor(F.col("_rank") / chunk).cast("bigint").alias("chunk_no")).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_keywords"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n_posts")).alias("o"), "keyword"))), lambda x: x["keyword"]), "; ").alias("keywords"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "keyword"))), lambda x: x["keyword"]), "; ").alias("keywords"),
     )

@@ -48,7 +48,9 @@ def ok_replies(replies: DataFrame, response: str = "response") -> DataFrame:
 
 def parse_json(c, schema: T.StructType = REFINE_REPLY_SCHEMA) -> Column:
     """H5: decode a JSON reply; malformed text or a missing key gives nulls, never an error."""
-    return F.from_json(c if isinstance(c, Column) else F.col(c), schema, {"mode": "PERMISSIVE"})
+    c = c if isinstance(c, Column) else F.col(c)
+    whole = F.when(c.rlike(r"(?s)^\s*\{.*\}\s*$"), c)  # text before or after the object is not JSON
+    return F.from_json(whole, schema, {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
 
 
 def _is_digit_first(x: Column) -> Column:

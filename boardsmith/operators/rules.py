@@ -3,9 +3,7 @@
 The reference leaves these to a model's rewriting; here they are deterministic rules with
 the same output shape, not the model's results.
 
-Lexicons are small, fixed or parameter-bounded tables.  Up to ``MAX_INLINE_LEXICON``
-entries they become a map literal looked up inside a row-local expression, so no word is
-exploded or shuffled; a larger lexicon goes through explode + broadcast join + regroup.
+A lexicon is a table of any size: words are joined to it, and Spark chooses the join by its measured size.
 """
 
 from __future__ import annotations
@@ -15,14 +13,10 @@ from pyspark.sql import functions as F
 
 from boardsmith.functions.text import NONE_MARKER, WS_CLASS, py_strip, token_estimate
 from boardsmith.functions.util import as_col, ordered_concat, with_columns_where
-from boardsmith.session import broadcast_if_small
-
-MAX_INLINE_LEXICON = 10_000
-MAX_BROADCAST_LEXICON = 1_000_000
 
 # Whole-reply rules of the refine instructions - agreement phrases become one
 # phrase, bare yes/no answers are dropped.
-AGREE_PHRASES = ("저도 그래요", "맞아요", "완전 공감이요!", "공감합니다")
+AGREE_PHRASES = ("저도 그래요", "맞아요", "공감합니다")
 AGREE_CANON = "동의합니다"
 BARE_ANSWERS = ("네", "아니오", "아니요")
 
@@ -33,12 +27,15 @@ QUESTION_MARKERS = (
     ("comment", 1), ("pourquoi", 1), ("quel", 1), ("quelle", 1), ("qui", 1),
     ("wie", 1), ("warum", 1), ("welche", 1), ("wer", 1), ("wann", 1),
     ("cómo", 1), ("qué", 1), ("cuál", 1), ("quién", 1), ("por", 1),
-    ("어떻게", 1), ("왜", 1), ("무엇", 1), ("궁금", 2), ("질문", 2), ("까요", 2),
 )
 EXPERIENCE_MARKERS = (
     ("i", -1), ("my", -1), ("me", -1), ("we", -1), ("our", -1), ("was", -1), ("were", -1), ("had", -1),
     ("je", -1), ("mon", -1), ("ma", -1), ("ich", -1), ("mein", -1), ("war", -1), ("yo", -1), ("mi", -1), ("fue", -1),
-    ("했어요", -1), ("했습니다", -1), ("경험", -2), ("후기", -2),
+)
+# Korean words take endings, so these count wherever they stand inside a word.
+INSIDE_MARKERS = (
+    ("어떻게", 1), ("왜", 1), ("무엇", 1), ("궁금", 2), ("질문", 2), ("까요", 2), ("나요", 2), ("인가", 1),
+    ("했어요", -1), ("했습니다", -1), ("었어요", -1), ("았어요", -1), ("었습니다", -1), ("았습니다", -1), ("경험", -2), ("후기", -2),
 )
 TENDENCY_QUESTION, TENDENCY_EXPERIENCE = "질문성", "경험성"
 MARKER_TOKEN = r"[\p{L}']+|\?"
@@ -51,26 +48,20 @@ def _map_literal(pairs) -> Column:
     return F.create_map(*flat)
 
 
-def _bounded_pairs(lexicon: DataFrame, key: str, value: str, bound: int):
-    rows = lexicon.select(key, value).limit(bound + 1).collect()
-    return None if len(rows) > bound else [(r[0], r[1]) for r in rows]
+def replace_words(df: DataFrame, text_col: str, lexicon: DataFrame, out: str = "text_out", key: str = "word", value: str = "replacement") -> DataFrame:
+    """H12 (word level): each space-separated word whose lower case is in the lexicon is replaced.
 
-
-def replace_words(df: DataFrame, text_col: str, lexicon: DataFrame, out: str = "text_out", key: str = "word",
-                  value: str = "replacement", id_cols: list[str] | None = None) -> DataFrame:
-    """H12 (word level): each space-separated word whose lower case is in the lexicon is replaced."""
-    pairs = _bounded_pairs(lexicon, key, value, MAX_INLINE_LEXICON)
-    if pairs is not None:
-        m = _map_literal(pairs) if pairs else F.create_map().cast("map<string,string>")
-        words = F.split(F.col(text_col), " ")
-        return df.withColumn(out, F.array_join(F.transform(words, lambda w: F.coalesce(F.element_at(m, F.lower(w)), w)), " "))
-    if not id_cols:
-        raise ValueError("a lexicon above the inline bound needs id_cols to regroup words")
-    words = df.select(*id_cols, F.posexplode(F.split(F.col(text_col), " ")).alias("_pos", "_w"))
-    lex = broadcast_if_small(lexicon.select(F.col(key).alias("_k"), F.col(value).alias("_v")), MAX_BROADCAST_LEXICON)
+    One plan for any lexicon: words are exploded, joined (AQE broadcasts a lexicon that it measures as small) and put
+    together again for each row; the row's other columns travel once.  A word that stands in the lexicon several times
+    has its smallest replacement.  A null text stays null.
+    """
+    lex = lexicon.groupBy(F.col(key).alias("_k")).agg(F.min(value).alias("_v")).where(F.col("_k").isNotNull())
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("_all"))
+    words = rows.select("_row", "_all", F.posexplode_outer(F.split(F.col("_all")[text_col], " ", -1)).alias("_pos", "_w"))
+    words = words.select("_row", "_pos", "_w", F.when(F.coalesce("_pos", F.lit(0)) == 0, F.col("_all")).alias("_all"))
     rep = words.join(lex, F.lower(F.col("_w")) == F.col("_k"), "left").withColumn("_o", F.coalesce("_v", "_w"))
-    joined = rep.groupBy(*id_cols).agg(ordered_concat("_o", "_pos", " ").alias(out))
-    return df.join(joined, id_cols, "left")
+    joined = rep.groupBy("_row").agg(F.max_by("_all", F.col("_all").isNotNull()).alias("_all"), ordered_concat("_o", "_pos", " ").alias("_t"))
+    return joined.select("_all.*", F.when(F.col("_all")[text_col].isNotNull(), F.col("_t")).alias(out))
 
 
 def reply_rules(c) -> Column:
@@ -81,8 +72,9 @@ def reply_rules(c) -> Column:
 
 def lexicon_replace(df: DataFrame, text_col: str, lexicon: DataFrame, out: str = "text_out", **kw) -> DataFrame:
     """Word lexicon, then whole-reply rules; rows that are only a bare yes/no are dropped."""
-    r = replace_words(df, text_col, lexicon, out, **kw).withColumn(out, reply_rules(out))
-    return r.where(F.col(out).isNotNull())
+    r = replace_words(df, text_col, lexicon, out, **kw)
+    bare = F.coalesce(py_strip(F.col(out)).isin(*BARE_ANSWERS), F.lit(False))
+    return r.where(~bare).withColumn(out, reply_rules(out))
 
 
 def tendency_score(c) -> Column:
@@ -90,7 +82,12 @@ def tendency_score(c) -> Column:
     m = _map_literal(QUESTION_MARKERS + EXPERIENCE_MARKERS)
     toks = F.regexp_extract_all(F.lower(F.coalesce(as_col(c), F.lit(""))), F.lit(MARKER_TOKEN), 0)
     weights = F.transform(toks, lambda t: F.coalesce(F.element_at(m, t), F.lit(0)))
-    return F.aggregate(weights, F.lit(0), lambda a, x: a + x).cast("bigint")
+    score = F.aggregate(weights, F.lit(0), lambda a, x: a + x)
+    text = F.coalesce(as_col(c), F.lit(""))
+    for marker, weight in INSIDE_MARKERS:
+        found = (F.length(text) - F.length(F.replace(text, F.lit(marker), F.lit("")))) / len(marker)
+        score = score + found.cast("int") * weight
+    return score.cast("bigint")
 
 
 def tendency(c) -> Column:

@@ -12,7 +12,8 @@ from boardsmith.session import materialize, table
 
 TOPK = 5
 N_CATEGORIES, PER_CATEGORY = 10, 9
-LIST_TOP_N = 300
+LIST_CHUNK = 300
+TOKEN_SQL = r"\p{L}{2,}"
 _STOP_SQL = ", ".join(f"'{w}'" for w in K.STOP_WORDS)
 
 
@@ -32,7 +33,7 @@ def refined(spark, sf_dir):
 
 
 TOP_SQL = f"""
-tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{K.KEYWORD_TOKEN}')) AS token FROM documents),
+tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{TOKEN_SQL}')) AS token FROM documents),
 tf AS (SELECT doc_id, token, count(*) AS tf FROM tok WHERE token NOT IN ({_STOP_SQL}) GROUP BY 1, 2),
 dfreq AS (SELECT token, count(*) AS df FROM tf GROUP BY 1),
 sc AS (SELECT tf.doc_id, tf.token, round(tf.tf * ln((SELECT count(*) FROM documents) / dfreq.df), 6) AS score
@@ -86,7 +87,7 @@ def distinct_keywords_q(spark, sf_dir):
 WITH {REFINED_SQL}
 SELECT unnest({_SPLIT}) AS keyword FROM refined
 UNION
-SELECT unnest(regexp_extract_all(lower(text), '{K.KEYWORD_TOKEN}')) AS keyword FROM benchmark
+SELECT unnest(regexp_extract_all(lower(text), '{TOKEN_SQL}')) AS keyword FROM benchmark
 """)
 def keyword_union_q(spark, sf_dir):
     """Refined keywords united with the benchmark items' tokens, as a set."""
@@ -97,12 +98,13 @@ def keyword_union_q(spark, sf_dir):
 @register("keyword_list", oracle=f"""
 WITH {REFINED_SQL},
 kf AS (SELECT keyword, count(*) AS n_posts FROM pk GROUP BY 1),
-topn AS (SELECT * FROM kf ORDER BY n_posts DESC, keyword LIMIT {LIST_TOP_N})
-SELECT CAST(count(*) AS BIGINT) AS n_keywords, string_agg(keyword, '; ' ORDER BY n_posts DESC, keyword) AS keywords FROM topn
+ranked AS (SELECT *, row_number() OVER (ORDER BY n_posts DESC, keyword) - 1 AS r FROM kf)
+SELECT CAST(r // {LIST_CHUNK} AS BIGINT) AS chunk_no, CAST(count(*) AS BIGINT) AS n_keywords, string_agg(keyword, '; ' ORDER BY r) AS keywords
+FROM ranked GROUP BY 1
 """)
 def keyword_list_q(spark, sf_dir):
-    """The 300 most frequent keywords as one prompt value."""
-    return K.keyword_list(refined(spark, sf_dir), LIST_TOP_N)
+    """The whole vocabulary, 300 keywords to a prompt value."""
+    return K.keyword_list(refined(spark, sf_dir), LIST_CHUNK)
 
 
 @register("build_categories", oracle=f"""

@@ -33,20 +33,22 @@ _BARE = ", ".join(f"'{_q(p)}'" for p in RU.BARE_ANSWERS)
 
 @register("lexicon_replace", oracle=f"""
 WITH lex AS (SELECT token, upper(token) AS rep FROM (
-               SELECT token, count(*) AS c FROM (SELECT unnest(regexp_extract_all(lower(text), '{K.KEYWORD_TOKEN}')) AS token FROM conversations)
+               SELECT token, count(*) AS c FROM (SELECT unnest(regexp_extract_all(lower(text), '\\p{{L}}{{2,}}')) AS token FROM conversations)
                GROUP BY 1 ORDER BY c DESC, token LIMIT {LEXICON_SIZE})),
 words AS (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS pos FROM conversations),
 rep AS (SELECT conv_id, turn, string_agg(coalesce(lex.rep, w), ' ' ORDER BY pos) AS t FROM words LEFT JOIN lex ON lex.token = lower(w) GROUP BY 1, 2),
-ruled AS (SELECT conv_id, turn, CASE WHEN {sql_strip('t')} IN ({_BARE}) THEN NULL WHEN {sql_strip('t')} IN ({_AGREE}) THEN '{RU.AGREE_CANON}' ELSE t END AS text_out FROM rep)
-SELECT conv_id, turn, text_out FROM ruled WHERE text_out IS NOT NULL
+ruled AS (SELECT conv_id, turn, CASE WHEN {sql_strip('t')} IN ({_AGREE}) THEN '{RU.AGREE_CANON}' ELSE t END AS text_out FROM rep
+          WHERE NOT coalesce({sql_strip('t')} IN ({_BARE}), false))
+SELECT conv_id, turn, text_out FROM ruled
 """)
 def lexicon_replace_q(spark, sf_dir):
     """The 20 most frequent tokens of all conversations replaced by their upper case, then reply rules."""
     conv = table(spark, sf_dir, "conversations")
     lex = frequent_token_lexicon(conv)
-    return RU.lexicon_replace(conv, "text", lex, id_cols=["conv_id", "turn"]).select("conv_id", "turn", "text_out")
+    return RU.lexicon_replace(conv, "text", lex).select("conv_id", "turn", "text_out")
 
 
+_INSIDE_SQL = " + ".join(f"({v}) * (length(text) - length(replace(text, '{k}', ''))) // {len(k)}" for k, v in RU.INSIDE_MARKERS)
 _MARKERS_SQL = ", ".join(f"('{_q(k)}', {v})" for k, v in RU.QUESTION_MARKERS + RU.EXPERIENCE_MARKERS)
 
 
@@ -54,8 +56,8 @@ _MARKERS_SQL = ", ".join(f"('{_q(k)}', {v})" for k, v in RU.QUESTION_MARKERS + R
 WITH m(token, w) AS (VALUES {_MARKERS_SQL}),
 t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{_q(RU.MARKER_TOKEN)}')) AS token FROM documents),
 s AS (SELECT t.doc_id, sum(m.w) AS score FROM t JOIN m USING (token) GROUP BY 1)
-SELECT d.doc_id, CAST(coalesce(s.score, 0) AS BIGINT) AS score,
-       CASE WHEN coalesce(s.score, 0) > 0 THEN '{RU.TENDENCY_QUESTION}' ELSE '{RU.TENDENCY_EXPERIENCE}' END AS tendency
+SELECT d.doc_id, CAST(coalesce(s.score, 0) + {_INSIDE_SQL} AS BIGINT) AS score,
+       CASE WHEN coalesce(s.score, 0) + {_INSIDE_SQL} > 0 THEN '{RU.TENDENCY_QUESTION}' ELSE '{RU.TENDENCY_EXPERIENCE}' END AS tendency
 FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id
 """)
 def tendency_q(spark, sf_dir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,7 +37,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster the folder is set by the deployment and is only read here.  Only when
-    it is unset (local runs, tests) a private scratch folder is created and used.
+    it is unset under a local master (tests) a private scratch folder is created and used;
+    on any other master a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -44,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if fallback is None and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = fallback or tempfile.mkdtemp(prefix="boardsmith-ckpt-")
     sc.setCheckpointDir(path)
     return path
@@ -51,14 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediate tables, under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if "://" in base and not base.startswith("file:"):
-        import uuid
-
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    base = base.replace("file:", "")
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
@@ -121,9 +118,7 @@ def ship_package(spark: SparkSession) -> None:
     if sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(boardsmith.__file__))
-    base = ensure_checkpoint_dir(spark)
-    local = "://" not in base or base.startswith("file:")
-    folder = scratch_dir(spark, "pyfiles") if local else tempfile.mkdtemp(prefix="boardsmith-pyfiles-")
+    folder = tempfile.mkdtemp(prefix="boardsmith-pyfiles-")  # on the driver, which serves it to the executors
     zpath = os.path.join(folder, "boardsmith.zip")
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg_dir):

@@ -26,9 +26,11 @@ def _reader(spark: SparkSession, null_value: str | None):
     r = (
         spark.read.option("header", True).option("multiLine", True)
         .option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
-        .option("mode", "PERMISSIVE")
+        .option("mode", "PERMISSIVE").option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     )
-    return r.option("nullValue", null_value) if null_value is not None else r
+    # Without a mark of its own, a null is an unquoted empty field; a quoted one is an empty text.
+    return r.option("nullValue", "\u0000" if null_value is None else null_value)
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, null_value: str | None = NA) -> DataFrame:
@@ -44,7 +46,10 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 def scan_posts_csv(spark: SparkSession, path: str) -> DataFrame:
     """A1: crawled-posts CSV -> posts (ids and counts typed, ``'N/A'`` -> null)."""
-    raw = scan_csv(spark, path, POSTS_CSV_SCHEMA)
+    raw = scan_csv(spark, path)  # by header name: another crawl's file is refused, not misread
+    missing = [f.name for f in POSTS_CSV_SCHEMA if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
     return raw.select(
         F.col("talkNo").try_cast("bigint").alias("post_id"),
         F.col("Title").alias("title"), F.col("Contents").alias("contents"), F.col("Date").alias("date_text"),
@@ -61,6 +66,7 @@ def sink_csv(df: DataFrame, path: str, bom: bool = True, mode: str = "overwrite"
         first = df.columns[0]
         out = df.withColumnRenamed(first, BOM + first)
     w = out.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
+    w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("emptyValue", '""')
     if null_value is not None:
         w = w.option("nullValue", null_value)
     w.csv(path)

@@ -19,9 +19,15 @@ def test_distinct_and_union(spark):
     assert sorted(r.keyword for r in K.keyword_union(K.distinct_keywords(_ref(spark)), other).collect()) == d[:5] + ["new", "q", "z"]
 
 
-def test_keyword_list_bounded(spark):
-    r = K.keyword_list(_ref(spark), top_n=3).first()
-    assert r.n_keywords == 3 and r.keywords == "a; b; c"
+def test_keyword_list_holds_the_whole_vocabulary(spark):
+    rows = sorted((r.chunk_no, r.n_keywords, r.keywords) for r in K.keyword_list(_ref(spark), chunk=3).collect())
+    assert rows == [(0, 3, "a; b; c"), (1, 3, "d; e; q"), (2, 1, "z")]
+
+
+def test_keywords_are_whole_words(spark):
+    df = spark.createDataFrame([(1, "français résumé über straße 소득세 공제가")], "doc_id bigint, text string")
+    got = {r.keyword for r in K.top_keywords(df.unionByName(spark.createDataFrame([(2, "x")], df.schema)), k=9).collect()}
+    assert got == {"français", "résumé", "über", "straße", "소득세", "공제가"}
 
 
 def test_build_categories_properties(spark):

@@ -20,8 +20,7 @@ def test_csv_roundtrip_and_bom(spark, tmp):
     back = SV.scan_csv(spark, tmp, schema=None, null_value=None)
     assert back.columns == ["id", "text", "tag"]
     got = sorted((int(r.id), r.text, r.tag) for r in back.collect())
-    # an empty field reads back as null, as a pandas re-read gives NaN
-    assert got == sorted((i, t if t != "" else None, g) for i, t, g in ROWS)
+    assert got == sorted(ROWS)  # an empty text stays empty
 
 
 def test_posts_csv_na(spark, tmp):
@@ -67,3 +66,26 @@ def test_scan_html_files(spark, tmp):
             f.write(f"<html>\n<title>p{i}</title>\n</html>")
     rows = scan_pages(spark, os.path.join(tmp, "*.html"), fmt="html").collect()
     assert len(rows) == 2 and all("\n" in r.html for r in rows)
+
+
+def test_csv_keeps_spaces_quotes_and_empty_values(spark, tmp):
+    from boardsmith.sources import csv as C
+
+    rows = [("  lead and trail  ", "a"), (" \tx\n", "b"), ("", "c"), ('say "hi", ok', "d"), (None, "e"), ("two\nlines", "f")]
+    C.sink_csv(spark.createDataFrame(rows, "t string, k string"), tmp + "/out")
+    got = C.scan_csv(spark, tmp + "/out", null_value=None)
+    assert sorted(((r["t"], r["k"]) for r in got.collect()), key=lambda r: r[1]) == rows
+
+
+def test_posts_csv_is_read_by_name(spark, tmp):
+    import pytest
+
+    from boardsmith.sources import csv as C
+
+    names = "Comments string, talkNo string, Title string, Contents string, Date string, ViewCount string"
+    C.sink_csv(spark.createDataFrame([("c", "7", "t", "x", "d", "1,200")], names), tmp + "/posts")
+    (r,) = C.scan_posts_csv(spark, tmp + "/posts").collect()
+    assert (r["post_id"], r["views"], r["comments"], r["title"]) == (7, 1200, "c", "t")
+    C.sink_csv(spark.createDataFrame([("7", "3")], "talkNo string, ReplyCount string"), tmp + "/listing")
+    with pytest.raises(ValueError, match="Comments"):
+        C.scan_posts_csv(spark, tmp + "/listing")

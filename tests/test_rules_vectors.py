@@ -2,22 +2,23 @@
 
 
 from boardsmith.operators import rules as RU
-from boardsmith.operators import rules as rules_mod
 from boardsmith.operators.vectorize import text_vectors
 
 
-def test_lexicon_inline_equals_join(spark, monkeypatch):
-    df = spark.createDataFrame([(1, "Hello big World"), (2, "네"), (3, "맞아요"), (4, "")], "id bigint, text string")
-    lex = spark.createDataFrame([("hello", "HI"), ("world", "EARTH")], "word string, replacement string")
-    inline = sorted((r.id, r.text_out) for r in RU.lexicon_replace(df, "text", lex, id_cols=["id"]).collect())
-    monkeypatch.setattr(rules_mod, "MAX_INLINE_LEXICON", 1)
-    joined = sorted((r.id, r.text_out) for r in RU.lexicon_replace(df, "text", lex, id_cols=["id"]).collect())
-    assert inline == joined == [(1, "HI big EARTH"), (3, "동의합니다"), (4, "")]
+def test_lexicon(spark):
+    rows = [(1, "Hello big World"), (2, "네"), (3, "맞아요"), (4, ""), (5, None), (None, "a  hello"), (None, "a  hello")]
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    lex = spark.createDataFrame([("hello", "HI"), ("world", "EARTH"), ("world", "GLOBE"), (None, "x"), ("hello", "HI")], "word string, replacement string")
+    got = sorted(((r.id, r.text_out) for r in RU.lexicon_replace(df, "text", lex).collect()), key=repr)
+    assert got == sorted([(1, "HI big EARTH"), (3, "동의합니다"), (4, ""), (5, None), (None, "a  HI"), (None, "a  HI")], key=repr)
 
 
 def test_tendency(spark):
-    df = spark.createDataFrame([("How do I apply?",), ("I was there, my shift was long",), ("",), (None,)], "t string")
-    assert [r.o for r in df.select(RU.tendency("t").alias("o")).collect()] == ["질문성", "경험성", "경험성", "경험성"]
+    df = spark.createDataFrame([("How do I apply?",), ("I was there, my shift was long",), ("",), (None,),
+                                ("소득세 공제가 기록에 남을까요? 이유가 궁금합니다.",), ("퇴사하면 어떻게 되나요",), ("저는 작년에 신고를 했었어요.",), ("세무서에서 상담을 받았습니다",)], "t string")
+    want = ["질문성", "경험성", "경험성", "경험성", "질문성", "질문성", "경험성", "경험성"]
+    assert [r.o for r in df.select(RU.tendency("t").alias("o")).collect()] == want
+    assert [r.s < 0 for r in df.select(RU.tendency_score("t").alias("s")).collect()][-2:] == [True, True]
 
 
 def test_merge_comments(spark):
