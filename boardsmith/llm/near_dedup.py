@@ -101,8 +101,10 @@ def components(links: DataFrame, name: str) -> DataFrame:
     Each round takes the smallest label among a node's neighbours, then follows that label's own label; it ends
     when no label has changed.  Links and labels stay distributed, and every round is written.
     """
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = materialize(both.where("a != b").distinct(), f"{name}-links")
+    # Written first: both directions must come from one evaluation, as two may find different links of a group.
+    links = materialize(links.select("a", "b").where("a != b"), f"{name}-links")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = materialize(both.distinct(), f"{name}-both")
     labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), f"{name}-labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
@@ -120,6 +122,7 @@ def _forest(similarity: tuple[int, int], least: float, k: int):
     num, den = similarity
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("sid")  # the order of arrival differs from run to run
         sids = group["sid"].to_list()
         sets = [np.frombuffer(x, np.uint64) for x in group["full"]]
         size = np.array([len(s) for s in sets])
