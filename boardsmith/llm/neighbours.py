@@ -26,7 +26,7 @@ from boardsmith.llm.common import prepare
 
 PROJECTIONS = 40
 THRESHOLD = 20  # of 40: a vector at the radius itself falls into 27 windows on average
-GROWTH = 1.3
+GROWTH = 1.4
 MARGIN = 1.0
 SEED = 20_231
 VECTOR_BLOCK, QUERY_BLOCK = 65_536, 32_768
@@ -42,9 +42,12 @@ class Index:
         order = np.argsort(values, axis=0, kind="stable")
         self.sorted = np.ascontiguousarray(np.take_along_axis(values, order, 0).T)
         self.order = np.ascontiguousarray(order.T.astype(np.int32))
+        with np.errstate(over="ignore"):
+            self.small = vectors.astype(np.float32)  # only to rule candidates out before they are verified
+            self.norm = (self.small**2).sum(1)
 
     def start_radius(self, centre: np.ndarray, k: int) -> float:
-        """Half-width at which the median window holds about k values."""
+        """Half-width at which the median window holds about k values on either side."""
         n = self.sorted.shape[1]
         widths = []
         for values, c in zip(self.sorted, centre, strict=True):
@@ -53,27 +56,35 @@ class Index:
             widths.append(np.sort(np.abs(near - c))[min(k, len(near)) - 1])
         return float(np.median(widths)) or 1e-9
 
+    def _possible(self, new: np.ndarray, query: np.ndarray, dist: np.ndarray, k: int) -> np.ndarray:
+        """The candidates that single precision can't rule out, by a margin far above its rounding."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            low, own = query.astype(np.float32), float((query**2).sum())
+            rough = self.norm[new] - 2 * (self.small[new] @ low)
+            least = dist[-1] ** 2 - own if len(dist) == k else np.inf
+            if len(rough) >= k:
+                least = min(least, float(np.partition(rough, k - 1)[k - 1]))
+            return new[~(rough > least + 1e-4 * (float(self.norm.max()) + own))]
+
     def search(self, query_id: int, query: np.ndarray, k: int, threshold: int, growth: float, margin: float) -> tuple[np.ndarray, np.ndarray]:
         """(ids, distances) of the k nearest verified vectors other than the query's own id."""
         n, m = len(self.ids), len(self.order)
         centre = query @ self.axes
         lo = np.array([np.searchsorted(self.sorted[j], centre[j]) for j in range(m)])
         hi = lo.copy()
-        hits, done = np.zeros(n, np.int16), np.zeros(n, bool)
+        hits, done = np.zeros(n, np.int64), np.zeros(n, bool)
         ids, dist = np.zeros(0, np.int64), np.zeros(0)
-        radius = self.start_radius(centre, k)
+        radius = self.start_radius(centre, max(k, n // 16))
         while True:
+            fresh = []
             for j in range(m):
                 a, b = np.searchsorted(self.sorted[j], (centre[j] - radius, np.nextafter(centre[j] + radius, np.inf)))
-                if a < lo[j]:
-                    hits[self.order[j, a:lo[j]]] += 1
-                    lo[j] = a
-                if b > hi[j]:
-                    hits[self.order[j, hi[j]:b]] += 1
-                    hi[j] = b
+                fresh += [self.order[j, a:lo[j]], self.order[j, hi[j]:b]]  # what the window has grown by
+                lo[j], hi[j] = min(a, lo[j]), max(b, hi[j])
+            hits += np.bincount(np.concatenate(fresh), minlength=n)
             new = np.flatnonzero((hits >= threshold) & ~done)
             done[new] = True
-            new = new[self.ids[new] != query_id]
+            new = self._possible(new[self.ids[new] != query_id], query, dist, k)
             ids = np.concatenate([ids, self.ids[new]])
             dist = np.concatenate([dist, np.sqrt(((self.vectors[new] - query) ** 2).sum(1))])
             best = np.lexsort((ids, dist))[:k]
