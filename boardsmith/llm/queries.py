@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardsmith.llm import chat, near_dedup, neighbours, packing, piece_encoding, quality, secret_scan, suffix_dedup, token_counts, url_filter
+from boardsmith.llm import chat, near_dedup, neighbours, packing, piece_encoding, quality, secret_scan, suffix_dedup, token_counts, twins, url_filter
 from boardsmith.llm.common import prepare, read_table
 from boardsmith.session import scratch_dir
 
@@ -67,12 +67,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = (op1_neighbours, op2_near_dedup, op3_packing, op4_pieces, op5_secrets, op6_chat, op7_urls, op8_suffix_dedup, op9_quality, op10_token_counts)
 
-_SQL: dict[str, str] = {}
-
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(twins.SQL)
