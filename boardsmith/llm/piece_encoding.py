@@ -25,6 +25,7 @@ from boardsmith.llm.tokens import Generations
 
 SPACE = "▁"  # fixed value: the library's mark for a space
 _PROBE = "  a  b\tc"
+FLAT_CHARS = 64  # up to this length the least of a list is found sooner than a heap is kept
 
 
 class Agenda:
@@ -32,60 +33,80 @@ class Agenda:
         import sentencepiece
 
         sp = self.lib = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.rank, chars = {}, set()
+        scores, self.ids, chars = {}, {}, set()
         for i in range(sp.get_piece_size()):
             if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)):
                 piece = sp.id_to_piece(i)
-                self.rank[piece] = (-sp.get_score(i), i)
+                scores[piece], self.ids[piece] = sp.get_score(i), i
                 chars.update(piece)
+        places = {score: k for k, score in enumerate(sorted(set(scores.values()), reverse=True))}
+        self.order = {piece: places[score] for piece, score in scores.items()}  # the best score is 0, equal scores are equal
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        inner = any(SPACE in p.lstrip(SPACE) for p in self.rank)
+        inner = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         hard = "".join(c for c in "\n\t" if c not in chars)
         self.split = re.compile(r"(?s).+" if inner else f"[{hard}]|{SPACE}*[^{SPACE}{hard}]+|{SPACE}+" if hard else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.plain = sp.normalize(_PROBE) == SPACE + _PROBE.replace(" ", SPACE)
-        self.fresh: list[tuple[str, tuple[int, ...]]] = []
+        self.fresh: list[tuple[str, list[int]]] = []
         self.chunks = Generations(self._new, capacity)
-        self.capacity, self.disagreed = capacity, 0
+        self.disagreed = 0
 
     def merge(self, chunk: str) -> list[int]:
         """Ids of one chunk: the best-scored adjacent pair is merged until none is left."""
-        rank, n = self.rank, len(chunk)
-        symbol = list(chunk)
-        left, right = list(range(-1, n - 1)), [*range(1, n), -1]
-        agenda = [(r[0], i, i + 1, a + b) for i, (a, b) in enumerate(zip(chunk, chunk[1:])) if (r := rank.get(a + b))]
+        symbols = self._flat(chunk) if len(chunk) <= FLAT_CHARS else self._heap(chunk)
+        ids = list(map(self.ids.get, symbols))
+        if None in ids:
+            ids = [i for s, found in zip(symbols, ids) for i in ([found] if found is not None else [self.byte_ids[b] for b in s.encode()])]
+        return ids
+
+    def _flat(self, chunk: str) -> list[str]:
+        """The agenda of a short chunk is a plain list, the score orders of its pairs from left to right."""
+        order, none = self.order.get, len(self.order)
+        symbols = list(chunk)
+        agenda = [order(chunk[i:i + 2], none) for i in range(len(chunk) - 1)]
+        while agenda and (best := min(agenda)) < none:
+            k = agenda.index(best)
+            joined = symbols[k] = symbols[k] + symbols.pop(k + 1)
+            del agenda[k]
+            if k < len(agenda):
+                agenda[k] = order(joined + symbols[k + 1], none)
+            if k:
+                agenda[k - 1] = order(symbols[k - 1] + joined, none)
+        return symbols
+
+    def _heap(self, chunk: str) -> list[str]:
+        """The agenda of a long chunk is a heap of (score order, start, middle, end); ``end`` and ``left`` link the spans left over."""
+        order, n = self.order.get, len(chunk)
+        end, left = list(range(1, n + 1)), list(range(-1, n))
+        agenda = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := order(chunk[i:i + 2])) is not None]
         heapq.heapify(agenda)
         while agenda:
-            _, i, j, joined = heapq.heappop(agenda)
-            if right[i] != j or not symbol[i] or symbol[i] + symbol[j] != joined:
+            _, i, j, stop = heapq.heappop(agenda)
+            if end[i] != j or end[j] != stop:
                 continue  # one side has been merged elsewhere since
-            symbol[i], symbol[j] = joined, ""
-            after = right[i] = right[j]
-            if after >= 0:
-                left[after] = i
-                if r := rank.get(joined + symbol[after]):
-                    heapq.heappush(agenda, (r[0], i, after, joined + symbol[after]))
-            before = left[i]
-            if before >= 0 and (r := rank.get(symbol[before] + joined)):
-                heapq.heappush(agenda, (r[0], before, i, symbol[before] + joined))
-        ids = []
-        for s in filter(None, symbol):
-            r = rank.get(s)
-            ids += [r[1]] if r else [self.byte_ids[b] for b in s.encode()]
-        return ids
+            end[i], end[j], left[stop] = stop, 0, i
+            if stop < n and (r := order(chunk[i:end[stop]])) is not None:
+                heapq.heappush(agenda, (r, i, stop, end[stop]))
+            if i and (r := order(chunk[left[i]:stop])) is not None:
+                heapq.heappush(agenda, (r, left[i], i, stop))
+        symbols, i = [], 0
+        while i < n:
+            symbols.append(chunk[i:end[i]])
+            i = end[i]
+        return symbols
 
     def _new(self, chunk: str):
-        ids = tuple(self.merge(chunk))
+        ids = self.merge(chunk)
         if chunk.startswith(SPACE):
             self.fresh.append((chunk, ids))
-        return ids
+        return ids, ",".join(map(str, ids))
 
     def check(self) -> None:
         """Hold the chunks merged since the last call against the library, which adds their first space mark itself."""
         if self.fresh:
             told = self.lib.encode([c[1:].replace(SPACE, " ") for c, _ in self.fresh], num_threads=1)
             for (chunk, ids), lib in zip(self.fresh, told, strict=True):
-                if chunk != SPACE and list(ids) != lib:  # a lone mark can't be asked for
-                    self.chunks[chunk] = tuple(lib)
+                if chunk != SPACE and ids != lib:  # a lone mark can't be asked for
+                    self.chunks[chunk] = lib, ",".join(map(str, lib))
                     self.disagreed += 1
             self.fresh.clear()
         self.chunks.trim()
@@ -133,8 +154,8 @@ def _encode(path: str, with_ids: bool):
                 if a.disagreed > before:
                     merged = [list(map(a.chunks.__getitem__, parts)) for parts in split]
                 for chunks in merged:
-                    ids = [i for c in chunks for i in c]
-                    told = hashlib.sha256(str(ids)[1:-1].replace(" ", "").encode()).hexdigest()
+                    ids = [i for c, _ in chunks for i in c]
+                    told = hashlib.sha256(",".join([shown for _, shown in chunks]).encode()).hexdigest()
                     decoded = a.lib.decode(ids) if ids else ""
                     rows.append((len(ids), told, hashlib.sha256(decoded.encode()).hexdigest(), *((ids, decoded) if with_ids else ())))
             names, kinds = ["n_tokens", "ids_sha256", "decoded_sha256"], [pa.int64(), pa.string(), pa.string()]
