@@ -7,7 +7,8 @@ Instead: quantile bounds of the key are computed once (n-1 values; n grows with
 count so a bucket holds about 2M rows) and a row's bucket is found by binary search over
 them, a pure function of its key.  Per-bucket counts (one row per bucket) give running offsets that
 are broadcast back; inside a bucket ``row_number`` orders by the key.  Any recomputation,
-e.g. after an executor is lost, yields the same numbers.  The key must be unique.
+e.g. after an executor is lost, yields the same numbers, if the key is unique; else write the numbered rows once
+before using them twice.  Keys are numbers, dates or timestamps; null keys come first.
 """
 
 from __future__ import annotations
@@ -55,9 +56,9 @@ def _bucket_search(key: Column, bounds: list) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
 
 
-def _quantile_bounds(df: DataFrame, key: str, n: int, with_count: bool = False):
+def _quantile_bounds(df: DataFrame, key: Column, n: int, with_count: bool = False):
     qs = [i / n for i in range(1, n)]
-    aggs = [F.percentile_approx(F.col(key), qs, max(QUANTILE_ACCURACY, 4 * n)).alias("q")]
+    aggs = [F.percentile_approx(key, qs, max(QUANTILE_ACCURACY, 4 * n)).alias("q")]
     if with_count:
         aggs.append(F.count(F.lit(1)).alias("rows"))
     row = df.select(*aggs).first()
@@ -65,12 +66,27 @@ def _quantile_bounds(df: DataFrame, key: str, n: int, with_count: bool = False):
     return bounds, (row["rows"] if with_count else None)
 
 
-def _bucket_expr(key: str, bounds: list) -> Column:
+def _bucket_expr(key: Column, bounds: list) -> Column:
+    """Bucket of ``key``; null keys have bucket -1 of their own, before all others, as they sort first."""
     if not bounds:
-        return F.lit(0)
-    if len(bounds) <= TREE_MAX_BOUNDS:
-        return _bucket_tree(F.col(key), bounds, 0, len(bounds))
-    return _bucket_search(F.col(key), bounds)
+        bucket = F.lit(0)
+    elif len(bounds) <= TREE_MAX_BOUNDS:
+        bucket = _bucket_tree(key, bounds, 0, len(bounds))
+    else:
+        bucket = _bucket_search(key, bounds)
+    return F.when(key.isNull(), F.lit(-1)).otherwise(bucket)
+
+
+def _as_number(df: DataFrame, key: str) -> Column:
+    """A number in the order of ``key``: quantiles need numbers, and one bucket for all rows would be one task."""
+    kind = df.schema[key].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(key)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(key)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(key)
+    raise TypeError(f"rows are numbered by a numeric, date or timestamp key; {key} is {kind.simpleString()}")
 
 
 def key_buckets(df: DataFrame, key: str, n: int | None = None) -> Column:
@@ -80,16 +96,15 @@ def key_buckets(df: DataFrame, key: str, n: int | None = None) -> Column:
     partition count; only when buckets would then exceed ``TARGET_ROWS_PER_BUCKET`` rows is a
     second pass run with more bounds (n = rows / target, at most ``MAX_BUCKETS``).
     """
-    if not isinstance(df.schema[key].dataType, T.NumericType):
-        return F.lit(0)
+    number = _as_number(df, key)
     if n is not None:
-        return F.lit(0) if n <= 1 else _bucket_expr(key, _quantile_bounds(df, key, n)[0])
+        return F.lit(0) if n <= 1 else _bucket_expr(number, _quantile_bounds(df, number, n)[0])
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds, rows = _quantile_bounds(df, key, max(base, 2), with_count=True)
+    bounds, rows = _quantile_bounds(df, number, max(base, 2), with_count=True)
     wanted = min(MAX_BUCKETS, -(-(rows or 0) // TARGET_ROWS_PER_BUCKET))
     if wanted > base:
-        bounds, _ = _quantile_bounds(df, key, wanted)
-    return _bucket_expr(key, bounds)
+        bounds, _ = _quantile_bounds(df, number, wanted)
+    return _bucket_expr(number, bounds)
 
 
 def with_row_index(df: DataFrame, order_col: str, out: str = "row_idx", num_buckets: int | None = None) -> DataFrame:

@@ -200,6 +200,26 @@ def validation_reason(content="content", keywords="keywords", tendency="tendency
     )
 
 
+def reject_table(parsed: DataFrame, numbered: DataFrame, replies: DataFrame, id_col: str = "post_id", row_col: str = "row_idx",
+                 batch_col: str = "batch_id", response: str = "response") -> DataFrame:
+    """B13 for the whole input: (id, batch_id, reject_reason, kept) of every row with something wrong, each once.
+
+    A row without an entry is ``failed_call`` (null or empty reply of its batch), ``undecodable`` (a reply without
+    any entry) or ``short_reply``; other reasons are those of ``validation_reason``.  ``kept`` says whether the row is
+    in the refined table all the same, so refined rows plus rejects that are not kept make up the input.
+    """
+    answered = parsed.select(batch_col).distinct().withColumn("_answered", F.lit(True))
+    r = F.col(response)
+    state = replies.join(answered, batch_col, "left").select(
+        batch_col, F.when(r.isNull() | (r == ""), "failed_call").when(F.col("_answered").isNull(), "undecodable").otherwise("short_reply").alias("_lost"))
+    landed = latest_per_row(parsed, row_col, batch_col).drop(batch_col).withColumn("_landed", F.lit(True))
+    rows = numbered.select(row_col, batch_col, F.col(id_col).alias("id")).join(landed, row_col, "left").join(state, batch_col, "left")
+    no_entry = F.col("_landed").isNull()
+    reason = F.when(no_entry, F.coalesce("_lost", F.lit("failed_call"))).otherwise(validation_reason())
+    out = rows.select("id", batch_col, reason.alias("reject_reason"), no_entry.alias("_none")).where("reject_reason IS NOT NULL")
+    return out.select("id", batch_col, "reject_reason", (~F.col("_none") & (F.col("reject_reason") != "missing_key")).alias("kept"))
+
+
 def validate_refined(df: DataFrame, **cols) -> tuple[DataFrame, DataFrame]:
     """(valid, invalid-with-reason); nothing is dropped, rows are only routed."""
     r = df.withColumn("reject_reason", validation_reason(**cols))

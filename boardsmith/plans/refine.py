@@ -16,7 +16,7 @@ from boardsmith.operators.enrich import echo, enrich_batches
 from boardsmith.functions.util import ordered_concat
 from boardsmith.plans import register
 from boardsmith.plans.fixtures import BASE_TS, sql_strip
-from boardsmith.session import table
+from boardsmith.session import materialize, table
 
 TEXT_BATCH = 10
 JSON_BATCH = 20
@@ -292,6 +292,29 @@ def validate_refined_q(spark, sf_dir):
     return a.select(F.col("post_id").alias("id"), R.validation_reason().alias("reject_reason"))
 
 
+@register("refine_rejects", oracle=f"""
+WITH {PARSED_SQL},
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_idx ORDER BY batch_id DESC) AS rn FROM parsed) WHERE rn = 1),
+answered AS (SELECT DISTINCT batch_id FROM parsed),
+every AS (SELECT r.post_id AS id, CAST(r.row_idx // {TEXT_BATCH} AS BIGINT) AS batch_id, l.row_idx IS NOT NULL AS landed,
+                 CASE WHEN l.row_idx IS NULL AND coalesce(p.response, '') = '' THEN 'failed_call'
+                      WHEN l.row_idx IS NULL AND a.batch_id IS NULL THEN 'undecodable'
+                      WHEN l.row_idx IS NULL THEN 'short_reply'
+                      WHEN l.content IS NULL OR l.keywords IS NULL OR l.tendency IS NULL THEN 'missing_key'
+                      WHEN l.tendency NOT IN ('경험성', '질문성') THEN 'bad_tendency'
+                      WHEN len(l.keywords) < 3 OR len(l.keywords) > 5 THEN 'keyword_count' END AS reject_reason
+          FROM rin r LEFT JOIN last l ON l.row_idx = r.row_idx
+          LEFT JOIN replies p ON p.batch_id = r.row_idx // {TEXT_BATCH}
+          LEFT JOIN answered a ON a.batch_id = r.row_idx // {TEXT_BATCH})
+SELECT id, batch_id, reject_reason, landed AND reject_reason <> 'missing_key' AS kept FROM every WHERE reject_reason IS NOT NULL
+""")
+def refine_rejects_q(spark, sf_dir):
+    """B13 over the whole input: failed calls, replies without entries, short replies and contract violations."""
+    replies = materialize(text_replies(spark, sf_dir), "replies")
+    parsed = R.parse_text_replies(replies, TEXT_BATCH, strict_position=True)
+    return R.reject_table(parsed, numbered_input(spark, sf_dir, TEXT_BATCH), replies)
+
+
 # ---- H5: JSON replies (20-row batches) ------------------------------------------------------
 def json_post():
     lang, n, src = F.col("lang"), F.col("n_chars"), F.col("source")

@@ -35,15 +35,19 @@ TEXT_BATCH, JSON_BATCH = 10, 20
 @dataclass
 class Refined:
     refined: DataFrame     # id, content, comments, keywords, tendency, views, date (rows missing a key dropped)
-    rejects: DataFrame     # every row breaking the reply contract: id, batch_id, reject_reason
+    rejects: DataFrame     # every row that was lost or breaks the reply contract: id, batch_id, reject_reason, kept
     responses: DataFrame   # batch_id, response, error (written once)
 
 
 def refine_posts(posts: DataFrame, fn: Callable[[int, str], str], mode: str = "text", size: int | None = None,
                  strict_position: bool = False, out_path: str | None = None) -> Refined:
-    """``posts``: post_id, title, contents, comments, views, date_text (post_id unique)."""
+    """``posts``: post_id, title, contents, comments, views, date_text.
+
+    Rows are numbered once and written, so that rows which repeat an id keep their own numbers; rows without an id
+    are rejects (``null_id``).  Input rows = refined rows + rejects that are not ``kept``.
+    """
     size = size or (TEXT_BATCH if mode == "text" else JSON_BATCH)
-    numbered = B.with_batches(posts, "post_id", size)
+    numbered = materialize(B.with_batches(posts.where("post_id IS NOT NULL"), "post_id", size), "numbered")
     responses = materialize(enrich_batches(B.build_prompts(numbered), fn), "responses")
     if mode == "text":
         parsed = R.parse_text_replies(responses, size, strict_position=strict_position)
@@ -59,7 +63,9 @@ def refine_posts(posts: DataFrame, fn: Callable[[int, str], str], mode: str = "t
     refined = R.to_refined_rows(kept)
     if out_path:
         append_batches(R.to_refined_rows(kept, keep=["batch_id"]), out_path)
-    rejects = checked.where(F.col("reject_reason").isNotNull()).select(F.col("post_id").alias("id"), "batch_id", "reject_reason")
+    no_id = posts.where("post_id IS NULL").select(
+        F.col("post_id").alias("id"), F.lit(None).cast("bigint").alias("batch_id"), F.lit("null_id").alias("reject_reason"), F.lit(False).alias("kept"))
+    rejects = R.reject_table(parsed, numbered, responses).unionByName(no_id)
     return Refined(refined, rejects, responses)
 
 
