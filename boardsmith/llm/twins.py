@@ -57,8 +57,10 @@ WITH d AS MATERIALIZED (
          regexp_extract_all(coalesce("text", ''), '[^\x20\x09-\x0D]+') AS w,
          list_filter(string_split(coalesce("text", ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
-g AS (SELECT r, unnest(range(1, len(w) - 3)) AS i, w FROM d WHERE len(w) >= 5),
-f AS (SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(list_slice(w, i, i + 4), ' ')) AS times FROM g),
+g AS (SELECT r, unnest(range(1, len(w) - 3)) AS i,
+        unnest(list_transform(range(1, len(w) - 3), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4])) AS words5
+      FROM d WHERE len(w) >= 5),
+f AS (SELECT r, i, count(*) OVER (PARTITION BY r, words5) AS times FROM g),
 o AS (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS after FROM f WHERE times > 1),
 rep AS (SELECT r, sum(least(5, coalesce(after - i, 5))) AS n FROM o GROUP BY r),
 m AS (
