@@ -5,8 +5,8 @@
 2. A class keeps its ``k`` smallest hashes.  Inverted lists of the retained values generate overlaps: classes
    whose sketches share enough values must share one of their rarest few (prefix filter), so only these
    are listed, and lists of one class end here.
-3. Classes connected through lists form candidate groups, found by label propagation between classes and values.  No
-   pair is emitted.
+3. Classes connected through lists form candidate groups, found by contracting links between a list's members and its
+   first one.  No pair is emitted.
 4. A group's members meet with sketch and full set in one task (large groups in pairs of blocks).  A search from
    member to member counts overlaps through inverted lists of the retained values, drops what the union-sketch
    estimate rules out, confirms the rest on the full sets and takes linked members out of the lists,
@@ -98,23 +98,31 @@ def _least_share(similarity: float, k: int) -> float:
 def components(links: DataFrame, name: str) -> DataFrame:
     """(node, label) for every node of ``links`` (a, b): label is the smallest node reachable.
 
-    Each round takes the smallest label among a node's neighbours, then follows that label's own label; it ends
-    when no label has changed.  Links and labels stay distributed, and every round is written.
+    Each round maps every node to the first of its neighbourhood (itself included) in a random order of that round,
+    then contracts the links by that map, so a round reads only the links between what is still apart.  Half of a
+    chain is expected to go in each round, more of denser graphs, whatever the order of the nodes.  The maps are then
+    followed back from the last one.  Links and maps stay distributed, and every round is written.
     """
     # Written first: both directions must come from one evaluation, as two may find different links of a group.
-    links = materialize(links.select("a", "b").where("a != b"), f"{name}-links")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = materialize(both.distinct(), f"{name}-both")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), f"{name}-labels")
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("to"))
-        jump = labels.select(F.col("node").alias("to"), F.col("label").alias("next"))
-        step = step.join(jump, "to").select("node", F.least("to", "next").alias("to"), "label")
-        step = materialize(step, f"{name}-round")
-        if step.where(F.col("to") != F.col("label")).isEmpty():
-            return labels
-        labels = step.select("node", F.col("to").alias("label"))
+    links = materialize(links.select("a", "b").where("a != b").distinct(), f"{name}-links")
+    maps: list[DataFrame] = []
+    while not maps or not links.isEmpty():
+
+        def ranked(node: str, seed: int = len(maps)):
+            return F.struct(F.xxhash64(node, F.lit(seed)).alias("h"), F.col(node).alias("node"))
+
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        first = both.groupBy("a").agg(F.min(ranked("b")).alias("m"))
+        to = materialize(first.select(F.col("a").alias("node"), F.least("m", ranked("a"))["node"].alias("to")), f"{name}-map")
+        ends = links.join(to.select(F.col("node").alias("a"), F.col("to").alias("x")), "a").join(to.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
+        links = materialize(ends.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), f"{name}-left")
+        maps.append(to)
+    tops = maps.pop()
+    while maps:
+        above = tops.select(F.col("node").alias("to"), F.col("to").alias("top"))
+        tops = materialize(maps.pop().join(above, "to", "left").select("node", F.coalesce("top", "to").alias("to")), f"{name}-tops")
+    labels = tops.groupBy("to").agg(F.min("node").alias("label"))
+    return materialize(tops.join(labels, "to").select("node", "label"), f"{name}-labels")
 
 
 def _forest(similarity: tuple[int, int], least: float, k: int):
