@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boardsmith.functions.text import py_strip
@@ -143,13 +143,22 @@ COMMENT_CHUNK = 1000
 def comments_json(comments: DataFrame, post_col: str = "post_id", pos_col: str = "pos", date_col: str = "comment_date",
                   text_col: str = "comment_text", chunk_size: int = COMMENT_CHUNK) -> DataFrame:
     """H6: a post's comments as JSON arrays of ``{comment_date, comment_text}`` in position
-    order, non-ASCII kept.  One array per ``chunk_size`` positions (``chunk = pos div
-    chunk_size``), so a post with a third of all comments still spreads over bounded groups;
-    a post with fewer comments than ``chunk_size`` gets exactly one array.
+    order, non-ASCII kept.  Every ``chunk_size`` comments of a post are one array, whatever their positions
+    (``chunk`` counts from 0; null positions first), so a post with a third of all comments still spreads over bounded
+    groups: comments are numbered inside ranges of positions, and a range's offset is a running sum over the
+    post's ranges.
     """
-    chunk = F.floor(F.col(pos_col) / F.lit(chunk_size)).cast("bigint")
+    span = F.coalesce(F.floor(F.col(pos_col) / F.lit(chunk_size)).cast("bigint"), F.lit(-(2**63)))
+    rows = comments.withColumn("_span", span)
+    before = Window.partitionBy(post_col).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(post_col, "_span").agg(F.count(F.lit(1)).alias("_n")).select(
+        F.col(post_col).alias("_post"), F.col("_span").alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(post_col, "_span").orderBy(pos_col, date_col, text_col)
+    rows = rows.withColumn("_place", F.row_number().over(inside))
+    rows = rows.join(offsets, F.col(post_col).eqNullSafe(F.col("_post")) & (F.col("_span") == F.col("_at")))
+    chunk = F.floor((F.col("_off") + F.col("_place") - 1) / F.lit(chunk_size)).cast("bigint")
     item = F.struct(F.col(pos_col).alias("p"), F.col(date_col).alias("comment_date"), F.col(text_col).alias("comment_text"))
     arr = F.transform(F.array_sort(F.collect_list(item)), lambda x: F.struct(x["comment_date"].alias("comment_date"), x["comment_text"].alias("comment_text")))
-    return comments.groupBy(F.col(post_col).alias(post_col), chunk.alias("chunk")).agg(
+    return rows.groupBy(F.col(post_col).alias(post_col), chunk.alias("chunk")).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_comments"), F.to_json(arr).alias("comments_json")
     )

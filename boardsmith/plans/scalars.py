@@ -80,9 +80,10 @@ def join_list_q(spark, sf_dir):
 
 # ---- H6 -------------------------------------------------------------------------------------
 @register("to_json_comments", oracle=f"""
-SELECT conv_id, CAST(turn // {P.COMMENT_CHUNK} AS BIGINT) AS chunk, CAST(count(*) AS BIGINT) AS n_comments,
+SELECT conv_id, CAST(place // {P.COMMENT_CHUNK} AS BIGINT) AS chunk, CAST(count(*) AS BIGINT) AS n_comments,
        CAST(to_json(list({{'comment_date': '2025-01-01 00:0' || CAST(turn AS VARCHAR), 'comment_text': text}} ORDER BY turn)) AS VARCHAR) AS comments_json
-FROM conversations WHERE turn >= 1 GROUP BY conv_id, turn // {P.COMMENT_CHUNK}
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) - 1 AS place FROM conversations WHERE turn >= 1)
+GROUP BY conv_id, place // {P.COMMENT_CHUNK}
 """)
 def to_json_comments_q(spark, sf_dir):
     """H6: a post's comments (turns >= 1) as a JSON array of ``{comment_date, comment_text}``, non-ASCII kept."""

@@ -90,6 +90,17 @@ def test_comments_json_chunks(spark):
     assert out[(1, 1)].comments_json.startswith('[{"comment_date":"d1000"')
 
 
+def test_comments_json_chunks_count_comments_not_positions(spark):
+    rows = [(1, 999, "d", "a"), (1, 1000, "d", "b"), (1, None, "d", "first"), (1, 5_000_000, "d", "last"), (None, 3, "d", "x"), (2, 4, "d", "p"), (2, 4, "d", "q")]
+    df = spark.createDataFrame(rows, "post_id bigint, pos bigint, comment_date string, comment_text string")
+    out = P.comments_json(df, chunk_size=3).collect()
+    assert {(r.post_id, r.chunk, r.n_comments) for r in out} == {(1, 0, 3), (1, 1, 1), (None, 0, 1), (2, 0, 2)}
+    text = {(r.post_id, r.chunk): r.comments_json for r in out}
+    assert [text[(1, 0)].index(f'"{t}"') for t in ("first", "a", "b")] == sorted(text[(1, 0)].index(f'"{t}"') for t in ("first", "a", "b"))
+    assert '"last"' in text[(1, 1)]
+
+
+
 def test_row_index_many_buckets_binary_search(spark):
     df = spark.range(20000).select(((F.col("id") * 7919) % 20011).alias("k"))
     a = {r.k: r.row_idx for r in B.with_row_index(df, "k", num_buckets=8).collect()}
