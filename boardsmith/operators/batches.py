@@ -8,7 +8,7 @@ count so a bucket holds about 2M rows) and a row's bucket is found by binary sea
 them, a pure function of its key.  Per-bucket counts (one row per bucket) give running offsets that
 are broadcast back; inside a bucket ``row_number`` orders by the key.  Any recomputation,
 e.g. after an executor is lost, yields the same numbers, if the key is unique; else write the numbered rows once
-before using them twice.  Keys are numbers, dates or timestamps; null keys come first.
+before using them twice.  Keys are numbers, dates or timestamps; null keys come first (last in descending order).
 """
 
 from __future__ import annotations
@@ -107,13 +107,16 @@ def key_buckets(df: DataFrame, key: str, n: int | None = None) -> Column:
     return _bucket_expr(number, bounds)
 
 
-def with_row_index(df: DataFrame, order_col: str, out: str = "row_idx", num_buckets: int | None = None) -> DataFrame:
-    """Add a dense 0-based position in ``order_col`` order, without a one-partition window."""
+def with_row_index(df: DataFrame, order_col: str, out: str = "row_idx", num_buckets: int | None = None, descending: bool = False) -> DataFrame:
+    """Add a dense 0-based position in ``order_col`` order, without a one-partition window.
+
+    Ascending order starts with null keys; ``descending`` (newest first) is its reverse and ends with them.
+    """
     b = df.withColumn("_bucket", key_buckets(df, order_col, num_buckets))
     counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(F.desc("_bucket") if descending else F.asc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bucket", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("_bucket").orderBy(F.col(order_col).asc())
+    inside = Window.partitionBy("_bucket").orderBy(F.desc(order_col) if descending else F.asc(order_col))
     return (
         b.join(F.broadcast(offsets), "_bucket")
         .withColumn(out, (F.col("_off") + F.row_number().over(inside) - 1).cast("bigint"))
@@ -121,9 +124,9 @@ def with_row_index(df: DataFrame, order_col: str, out: str = "row_idx", num_buck
     )
 
 
-def with_batches(df: DataFrame, order_col: str, size: int, row_col: str = "row_idx", batch_col: str = "batch_id") -> DataFrame:
+def with_batches(df: DataFrame, order_col: str, size: int, row_col: str = "row_idx", batch_col: str = "batch_id", descending: bool = False) -> DataFrame:
     """Global position plus ``batch_id = position div size``."""
-    numbered = with_row_index(df, order_col, row_col)
+    numbered = with_row_index(df, order_col, row_col, descending=descending)
     return numbered.withColumn(batch_col, F.floor(F.col(row_col) / F.lit(size)).cast("bigint"))
 
 

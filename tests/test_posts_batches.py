@@ -116,3 +116,13 @@ def test_row_index_bucket_count_follows_data(spark, monkeypatch):
     assert out.select(F.countDistinct("row_idx"), F.min("row_idx"), F.max("row_idx")).first() == (20000, 0, 19999)
     b = df.select(B.key_buckets(df, "k").alias("b")).agg(F.countDistinct("b")).first()[0]
     assert b > 30
+
+
+def test_numbering_newest_first(spark):
+    ids = [*range(100, 160), None]
+    df = spark.createDataFrame([(i,) for i in ids], "post_id bigint").repartition(4)
+    for buckets in (1, 7):
+        out = {r.post_id: r.row_idx for r in B.with_row_index(df, "post_id", num_buckets=buckets, descending=True).collect()}
+        assert out == {i: 159 - i for i in range(100, 160)} | {None: 60}
+    first = B.with_batches(df, "post_id", 10, descending=True).where("batch_id = 0").collect()
+    assert sorted(r.post_id for r in first) == list(range(150, 160))
