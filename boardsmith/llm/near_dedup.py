@@ -18,8 +18,9 @@ chance of less than one in a million; sets smaller than the sketch are handled e
 
 Defined cases: null text counts as empty; a text without words has an empty set, links with nothing and is its own
 component; a text with fewer words than a shingle is one shingle; null ids are never the smallest id of a
-component that has others; rows that repeat an id are rows of the result; an empty table gives no rows; other columns are
-ignored by ``near_duplicates`` and kept by ``keep_one_of_each``.
+component that has others; rows that repeat an id are rows of the result of ``near_duplicates``, and ``keep_one_of_each`` keeps one
+row of a group, whatever ids repeat; an empty table gives no rows; other columns are ignored by ``near_duplicates`` and
+kept by ``keep_one_of_each``.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardsmith.llm.common import prepare, shuffle_partitions
+from boardsmith.llm.common import fresh, prepare, shuffle_partitions
 from boardsmith.llm.tokens import Generations
 from boardsmith.session import materialize
 
@@ -256,13 +257,22 @@ def _links(full: DataFrame, similarity: tuple[int, int], least: float, k: int) -
     return dealt.groupBy("label", "pair").applyInPandas(_forest(similarity, least, k), "a binary, b binary")
 
 
-def keep_one_of_each(docs: DataFrame, width: int = 5, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document stays: the smallest id of each near-duplicate group, with all columns; rows without an id stay."""
-    (key,) = [c for c in docs.columns if c == id_col]
-    gone = near_duplicates(docs, width, similarity, id_col=id_col, text_col=text_col).where("NOT kept AND doc_id IS NOT NULL").select("doc_id")
-    name = "__gone"
-    while name in docs.columns:
-        name += "_"
-    return docs.join(gone.select(F.col("doc_id").alias(name)).distinct(), F.col(f"`{key}`") == F.col(name), "left_anti")
-
+def keep_one_of_each(docs: DataFrame, width: int = 5, similarity: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text",
+                     keep_unnamed: bool = True) -> DataFrame:
+    """The rows of ``docs`` that stay, with all columns: one row of each near-duplicate group, the one with the smallest id (then the first written).
 
+    Rows are told apart by a written row number, so rows that repeat an id are judged by their own texts.  Rows without an id all
+    stay beside the others unless ``keep_unnamed`` is false; then they are rows like others, after those that have an id.
+    """
+    (key,) = [c for c in docs.columns if c == id_col]
+    prepare(docs.sparkSession)
+    (row,) = fresh(docs, "row")
+    # Written first: a row must have the same number wherever it is read.
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")
+    parts = near_duplicates(numbered, width, similarity, id_col=row, text_col=text_col).select(F.col("doc_id").alias("row"), "component_id")
+    ids = numbered.select(F.col(row).alias("row"), F.col(f"`{key}`").cast("long").alias("id"))
+    rank = F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")
+    stay = parts.join(ids, "row").groupBy("component_id").agg(F.min(rank)["row"].alias("row")).select("row")
+    if keep_unnamed:
+        stay = stay.unionByName(ids.where("id IS NULL").select("row"))
+    return numbered.join(stay.withColumnRenamed("row", row), row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

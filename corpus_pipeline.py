@@ -24,8 +24,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each group of near-duplicates (five-word shingles, similarity of 0.8 or more)."""
-    return near_dedup.keep_one_of_each(docs, width=5, similarity=(4, 5))
+    """Keeps one row of each group of near-duplicates, the smallest id (five-word shingles, similarity of 0.8 or more)."""
+    # A copy without an id goes too: beside the kept row, the next stage would cut the text out of both.
+    return near_dedup.keep_one_of_each(docs, width=5, similarity=(4, 5), keep_unnamed=False)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

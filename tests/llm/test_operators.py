@@ -103,6 +103,18 @@ def test_keep_one_of_each(spark, odd):
     assert near_dedup.keep_one_of_each(odd).columns == odd.columns
 
 
+def test_keep_one_of_each_by_row(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(100)) for c in "xyz")
+    rows = [(5, x), (5, x), (None, x + " end"), (5, y), (None, z), (None, z), (7, None), (7, None)]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id bigint, text string, __row int")
+    one = [(5, x), (5, y), (None, z), (7, None), (7, None)]  # texts without words are no copies of each other
+    got = near_dedup.keep_one_of_each(df, keep_unnamed=False)
+    assert rows_of(got, "doc_id", "text") == sorted(one, key=repr) and got.columns == df.columns
+    assert rows_of(near_dedup.keep_one_of_each(df), "doc_id", "text") == sorted([*one, (None, x + " end"), (None, z)], key=repr)
+    lost = frame(spark, [(3, x), (5, x + " end"), (5, y)])
+    assert rows_of(near_dedup.keep_one_of_each(lost), "doc_id", "text") == sorted([(3, x), (5, y)], key=repr)
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a bigint, b bigint")
     got = dict(rows_of(near_dedup.components(links, "chain"), "node", "label"))
