@@ -7,7 +7,9 @@ projection that yields a verdict and the names of the failed rules.
 Defined cases: a null text counts as empty (no words, so the base rule fails); ids may be null or repeated,
 each row is judged alone; ratios over nothing are 0; other columns of the input do not matter, whatever
 their names.  Measures count whole texts; a hash of a window only decides whether the exact count of
-repeated windows has to run at all.
+repeated windows has to run at all.  The stop words are those of four languages, so their share is held only against
+texts of ``SHARE_WORDS`` words or more, mostly in Latin letters, whose ``lang`` (where there is one) names one of the four
+or none; a Latin text in another language without a ``lang`` is still judged by them.
 """
 
 from __future__ import annotations
@@ -30,6 +32,12 @@ STOP_WORDS = (
 )
 
 
+# What a ``lang`` column calls these languages, and what it says where it knows none.
+STOP_WORD_LANGS = ("en", "eng", "fr", "fra", "fre", "de", "deu", "ger", "es", "spa")
+NO_LANG = ("", "und", "unknown")
+SHARE_WORDS = 50  # in fewer words, a share of 0.02 is less than one word
+
+
 @dataclass(frozen=True)
 class Rule:
     """``low <= measure <= high``; a bound that is None does not apply."""
@@ -109,8 +117,18 @@ def _measures(df: DataFrame, text_col: str, out: str) -> DataFrame:
     ).alias(out))
 
 
-def compile_rules(measures: str, rules: tuple[Rule, ...] = RULES) -> Column:
-    """Names of the rules that a row fails, as one expression over the struct ``measures``."""
+def _listed_language(measures: str, text: Column, lang: Column | None) -> Column:
+    """Whether the share of stop words tells something: enough words, mostly Latin letters, and no ``lang`` besides the listed ones."""
+    told = F.lit(True)
+    if lang is not None:
+        code = F.coalesce(F.lower(F.btrim(F.split(lang, "[-_]").getItem(0))), F.lit(""))
+        told = code.isin(*STOP_WORD_LANGS, *NO_LANG)
+    latin = 2 * F.regexp_count(text, F.lit(r"\p{IsLatin}")) > F.regexp_count(text, F.lit(r"\p{L}"))
+    return (F.col(measures)["n_words"] >= SHARE_WORDS) & told & latin
+
+
+def compile_rules(measures: str, rules: tuple[Rule, ...] = RULES, only: dict[str, Column] | None = None) -> Column:
+    """Names of the rules that a row fails, as one expression over the struct ``measures``; ``only`` says by name where a rule applies."""
     failed = []
     for r in rules:
         m = F.col(measures)[r.measure]
@@ -119,6 +137,8 @@ def compile_rules(measures: str, rules: tuple[Rule, ...] = RULES) -> Column:
             bad = bad | (m < r.low)
         if r.high is not None:
             bad = bad | (m > r.high)
+        if only and r.name in only:
+            bad = bad & only[r.name]
         failed.append(F.when(bad, F.lit(r.name)))
     return F.array_compact(F.array(*failed))
 
@@ -128,14 +148,20 @@ def _passes(measures: str, failed: Column) -> Column:
     return ~m["base_failed"] & (F.size(failed) == 0) & (m["row"] >= 0)
 
 
-def _private(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+def _private(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    lang = F.col(f"`{lang_col}`").cast("string") if lang_col in df.columns else F.lit(None).cast("string")
+    return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), lang.alias("lang"))
+
 
+def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, lang_col: str = "lang",
+                   by_language: bool = True) -> DataFrame:
+    """One row per input row: id, measures, ``base_failed``, ``kept`` and ``failed_rules`` (names, in table order).
 
-def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per input row: id, measures, ``base_failed``, ``kept`` and ``failed_rules`` (names, in table order)."""
-    m = _measures(_private(docs, id_col, text_col), "text", "m")
-    m = m.select("doc_id", "m", compile_rules("m", rules).alias("failed_rules"))
+    ``by_language``: the rule ``stop_words`` judges only texts that can be in a listed language and are long enough.
+    """
+    m = _measures(_private(docs, id_col, text_col, lang_col), "text", "m")
+    only = {"stop_words": _listed_language("m", F.col("text"), F.col("lang"))} if by_language else None
+    m = m.select("doc_id", "m", compile_rules("m", rules, only).alias("failed_rules"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     ratios = ["mean_word", "symbol_ratio", "dup_line_ratio", "stop_ratio", "letter_ratio"]
     return m.select(
@@ -144,10 +170,12 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         *[F.col("m")[c].alias(c) for c in ratios], "failed_rules")
 
 
-def keep_quality(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of ``docs`` that pass every rule, with their columns as they were."""
+def keep_quality(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that pass every rule, with their columns as they were; stop words are judged ``by_language``."""
     (out,) = fresh(docs, "quality")
     m = _measures(docs, text_col, out)
-    return m.where(_passes(out, compile_rules(out, rules))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    lang = F.col(f"`{lang_col}`").cast("string") if lang_col in docs.columns else None
+    only = {"stop_words": _listed_language(out, F.col(text_col), lang)}
+    return m.where(_passes(out, compile_rules(out, rules, only))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

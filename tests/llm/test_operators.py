@@ -57,6 +57,22 @@ def test_quality_filter_keeps_columns(odd, empty, docs):
     assert {r["doc_id"] for r in quality.keep_quality(docs).collect()} == good and len(good) > 100
 
 
+def test_stop_words_judge_listed_languages_only(spark):
+    def words(*kinds):
+        return " ".join(f"{k}{i}" for i, k in zip(range(80), kinds * 80, strict=False))
+
+    korean, polish, junk = words("게시글", "댓글"), words("słowo", "zdanie"), words("buy", "cheap")
+    rows = [(1, korean, "ko"), (2, korean, None), (3, polish, "pl"), (4, junk, "en-US"), (5, junk, None), (6, " ".join(junk.split()[:12]), "en"),
+            (7, junk + " the and of", "en"), (8, korean, "en")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    good = [1, 2, 3, 6, 7, 8]
+    assert sorted(r["doc_id"] for r in quality.keep_quality(df).collect()) == good
+    report = quality.quality_report(df)
+    assert sorted(r["doc_id"] for r in report.where("kept").collect()) == good
+    assert {tuple(r["failed_rules"]) for r in report.where("NOT kept").collect()} == {("stop_words",)}
+    assert sorted(r["doc_id"] for r in quality.keep_quality(df.drop("lang")).collect()) == [1, 2, 6, 7, 8]
+
+
 # --- near-duplicates ---------------------------------------------------------------------------------------------
 
 NEAR = ("doc_id", "n_shingles", "component_id", "kept")
