@@ -2,8 +2,10 @@
 
 A text of symbols is sorted by the induction from its leftmost smaller (LMS) suffixes.  What passes between buckets
 are suffix tuples (position, common prefix with the tuple before); each bucket is a first-in first-out queue, and
-taking the buckets in symbol order makes them one monotone priority queue.  Queues above ``SPILL`` bytes live in
-temporary files, so memory holds the text, its suffix types and the bucket at hand.
+taking the buckets in symbol order makes them one monotone priority queue.  What a pass has sorted goes to queues as
+well, which the next pass takes bucket by bucket.  Queues above ``SPILL`` bytes live in temporary files, so of the
+tuples memory holds that many bytes a queue set and the bucket at hand; it also holds the text, its suffix types and, while the LMS
+substrings are named, about 32 bytes a symbol.  Shards of the usual size stay below ``SPILL`` and never reach the disk.
 
 The reduced text of LMS names is ordered by the same induction's names, doubled until they cover ``depth``
 symbols: only repeats of ``depth`` matter here, so suffixes equal up to there stay in any order, and common-prefix
@@ -45,6 +47,16 @@ class Queues:
                     queue[i] = (place, len(part))
         self.held = 0
 
+    def get(self, symbol: int) -> np.ndarray:
+        """The tuples of a symbol, which stay in their queue."""
+        out = []
+        for part in self.parts[symbol]:
+            if isinstance(part, tuple):
+                self.file.seek(part[0])
+                part = np.frombuffer(self.file.read(part[1] * TUPLE.itemsize), TUPLE)
+            out.append(part)
+        return np.concatenate(out) if out else np.zeros(0, TUPLE)
+
     def take(self, symbol: int) -> np.ndarray:
         queue, out = self.parts[symbol], []
         for part in queue:
@@ -58,6 +70,17 @@ class Queues:
         return np.concatenate(out) if out else np.zeros(0, TUPLE)
 
 
+class Turned:
+    """Queues read downwards, where a tuple's common prefix is the one with the tuple above it."""
+
+    def __init__(self, queues: Queues):
+        self.queues = queues
+
+    def get(self, symbol: int) -> np.ndarray:
+        up = self.queues.get(symbol)
+        return tuples(up["pos"][::-1], np.append(0, up["lcp"][:0:-1])) if len(up) else up
+
+
 def tuples(pos: np.ndarray, lcp: np.ndarray | int) -> np.ndarray:
     out = np.empty(len(pos), TUPLE)
     out["pos"], out["lcp"] = pos, lcp
@@ -113,36 +136,35 @@ class Sorter:
         for c, low_end in ends.items():
             carry[c] = low_end
 
-    def _pass(self, seeds: dict[int, np.ndarray], small: bool) -> dict[int, list[np.ndarray]]:
+    def _pass(self, seeds: Queues | Turned, small: bool) -> Queues:
         """Sorted tuples of one type per symbol; ``seeds`` are the other type's, sorted, which open each bucket's second part."""
-        queues, carry, out = Queues(self.symbols, self.spill), np.full(self.symbols, -1, np.int32), {}
+        queues, carry, out = Queues(self.symbols, self.spill), np.full(self.symbols, -1, np.int32), Queues(self.symbols, self.spill)
         for c in range(self.symbols - 1, -1, -1) if small else range(self.symbols):
             last, fresh = -1, True
             while len(batch := queues.take(c)):
                 batch = batch.copy()
                 if fresh:
                     batch["lcp"][0], fresh = 0, False
-                out.setdefault(c, []).append(batch)
+                out.put(c, batch)
                 last = int(batch["pos"][-1])
                 self._induce(batch, queues, small, carry)
-            if len(batch := seeds.get(c, ())):
+            if len(batch := seeds.get(c)):
                 batch = batch.copy()
                 batch["lcp"][0] = 0 if last < 0 else min(self.run[last], self.run[batch["pos"][0]])
                 self._induce(batch, queues, small, carry)
         return out
 
-    def _by_symbol(self, pos: np.ndarray, lcp: np.ndarray | int) -> dict[int, np.ndarray]:
+    def _by_symbol(self, pos: np.ndarray, lcp: np.ndarray | int) -> Queues:
         """Tuples of sorted suffixes dealt to their first symbols; a bucket's first common prefix is 0."""
         kinds, first = np.unique(self.text[pos], return_index=True)
-        return dict(zip(kinds.tolist(), np.split(tuples(pos, lcp), first[1:]), strict=True))
+        out = Queues(self.symbols, self.spill)
+        for c, part in zip(kinds.tolist(), np.split(tuples(pos, lcp), first[1:]), strict=True):
+            out.put(c, part)
+        return out
 
-    def _both(self, pos: np.ndarray, lcp: np.ndarray | int):
+    def _both(self, pos: np.ndarray, lcp: np.ndarray | int) -> tuple[Queues, Queues]:
         large = self._pass(self._by_symbol(pos, lcp), small=False)
-        turned = {}
-        for c, parts in large.items():  # downwards, a tuple's common prefix is the one with the tuple above it
-            up = np.concatenate(parts)
-            turned[c] = tuples(up["pos"][::-1], np.append(0, up["lcp"][:0:-1]))
-        return large, self._pass(turned, small=True)
+        return large, self._pass(Turned(large), small=True)
 
     def _names(self) -> tuple[np.ndarray, np.ndarray]:
         """Sorted order of the LMS substrings (indices into ``lms``), and the name of each in text order."""
@@ -150,9 +172,12 @@ class Sorter:
         _, small = self._both(lms[np.argsort(text[lms], kind="stable")], 0)
         is_lms = np.zeros(len(text), bool)
         is_lms[lms] = True
-        found = np.concatenate([np.concatenate(small[c])["pos"][::-1] for c in sorted(small)]) if small else np.zeros(0, np.int32)
         end = lms[-1]  # the last separator has no symbol after it and comes first
-        found = np.concatenate([[end], found[is_lms[found] & (found != end)]])
+        found = [np.array([end], np.int32)]
+        for c in range(self.symbols):
+            pos = small.get(c)["pos"][::-1]
+            found.append(pos[is_lms[pos] & (pos != end)])
+        found = np.concatenate(found)
         order = np.searchsorted(lms, found)
         until = np.append(lms[1:], len(text) - 1)
         size = until - lms + 1
@@ -210,9 +235,8 @@ class Sorter:
         if not len(self.lms):
             return out
         large, small = self._both(*self._sorted_lms())
-        for c in set(large) | set(small):
-            up = np.concatenate(large[c]) if c in large else np.zeros(0, TUPLE)
-            down = np.concatenate(small[c]) if c in small else np.zeros(0, TUPLE)
+        for c in range(self.symbols):
+            up, down = large.get(c), small.get(c)
             for t in (up, down):
                 far = np.flatnonzero(t["lcp"][1:] >= self.depth) + 1
                 out[t["pos"][far]] = out[t["pos"][far - 1]] = True

@@ -7,8 +7,12 @@
    passage in many documents is one row; a distinct segment that is alone under its anchor needs no sort.
 3. The bytes of the rest are dealt to shards by anchor and each shard is sorted by ``induced_sort``: suffixes whose
    common prefix with a neighbour reaches ``least`` are windows that start elsewhere too.  Shards are cut between
-   anchors at ``SHARD_BYTES``; one anchor beyond that is sorted whole, on queues that move to disk.
-4. Repeated windows go back to every occurrence of their segment and are cut from the texts.
+   anchors at ``SHARD_BYTES``.
+4. An anchor whose distinct segments exceed ``GROUP_BYTES`` is dealt again before it is sorted: its windows by the
+   anchor's offset in them, in cells of a quarter of the offsets, and by a hash of the bytes that all windows of a cell
+   have.  Equal windows share both.  Equal pieces become one row again, and what is still too large is dealt in cells
+   of a quarter of that width, down to single windows, of which only distinct ones are left; so every shard is bounded.
+5. Repeated windows go back to every occurrence of their segment and are cut from the texts.
 
 Matches never cross texts.  Strings are judged on the input, not on what is left.  Hashes of segments have 128 bits.
 
@@ -25,7 +29,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +39,8 @@ from boardsmith.llm.near_dedup import mixed
 from boardsmith.session import materialize
 
 SHARD_BYTES = 4_000_000
+GROUP_BYTES = 4_000_000  # bytes of the distinct segments of one anchor before they are dealt again
+DEAL = 4  # cells into which the offsets of such an anchor are cut in each round
 BLOCK = 1 << 19  # bytes that are hashed at once; a longer text is taken in overlapping blocks
 _BASE = 0x9E3779B97F4A7C15
 _TABLE = np.random.default_rng(11).integers(1, 2**63, 256, np.uint64)
@@ -74,7 +80,7 @@ class Anchors:
             yield run
 
     def segments(self, run: list[tuple[int, int, bytes]]):
-        """Arrays (text index, first byte, bytes, anchor, content) of the segments of one run."""
+        """Arrays (text index, first byte, bytes, anchor, content, the anchor's offset) of the segments of one run."""
         data = np.frombuffer(b"".join(p for _, _, p in run), np.uint8)
         n, least, gram = len(data), self.least, self.gram
         total = np.concatenate([[np.uint64(0)], np.cumsum(_TABLE[data] * self.power[:n])])
@@ -100,14 +106,14 @@ class Anchors:
         content = mixed((total[end] - total[first]) * self.back[first] + (end - first).astype(np.uint64))
         index, offset = np.array([i for i, _, _ in run]), np.array([at for _, at, _ in run])
         own = owner[first]
-        return index[own], offset[own] + first - tops[own], end - first, hashed[anchor[first]].view(np.int64), content.view(np.int64)
+        return index[own], offset[own] + first - tops[own], end - first, hashed[anchor[first]].view(np.int64), content.view(np.int64), anchor[first] - first
 
 
 def text_id(text: bytes) -> bytes:
     return xxhash.xxh3_128_digest(text)
 
 
-SEGMENTS = "tid binary, first bigint, size bigint, anchor bigint, content bigint"
+SEGMENTS = "tid binary, first bigint, size bigint, anchor bigint, content bigint, spot bigint"
 
 
 def _segments(least: int):
@@ -120,7 +126,7 @@ def _segments(least: int):
                 found = anchors.segments(block)
                 if found:
                     own, *rest = found
-                    yield pa.RecordBatch.from_arrays([tids.take(pa.array(own)), *map(pa.array, rest)], ["tid", "first", "size", "anchor", "content"])
+                    yield pa.RecordBatch.from_arrays([tids.take(pa.array(own)), *map(pa.array, rest)], ["tid", "first", "size", "anchor", "content", "spot"])
 
     return run
 
@@ -133,7 +139,33 @@ def _cut_out(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r["anchor"] for r in rows], pa.int64()), pa.array([r["content"] for r in rows], pa.int64()),
                  pa.array([r["n"] for r in rows], pa.int64()),
-                 pa.array([data[r["first"]:r["first"] + r["size"]] for r in rows], pa.binary())], ["anchor", "content", "n", "bytes"])
+                 pa.array([data[r["first"]:r["first"] + r["size"]] for r in rows], pa.binary()),
+                 pa.array([r["spot"] for r in rows], pa.int64())], ["anchor", "content", "n", "bytes", "spot"])
+
+
+ROWS = "anchor bigint, content bigint, n bigint, bytes binary, spot bigint"
+PIECES = "whole_anchor bigint, whole_content bigint, lo bigint, " + ROWS
+
+
+def _pieces(least: int, width: int):
+    """Rows (``ROWS``) to their windows dealt in cells of ``width`` offsets; a piece's anchor is the hash of its cell and of the bytes in all its windows."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for anchor, content, n, data, spot in zip(*[b.column(c).to_pylist() for c in ("anchor", "content", "n", "bytes", "spot")], strict=True):
+                last = len(data) - least  # the start of the last window; the anchor's offset in a window is spot - start
+                for cell in range((spot - last) // width, spot // width + 1):
+                    lo, hi = max(0, spot - cell * width - width + 1), min(last, spot - cell * width)
+                    core = data[spot - cell * width:spot - cell * width - width + 1 + least]
+                    piece = data[lo:hi + least]
+                    key = xxhash.xxh3_64_intdigest(b"%d %d %d " % (anchor, cell, width) + core)
+                    out.append((anchor, content, lo, key - 2**63, xxhash.xxh3_64_intdigest(piece, 1) - 2**63, n, piece, spot - lo))
+            cols = list(zip(*out, strict=True)) if out else [[]] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i == 6 else pa.int64()) for i, c in enumerate(cols)],
+                                             ["whole_anchor", "whole_content", "lo", "anchor", "content", "n", "bytes", "spot"])
+
+    return run
 
 
 RANGES = "anchor bigint, content bigint, ranges array<struct<lo:bigint,hi:bigint>>"
@@ -187,26 +219,60 @@ def _sorted_shards(least: int):
     return run
 
 
+def _whole_range(size: Column) -> Column:
+    return F.array(F.struct(F.lit(0).cast("long").alias("lo"), size.cast("long").alias("hi"))).alias("ranges")
+
+
+def _by_shards(rows: DataFrame, least: int) -> DataFrame:
+    """(anchor, content, ranges) of rows (``ROWS``) of which each anchor's fit one shard."""
+    dealt = rows.select("anchor", "content", "n", "bytes").repartition(shuffle_partitions(rows.sparkSession), "anchor")
+    return dealt.sortWithinPartitions("anchor", "content").mapInArrow(_sorted_shards(least), RANGES)
+
+
+def _dealt_ranges(rows: DataFrame, least: int, width: int) -> DataFrame:
+    """(anchor, content, ranges) of rows (``ROWS``) of anchors too large for a shard, whose windows have the anchor at ``width`` offsets."""
+    width = -(-width // DEAL)
+    pieces = materialize(rows.mapInArrow(_pieces(least, width), PIECES), "pieces")
+    distinct = pieces.groupBy("anchor", "content").agg(F.sum("n").alias("n"), F.first("bytes").alias("bytes"), F.first("spot").alias("spot"))
+    distinct = materialize(distinct, "distinct-pieces")
+    totals = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"), F.sum(F.length("bytes")).alias("total")).where("contents > 1")
+    totals = materialize(totals.select("anchor", "total"), "several-pieces")
+    alone = distinct.join(totals, "anchor", "left_anti").where("n > 1").select("anchor", "content", _whole_range(F.length("bytes")))
+    fits, large = F.col("total") <= GROUP_BYTES, totals.where(F.col("total") > GROUP_BYTES)
+    if width == 1 or large.isEmpty():  # a cell of one offset holds one distinct window
+        fits = F.lit(True)
+    ranges = _by_shards(distinct.join(totals.where(fits), "anchor", "left_semi"), least).unionByName(alone)
+    if width > 1 and not large.isEmpty():
+        ranges = ranges.unionByName(_dealt_ranges(distinct.join(large, "anchor", "left_semi"), least, width))
+    back = pieces.select("whole_anchor", "whole_content", "lo", "anchor", "content").join(ranges, ["anchor", "content"])
+    moved = F.transform("ranges", lambda r: F.struct((r["lo"] + F.col("lo")).alias("lo"), (r["hi"] + F.col("lo")).alias("hi")))
+    return back.select(F.col("whole_anchor").alias("anchor"), F.col("whole_content").alias("content"), moved.alias("ranges"))
+
+
 def repeated_ranges(texts: DataFrame, least: int) -> DataFrame:
     """(tid, ranges) of the texts (column ``text``) that hold repeated strings; ranges overlap and are not sorted."""
     spark = texts.sparkSession
     found = materialize(texts.mapInArrow(_segments(least), SEGMENTS), "segments")
     again = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("anchor")
+    again = materialize(again, "repeated-anchors")  # a join with an aggregate on its own shuffle cannot be split at a common anchor
     shared = materialize(found.join(again, "anchor", "left_semi"), "shared-segments")
 
-    distinct = shared.groupBy("anchor", "content", "size").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("tid", "first")).alias("at"))
+    distinct = shared.groupBy("anchor", "content", "size").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("tid", "first", "spot")).alias("at"))
     distinct = materialize(distinct, "distinct-segments")
-    several = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1").select("anchor")
-    alone = distinct.join(several, "anchor", "left_anti").where("n > 1").select(
-        "anchor", "content", F.array(F.struct(F.lit(0).cast("long").alias("lo"), F.col("size").alias("hi"))).alias("ranges"))
-    wanted = distinct.join(several, "anchor", "left_semi").select(F.col("at.tid").alias("tid"), F.struct("anchor", "content", "n", "size", F.col("at.first").alias("first")).alias("w"))
-    wanted = wanted.groupBy("tid").agg(F.collect_list("w").alias("wanted"))
-
-    by_text = texts.mapInArrow(_with_id, "tid binary, text string")
-    data = by_text.dropDuplicates(["tid"]).join(wanted, "tid").select("text", "wanted")
-    data = data.mapInArrow(_cut_out, "anchor bigint, content bigint, n bigint, bytes binary")
-    shards = data.repartition(shuffle_partitions(spark), "anchor").sortWithinPartitions("anchor", "content")
-    ranges = shards.mapInArrow(_sorted_shards(least), RANGES).unionByName(alone)
+    several = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"), F.sum("size").alias("total")).where("contents > 1")
+    several = materialize(several.select("anchor", "total"), "several-segments")
+    alone = distinct.join(several, "anchor", "left_anti").where("n > 1").select("anchor", "content", _whole_range(F.col("size")))
+    by_text = texts.mapInArrow(_with_id, "tid binary, text string").dropDuplicates(["tid"])
+
+    def cut_out(anchors: DataFrame) -> DataFrame:
+        w = F.struct("anchor", "content", "n", "size", F.col("at.first").alias("first"), F.col("at.spot").alias("spot"))
+        wanted = distinct.join(anchors, "anchor", "left_semi").select(F.col("at.tid").alias("tid"), w.alias("w")).groupBy("tid").agg(F.collect_list("w").alias("wanted"))
+        return by_text.join(wanted, "tid").select("text", "wanted").mapInArrow(_cut_out, ROWS)
+
+    large = several.where(F.col("total") > GROUP_BYTES)
+    ranges = _by_shards(cut_out(several.where(F.col("total") <= GROUP_BYTES)), least).unionByName(alone)
+    if not large.isEmpty():
+        ranges = ranges.unionByName(_dealt_ranges(cut_out(large), least, least - max(1, least * 2 // 5) + 1))
     ranges = materialize(ranges, "ranges")
 
     # Back to every text that holds the segment; copies of a text are one row here.

@@ -149,6 +149,30 @@ def by_sorter(segments, depth, spill):
     return out
 
 
+def test_suffix_dedup_deals_a_common_line_again(spark, monkeypatch):
+    rng = random.Random(9)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    line, story = noise(30), noise(90)
+    texts = [noise(rng.randint(0, 60)) + line + noise(rng.randint(0, 60)) for _ in range(120)]
+    for _ in range(20):  # the line inside longer passages that repeat, cut at different places
+        at, until = rng.randint(0, 30), rng.randint(60, 90)
+        texts.append(noise(5) + (story[:40] + line + story[40:])[at:until + 30] + noise(rng.randint(0, 9)))
+    texts += [texts[0], "ab" * 60, "ab" * 50 + "a", "a" * 70, "", None]
+    df = frame(spark, [(i, t) for i, t in enumerate(texts)])
+    want = sorted(brute.repeats(plain(df), 50), key=repr)
+    rounds, deal = [], suffix_dedup._pieces
+    monkeypatch.setattr(suffix_dedup, "_pieces", lambda least, width: (rounds.append(width), deal(least, width))[1])
+    for bound in (1_000, 60):
+        rounds.clear()
+        monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", bound)
+        got = suffix_dedup.repeat_report(df, 50)
+        assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+        assert rounds and rounds == [8, 2, 1][: len(rounds)]
+
+
 def test_induced_sort_random():
     rng = random.Random(3)
     for _ in range(300):
