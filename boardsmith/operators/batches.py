@@ -8,7 +8,8 @@ count so a bucket holds about 2M rows) and a row's bucket is found by binary sea
 them, a pure function of its key.  Per-bucket counts (one row per bucket) give running offsets that
 are broadcast back; inside a bucket ``row_number`` orders by the key.  Any recomputation,
 e.g. after an executor is lost, yields the same numbers, if the key is unique; else write the numbered rows once
-before using them twice.  Keys are numbers, dates or timestamps; null keys come first (last in descending order).
+before using them twice.  Numbers, dates and timestamps are cut by quantiles; any other orderable key (texts) by the
+splitters of ``ranking``.  Null keys come first (last in descending order).
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boardsmith.functions.util import ordered_concat
+from boardsmith.operators.ranking import with_rank
 
-MAX_BUCKETS = 65_536
 TARGET_ROWS_PER_BUCKET = 2_000_000
 QUANTILE_ACCURACY = 10_000
 
@@ -86,7 +87,7 @@ def _as_number(df: DataFrame, key: str) -> Column:
         return F.unix_date(key)
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(key)
-    raise TypeError(f"rows are numbered by a numeric, date or timestamp key; {key} is {kind.simpleString()}")
+    raise TypeError(f"quantiles need a numeric, date or timestamp key; {key} is {kind.simpleString()}")
 
 
 def key_buckets(df: DataFrame, key: str, n: int | None = None) -> Column:
@@ -94,14 +95,14 @@ def key_buckets(df: DataFrame, key: str, n: int | None = None) -> Column:
 
     With ``n`` unset: one aggregation returns the row count and the bounds for the shuffle
     partition count; only when buckets would then exceed ``TARGET_ROWS_PER_BUCKET`` rows is a
-    second pass run with more bounds (n = rows / target, at most ``MAX_BUCKETS``).
+    second pass run with more bounds (n = rows / target).
     """
     number = _as_number(df, key)
     if n is not None:
         return F.lit(0) if n <= 1 else _bucket_expr(number, _quantile_bounds(df, number, n)[0])
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds, rows = _quantile_bounds(df, number, max(base, 2), with_count=True)
-    wanted = min(MAX_BUCKETS, -(-(rows or 0) // TARGET_ROWS_PER_BUCKET))
+    wanted = -(-(rows or 0) // TARGET_ROWS_PER_BUCKET)
     if wanted > base:
         bounds, _ = _quantile_bounds(df, number, wanted)
     return _bucket_expr(number, bounds)
@@ -112,6 +113,8 @@ def with_row_index(df: DataFrame, order_col: str, out: str = "row_idx", num_buck
 
     Ascending order starts with null keys; ``descending`` (newest first) is its reverse and ends with them.
     """
+    if not isinstance(df.schema[order_col].dataType, (T.NumericType, T.DateType, T.TimestampType)):
+        return with_rank(df, [(order_col, descending)], out, buckets=num_buckets)
     b = df.withColumn("_bucket", key_buckets(df, order_col, num_buckets))
     counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy(F.desc("_bucket") if descending else F.asc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardsmith.functions.text import split_list
-from boardsmith.session import broadcast_if_small
+from boardsmith.operators.ranking import with_rank
+from boardsmith.session import broadcast_if_small, materialize
 
 # Token pattern for keyword candidates (whole runs of letters of any script, 2 or more).
 KEYWORD_TOKEN = r"\p{L}{2,}"
@@ -84,19 +85,22 @@ def keyword_frequency(refined: DataFrame, id_col: str = "id", col: str = "keywor
     return pk.groupBy("keyword").agg(F.count(F.lit(1)).cast("bigint").alias("n_posts"))
 
 
+def keyword_rank(refined: DataFrame, id_col: str = "id", col: str = "keywords") -> DataFrame:
+    """(rank, keyword, n_posts) of every keyword, most frequent first, ties by keyword.
+
+    Most of a vocabulary occurs in one post, so the ranking cuts (n_posts, keyword), not n_posts alone.
+    """
+    kf = materialize(keyword_frequency(refined, id_col, col), "keyword-frequency")
+    return with_rank(kf, [("n_posts", True), "keyword"], start=1).select("rank", "keyword", "n_posts")
+
+
 def keyword_list(refined: DataFrame, chunk: int = 300, id_col: str = "id", col: str = "keywords") -> DataFrame:
     """The whole keyword vocabulary as prompt values of ``chunk`` keywords, most frequent first.
 
-    (chunk_no, n_keywords, keywords).  A keyword's rank is the number of keywords of higher frequency plus its place
-    among those of its own frequency; the first is a running sum over the distinct frequencies (few rows).
+    (chunk_no, n_keywords, keywords).
     """
-    kf = keyword_frequency(refined, id_col, col)
-    classes = kf.groupBy("n_posts").agg(F.count(F.lit(1)).alias("_size"))
-    above = Window.orderBy(F.col("n_posts").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = classes.select("n_posts", F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_off"))
-    own = Window.partitionBy("n_posts").orderBy("keyword")
-    ranked = kf.withColumn("_place", F.row_number().over(own)).join(offsets, "n_posts").withColumn("_rank", F.col("_off") + F.col("_place") - 1)
-    return ranked.groupBy(F.floor(F.col("_rank") / chunk).cast("bigint").alias("chunk_no")).agg(
+    ranked = keyword_rank(refined, id_col, col)
+    return ranked.groupBy(F.floor((F.col("rank") - 1) / chunk).cast("bigint").alias("chunk_no")).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_keywords"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "keyword"))), lambda x: x["keyword"]), "; ").alias("keywords"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "keyword"))), lambda x: x["keyword"]), "; ").alias("keywords"),
     )

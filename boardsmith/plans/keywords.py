@@ -95,6 +95,16 @@ def keyword_union_q(spark, sf_dir):
     return K.keyword_union(K.distinct_keywords(refined(spark, sf_dir)), b)
 
 
+@register("keyword_rank", oracle=f"""
+WITH {REFINED_SQL},
+kf AS (SELECT keyword, count(*) AS n_posts FROM pk GROUP BY 1)
+SELECT row_number() OVER (ORDER BY n_posts DESC, keyword) AS rank, keyword, n_posts FROM kf
+""")
+def keyword_rank_q(spark, sf_dir):
+    """Every keyword with its global rank by (frequency, keyword)."""
+    return K.keyword_rank(refined(spark, sf_dir))
+
+
 @register("keyword_list", oracle=f"""
 WITH {REFINED_SQL},
 kf AS (SELECT keyword, count(*) AS n_posts FROM pk GROUP BY 1),
