@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardsmith.llm import chat, near_dedup, neighbours, packing, piece_encoding, quality, secret_scan, suffix_dedup, token_counts, twins, url_filter
+from boardsmith.llm import chat, mixing, near_dedup, neighbours, packing, piece_encoding, quality, secret_scan, suffix_dedup, token_counts, twins, url_filter
 from boardsmith.llm.common import prepare, read_table
 from boardsmith.session import scratch_dir
 
@@ -65,7 +65,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), cache)
 
 
-_QUERIES = (op1_neighbours, op2_near_dedup, op3_packing, op4_pieces, op5_secrets, op6_chat, op7_urls, op8_suffix_dedup, op9_quality, op10_token_counts)
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+_QUERIES = (op1_neighbours, op2_near_dedup, op3_packing, op4_pieces, op5_secrets, op6_chat, op7_urls, op8_suffix_dedup, op9_quality, op10_token_counts, op13_mixing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
