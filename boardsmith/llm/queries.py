@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardsmith.llm import chat, mixing, near_dedup, neighbours, packing, piece_encoding, quality, secret_scan, suffix_dedup, token_counts, twins, url_filter
+from boardsmith.llm import chat, hard_negatives, lexical, mixing, near_dedup, neighbours, packing, piece_encoding, quality, secret_scan, suffix_dedup, token_counts, twins, url_filter
 from boardsmith.llm.common import prepare, read_table
 from boardsmith.session import scratch_dir
 
@@ -65,11 +65,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), cache)
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    return hard_negatives.mine(rows.withColumn("label", hard_negatives.relabelled(F.col("label"), F.col("vec_id"))))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_neighbours, op2_near_dedup, op3_packing, op4_pieces, op5_secrets, op6_chat, op7_urls, op8_suffix_dedup, op9_quality, op10_token_counts, op13_mixing)
+_QUERIES = (op1_neighbours, op2_near_dedup, op3_packing, op4_pieces, op5_secrets, op6_chat, op7_urls, op8_suffix_dedup, op9_quality, op10_token_counts, op11_lexical, op12_hard_negatives, op13_mixing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -77,4 +77,40 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM b
 """
 
-SQL = {"op2_near_dedup": NEAR_DEDUP, "op6_chat": CHAT, "op9_quality": QUALITY}
+_TERMS = r"""regexp_extract_all(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+LEXICAL = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+tf AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+a AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+f AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, a GROUP BY term, n_docs),
+m AS (SELECT r, doc_id, 75 + (25 * len(w) * n_docs) // n_terms AS m FROM d, a),
+q AS (SELECT i, item_id, term, count(*) AS times FROM (SELECT row_number() OVER () AS i, item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT i, item_id, r, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+      FROM q JOIN f USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+"""
+
+HARD_NEGATIVES = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+p AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id AND len(a.q) = len(b.q)),
+pos AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM p WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN p USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+SQL = {"op2_near_dedup": NEAR_DEDUP, "op6_chat": CHAT, "op9_quality": QUALITY, "op11_lexical": LEXICAL, "op12_hard_negatives": HARD_NEGATIVES}
