@@ -1,5 +1,6 @@
-"""Command line for the three stages (the reference runs each stage as a script).
+"""Command line for the four stages (the reference runs each stage as a script).
 
+  python -m boardsmith extract    --input pages/      --output posts/     [--format parquet|html] [--status column]
   python -m boardsmith refine     --input crawl.csv   --output refined/   [--mode text|json] [--hook pkg.mod:fn]
   python -m boardsmith categorize --input refined/    --output categorized/ [--n 10] [--per 9]
   python -m boardsmith search     --input refined/    --questions q.txt --output hits/ [--k 3]
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 from boardsmith import workflows as W
 from boardsmith.operators.enrich import echo
 from boardsmith.session import get_spark
-from boardsmith.sources.csv import scan_posts_csv, sink_csv
+from boardsmith.sources.csv import scan_any_posts_csv, sink_csv
+from boardsmith.sources.pages import scan_pages
 
 
 def _hook(spec: str | None):
@@ -44,6 +46,11 @@ def _write(df, path: str, csv: bool) -> None:
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="boardsmith")
     sub = ap.add_subparsers(dest="cmd", required=True)
+    x = sub.add_parser("extract", help="landed detail pages -> posts with title, contents, date, views, comments")
+    x.add_argument("--input", required=True, help="Parquet with page_id and html, or a folder of HTML files")
+    x.add_argument("--output", required=True)
+    x.add_argument("--format", choices=["parquet", "html"], default="parquet")
+    x.add_argument("--status", help="column of HTTP statuses: only pages with 200 are read")
     r = sub.add_parser("refine", help="crawled-post CSV -> numbered batches -> hook replies -> refined rows")
     r.add_argument("--input", required=True)
     r.add_argument("--output", required=True)
@@ -59,14 +66,20 @@ def main(argv=None) -> None:
     s.add_argument("--questions", required=True)
     s.add_argument("--output", required=True)
     s.add_argument("--k", type=int, default=3)
-    for p in (r, c, s):
+    for p in (x, r, c, s):
         p.add_argument("--csv", action="store_true", help="also write a UTF-8-BOM CSV")
         p.add_argument("--master")
     a = ap.parse_args(argv)
     spark = get_spark(a.master)
 
-    if a.cmd == "refine":
-        out = W.refine_posts(scan_posts_csv(spark, a.input), _hook(a.hook), mode=a.mode)
+    if a.cmd == "extract":
+        posts, rejects = W.extract_pages(scan_pages(spark, a.input, a.format), status=a.status)
+        posts.write.mode("overwrite").parquet(a.output)
+        rejects.write.mode("overwrite").parquet(a.output.rstrip("/") + "_rejects")
+        if a.csv:
+            sink_csv(W.posts_csv(spark.read.parquet(a.output)), a.output.rstrip("/") + "_csv", bom=True)
+    elif a.cmd == "refine":
+        out = W.refine_posts(scan_any_posts_csv(spark, a.input), _hook(a.hook), mode=a.mode)
         _write(out.refined, a.output, a.csv)
         out.rejects.write.mode("overwrite").parquet(a.output.rstrip("/") + "_rejects")
     elif a.cmd == "categorize":

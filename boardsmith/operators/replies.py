@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boardsmith.functions.json import whole_object
 from boardsmith.functions.text import LIST_SEP, NONE_MARKER, join_list, py_strip
 
 # Section headers of the free-text reply, the entry and line separators, and
@@ -47,10 +48,8 @@ def ok_replies(replies: DataFrame, response: str = "response") -> DataFrame:
 
 
 def parse_json(c, schema: T.StructType = REFINE_REPLY_SCHEMA) -> Column:
-    """H5: decode a JSON reply; malformed text or a missing key gives nulls, never an error."""
-    c = c if isinstance(c, Column) else F.col(c)
-    whole = F.when(c.rlike(r"(?s)^\s*\{.*\}\s*$"), c)  # text before or after the object is not JSON
-    return F.from_json(whole, schema, {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
+    """H5: decode a JSON reply; malformed text, or text around the object, gives null, a missing key a null field, never an error."""
+    return whole_object(c, schema)
 
 
 def _is_digit_first(x: Column) -> Column:

@@ -34,6 +34,39 @@ def scan_csv_q(spark, sf_dir):
     return SV.scan_posts_csv(spark, path).select("post_id", "title", "contents", "views")
 
 
+@register("scan_listing_csv", oracle="""
+SELECT doc_id AS post_id, source AS title, text AS contents, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE n_chars END AS views, CAST(length(lang) AS BIGINT) AS reply_count FROM documents
+""")
+def scan_listing_csv_q(spark, sf_dir):
+    """A1: the API crawl's CSV with ReplyCount, ``'N/A'`` for missing counts, read back by header."""
+    d = table(spark, sf_dir, "documents")
+    views = F.when(F.col("doc_id") % 7 == 0, F.lit("N/A")).otherwise(F.format_number("n_chars", 0))
+    rows = d.select(F.length("lang").cast("string").alias("ReplyCount"), F.col("doc_id").cast("string").alias("talkNo"), F.col("source").alias("Title"),
+                    F.col("text").alias("Contents"), F.lit("2025-01-01").alias("Date"), views.alias("ViewCount"))
+    path = scratch_dir(spark, "scan_listing_csv")
+    SV.sink_csv(rows, path)
+    return SV.scan_listing_csv(spark, path).select("post_id", "title", "contents", "views", "reply_count")
+
+
+@register("scan_detail_csv", oracle="""
+SELECT doc_id AS post_id, source AS title, text AS contents, CAST(CASE WHEN lang = 'de' THEN 0 ELSE 2 END AS BIGINT) AS n_comments,
+       CASE WHEN lang = 'de' THEN '' ELSE 'N/A|' || lang || '; 2025-01-02|"' || source || '", ' || text END AS comments
+FROM documents
+""")
+def scan_detail_csv_q(spark, sf_dir):
+    """A1: the detail crawl's CSV, comments as a JSON list of (date, text), read back as structs."""
+    d = table(spark, sf_dir, "documents")
+    item = lambda date, text: F.struct(F.lit(date).alias("comment_date"), text.alias("comment_text"))
+    comments = F.array(item("N/A", F.col("lang")), item("2025-01-02", F.concat(F.lit('"'), "source", F.lit('", '), "text")))
+    rows = d.select(F.col("doc_id").cast("string").alias("talkNo"), F.col("source").alias("title"), F.col("text").alias("content"), F.lit("2025-01-01").alias("content_date"),
+                    F.to_json(F.when(F.col("lang") == "de", F.slice(comments, 1, 0)).otherwise(comments)).alias("comments"))
+    path = scratch_dir(spark, "scan_detail_csv")
+    SV.sink_csv(rows, path)
+    back = SV.scan_detail_csv(spark, path)
+    told = F.array_join(F.transform("comments", lambda c: F.concat(c["comment_date"], F.lit("|"), c["comment_text"])), "; ")
+    return back.select("post_id", "title", "contents", F.size("comments").cast("bigint").alias("n_comments"), told.alias("comments"))
+
+
 @register("scan_csv_bom", oracle="SELECT doc_id, text FROM documents")
 def scan_csv_bom_q(spark, sf_dir):
     """A2: a CSV with a UTF-8 BOM read by header names: the first column is ``doc_id``, not ``\\ufeffdoc_id``."""

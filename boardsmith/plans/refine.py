@@ -339,7 +339,8 @@ def json_replies(spark, sf_dir):
     g = num.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("row_idx", json_post().alias("p")))).alias("_ps"))
     b = F.col("batch_id")
     body = F.to_json(F.struct(F.transform("_ps", lambda x: x["p"]).alias("posts")))
-    resp = F.when(b % 5 == 3, F.concat(F.lit("not json: "), b.cast("string"))).when(b % 7 == 6, F.lit(None).cast("string")).otherwise(body)
+    resp = (F.when(b % 5 == 3, F.concat(F.lit("not json: "), b.cast("string"))).when(b % 7 == 6, F.lit(None).cast("string"))
+            .when(b % 11 == 4, F.concat(body, F.lit(' {"x": 1}'))).when(b % 11 == 7, F.concat(body, F.lit(" junk }"))).when(b % 11 == 9, F.concat(F.lit("\n "), body, F.lit(" \n"))).otherwise(body))
     return g.select("batch_id", resp.alias("response"))
 
 
@@ -353,7 +354,7 @@ jp AS (SELECT row_idx // {JSON_BATCH} AS batch_id, row_idx,
                                  WHEN lang IN ('en', 'de') THEN '경험성' ELSE '질문성' END}} AS p
        FROM rin),
 jreplies AS (SELECT batch_id,
-                    CASE WHEN batch_id % 5 = 3 THEN 'not json: ' || CAST(batch_id AS VARCHAR) WHEN batch_id % 7 = 6 THEN NULL
+                    CASE WHEN batch_id % 5 = 3 THEN 'not json: ' || CAST(batch_id AS VARCHAR) WHEN batch_id % 7 = 6 OR batch_id % 11 IN (4, 7) THEN NULL
                          ELSE CAST(to_json({{'posts': list(p ORDER BY row_idx)}}) AS VARCHAR) END AS response
              FROM jp GROUP BY batch_id),
 jdec AS (SELECT batch_id, from_json(response, '{{"posts":[{{"content":"VARCHAR","comments":["VARCHAR"],"keywords":["VARCHAR"],"tendency":"VARCHAR"}}]}}') AS j

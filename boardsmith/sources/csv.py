@@ -58,6 +58,53 @@ def scan_posts_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# The headers of the other two crawls' files.
+LISTING_COLUMNS = ("talkNo", "Title", "Contents", "Date", "ViewCount", "ReplyCount")
+DETAIL_COLUMNS = ("talkNo", "title", "content", "content_date", "comments")
+COMMENTS_SCHEMA = T.ArrayType(T.StructType([T.StructField("comment_date", T.StringType()), T.StructField("comment_text", T.StringType())]))
+
+
+def _by_header(spark: SparkSession, path: str, names) -> DataFrame:
+    raw = scan_csv(spark, path)
+    missing = [n for n in names if n not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return raw
+
+
+def _count(name: str):
+    return F.regexp_replace(name, ",", "").try_cast("bigint")
+
+
+def scan_listing_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A1: the API crawl's CSV -> (post_id, title, contents, date_text, views, reply_count)."""
+    raw = _by_header(spark, path, LISTING_COLUMNS)
+    return raw.select(
+        F.col("talkNo").try_cast("bigint").alias("post_id"), F.col("Title").alias("title"), F.col("Contents").alias("contents"),
+        F.col("Date").alias("date_text"), _count("ViewCount").alias("views"), _count("ReplyCount").alias("reply_count"))
+
+
+def scan_detail_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A1: the detail crawl's CSV, whose comments are a JSON list -> (post_id, title, contents, date_text, views, comments).
+
+    ``comments`` is an array of (comment_date, comment_text); a list that does not decode is null.
+    """
+    raw = _by_header(spark, path, DETAIL_COLUMNS)
+    return raw.select(
+        F.col("talkNo").try_cast("bigint").alias("post_id"), F.col("title"), F.col("content").alias("contents"), F.col("content_date").alias("date_text"),
+        F.lit(None).cast("bigint").alias("views"), F.from_json("comments", COMMENTS_SCHEMA).alias("comments"))
+
+
+def scan_any_posts_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV of any of the three crawls, told by its header, with the columns that ``refine`` reads (comments as text)."""
+    names = set(scan_csv(spark, path).columns)
+    if set(DETAIL_COLUMNS) <= names:
+        return scan_detail_csv(spark, path).withColumn("comments", F.to_json("comments"))
+    if set(LISTING_COLUMNS) <= names:
+        return scan_listing_csv(spark, path).withColumn("comments", F.lit(None).cast("string"))
+    return scan_posts_csv(spark, path)
+
+
 def sink_csv(df: DataFrame, path: str, bom: bool = True, mode: str = "overwrite", null_value: str | None = None) -> None:
     """Header CSV, quotes doubled, no index column; ``bom`` puts ``EF BB BF`` before the
     header of every part file (the first column's header name carries it)."""

@@ -1,11 +1,17 @@
-"""Landed pages (A4) and landed API listing pages (A3).  No HTTP: crawling is done elsewhere."""
+"""Landed pages (A4), posts extracted from them (B3-B5) and landed API listing pages (A3).  No HTTP: crawling is done elsewhere."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boardsmith.functions import html as H
+from boardsmith.functions.html import Step, step
+from boardsmith.functions.json import whole_object
 from boardsmith.functions.text import relative_date
 
 API_ITEM = T.StructType([
@@ -31,6 +37,51 @@ def scan_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     raise ValueError(f"unknown page format {fmt}")
 
 
+# Where the fields of a detail page lie (class names of the forum's markup).
+TITLE = "DetailTitle_detail__header--title__Bbp40"
+CONTENTS = "Detail_content__content__hJ5M7"
+INFOS = "CommonInfos_info__wrapper__aGcEl"
+VIEWS = "experience__span--view"
+COMMENTS = "CommentList_comment-contents__YVrtF"
+COMMENT_DATE = "comment-list__detail-override"
+COMMENT_TEXT = "comment-list__text-override"
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Paths to the fields of a detail page; the comment fields are looked for inside each comment."""
+
+    title: Sequence[Step] = (step(None, TITLE),)
+    contents: Sequence[Step] = (step(None, CONTENTS),)
+    date: Sequence[Step] = (step(None, INFOS), step("div", nth=2))
+    views: Sequence[Step] = (step(None, VIEWS),)
+    comments: Sequence[Step] = (step(None, COMMENTS), step("ul", child=True), step("li"))
+    comment_fields: dict[str, Sequence[Step]] = field(default_factory=lambda: {"comment_date": (step(None, COMMENT_DATE),), "comment_text": (step(None, COMMENT_TEXT),)})
+
+
+def extract_posts(pages: DataFrame, html_col: str = "html", keep: Sequence[str] = ("page_id",), layout: Layout | None = None, default: str | None = None) -> DataFrame:
+    """Landed detail pages -> (keep..., title, contents, date_text, views_text, comments), a row for each page.
+
+    ``comments`` is an array of structs of texts in page order.  A missing element gives ``default``; a null page has
+    null texts and no comments.
+    """
+    at = layout or Layout()
+    pg = F.col("_page")
+    text = lambda path: H.text_at(pg, list(path), None, default)
+    rows = pages.select(*keep, H.page(F.coalesce(F.col(html_col), F.lit(""))).alias("_page"))
+    return rows.select(
+        *keep, text(at.title).alias("title"), text(at.contents).alias("contents"), text(at.date).alias("date_text"), text(at.views).alias("views_text"),
+        H.html_structs(pg, list(at.comments), {k: list(p) for k, p in at.comment_fields.items()}, default).alias("comments"))
+
+
+def api_rejects(pages: DataFrame, json_col: str = "response", keep: Sequence[str] = ()) -> DataFrame:
+    """A3: (keep..., reject_reason) of the listing pages that give no rows: ``no_response``, ``undecodable``, ``no_collection``."""
+    r = F.col(json_col)
+    page = whole_object(r, API_PAGE)
+    reason = F.when(r.isNull() | (F.trim(r) == ""), "no_response").when(page.isNull(), "undecodable").when(page["collection"].isNull(), "no_collection")
+    return pages.select(*keep, reason.alias("reject_reason")).where(F.col("reject_reason").isNotNull())
+
+
 def _items(df: DataFrame, struct_col: str, asof, keep: list[str]) -> DataFrame:
     it = df.select(*keep, F.explode(f"{struct_col}.collection").alias("it"))
     date = F.col("it.createdDate") if asof is None else relative_date(F.col("it.createdDate"), asof)
@@ -47,9 +98,10 @@ def _items(df: DataFrame, struct_col: str, asof, keep: list[str]) -> DataFrame:
 
 def api_items(pages: DataFrame, json_col: str = "response", asof=None, keep: list[str] | None = None) -> DataFrame:
     """A3: one row per ``collection[]`` item of a JSON listing page held in a string column;
-    missing fields stay null (``'N/A'`` only at the CSV edge); relative dates -> ``asof``."""
+    missing fields stay null (``'N/A'`` only at the CSV edge); relative dates -> ``asof``.
+    Pages that do not decode are told by ``api_rejects``."""
     keep = keep or []
-    j = pages.select(*keep, F.from_json(F.col(json_col), API_PAGE).alias("_p"))
+    j = pages.select(*keep, whole_object(json_col, API_PAGE).alias("_p"))
     return _items(j, "_p", asof, keep)
 
 

@@ -1,5 +1,6 @@
-"""End-to-end flows matching the reference's three stages, built from the operators.
+"""End-to-end flows matching the reference's stages, built from the operators.
 
+* ``extract_pages``    landed detail pages -> posts with dated comments (+ pages without a post, with the reason)
 * ``refine_posts``     crawled posts -> numbered batches -> prompts -> caller's function -> parsed replies
                        -> aligned refined rows (+ rows that break the reply contract)
 * ``categorize_posts`` refined rows -> built categories -> primary/secondary category per post
@@ -21,17 +22,43 @@ from pyspark.sql import functions as F
 from boardsmith.functions.text import normalize_text
 from boardsmith.operators import batches as B
 from boardsmith.operators import categories as C
+from boardsmith.operators import posts as P
 from boardsmith.operators import replies as R
 from boardsmith.operators.enrich import enrich_batches
 from boardsmith.operators.rules import cap_tokens
 from boardsmith.operators.search import rag_context, search
 from boardsmith.operators.vectorize import fit_text_vectors
 from boardsmith.session import materialize
+from boardsmith.sources.pages import Layout, extract_posts
 from boardsmith.sources.sinks import append_batches
 
 TEXT_BATCH, JSON_BATCH = 10, 20
 
 
+def extract_pages(pages: DataFrame, status: str | None = None, layout: Layout | None = None) -> tuple[DataFrame, DataFrame]:
+    """(posts: post_id, title, contents, date_text, views, comments array; rejects: the page's columns but the markup, reject_reason).
+
+    The post's id is the end of ``url``, or ``page_id`` where there is no url.  Every page is in one of both tables.
+    """
+    taken, refused = (pages, None) if status is None else P.ok_pages(pages, status)
+    ids = [c for c in ("url", "page_id") if c in pages.columns]
+    named = F.coalesce(*[P.post_id_from_url("url") if c == "url" else F.col(c).try_cast("bigint") for c in ids]) if ids else F.lit(None).cast("bigint")
+    found = materialize(extract_posts(taken.withColumn("post_id", named), keep=["post_id", *ids], layout=layout), "extracted")
+    posts = P.required(found).select("post_id", "title", "contents", "date_text", P.to_count("views_text").alias("views"), "comments")
+    rejects = P.rejected(found).select("post_id", *ids, "reject_reason")
+    if refused is not None:
+        rejects = rejects.unionByName(refused.select(named.alias("post_id"), *ids, F.lit("status").alias("reject_reason")))
+    return posts, rejects
+
+
+def posts_csv(posts: DataFrame) -> DataFrame:
+    """Extracted posts in the columns of the crawl's CSV: missing values as ``'N/A'``, comments as JSON."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(P.NA))
+    comment = lambda c: F.struct(*[F.coalesce(c[f], F.lit(P.NA)).alias(f) for f in ("comment_date", "comment_text")])
+    return posts.select(text("post_id").alias("talkNo"), text("title").alias("Title"), text("contents").alias("Contents"), text("date_text").alias("Date"),
+                        text("views").alias("ViewCount"), F.to_json(F.transform("comments", comment)).alias("Comments"))
+
+
 @dataclass
 class Refined:
     refined: DataFrame     # id, content, comments, keywords, tendency, views, date (rows missing a key dropped)
