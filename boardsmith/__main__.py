@@ -2,7 +2,7 @@
 
   python -m boardsmith extract    --input pages/      --output posts/     [--format parquet|html] [--status column]
   python -m boardsmith refine     --input crawl.csv   --output refined/   [--mode text|json] [--hook pkg.mod:fn]
-  python -m boardsmith categorize --input refined/    --output categorized/ [--n 10] [--per 9]
+  python -m boardsmith categorize --input refined/    --output categorized/ [--n 10]
   python -m boardsmith search     --input refined/    --questions q.txt --output hits/ [--k 3]
 
 Inputs are CSV (crawled posts) or Parquet (refined); outputs are Parquet folders plus, with ``--csv``, a
@@ -60,7 +60,6 @@ def main(argv=None) -> None:
     c.add_argument("--input", required=True)
     c.add_argument("--output", required=True)
     c.add_argument("--n", type=int, default=10)
-    c.add_argument("--per", type=int, default=9)
     s = sub.add_parser("search", help="refined rows + questions file -> top-k hits and grounding context")
     s.add_argument("--input", required=True)
     s.add_argument("--questions", required=True)
@@ -83,7 +82,7 @@ def main(argv=None) -> None:
         _write(out.refined, a.output, a.csv)
         out.rejects.write.mode("overwrite").parquet(a.output.rstrip("/") + "_rejects")
     elif a.cmd == "categorize":
-        cats, assigned = W.categorize_posts(spark.read.parquet(a.input), a.n, a.per)
+        cats, assigned = W.categorize_posts(spark.read.parquet(a.input), a.n)
         _write(assigned, a.output, a.csv)
         cats.withColumn("related_keywords", F.to_json("related_keywords")).write.mode("overwrite").parquet(a.output.rstrip("/") + "_categories")
     else:

@@ -3,51 +3,54 @@
 D9 is re-aimed: the reference asks a model for 3-5 keywords per post; here keywords are
 the top-k tokens by tf-idf, a deterministic stand-in (not the model's choice).
 
-Scale notes: term and document frequencies are hash aggregates with map-side partial
-aggregation, so a token found in every document costs one partial row per task, not one
-row per occurrence.  The document-frequency table is joined back by AQE's runtime choice:
-it is broadcast only when its measured size is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise it stays a shuffle join in
-which AQE's skew split handles hot tokens (a token in every document).
+Scale notes: a document's tokens are counted inside its row, so the corpus is not shuffled to count them.  Document
+frequencies are one aggregate with map-side combining: a token found in every document costs one partial row per task.
+They are written, and Spark joins them back by their measured size: a small vocabulary is broadcast and
+only the k best rows of each document and task move; a large one is a shuffle join in which AQE splits hot tokens.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardsmith.functions.text import split_list
 from boardsmith.operators.ranking import with_rank
-from boardsmith.session import broadcast_if_small, materialize
+from boardsmith.session import materialize
 
-# Token pattern for keyword candidates (whole runs of letters of any script, 2 or more).
-KEYWORD_TOKEN = r"\p{L}{2,}"
+# Token pattern for keyword candidates (whole runs of letters of any script and their combining marks, 2 or more).
+KEYWORD_TOKEN = r"[\p{L}\p{M}]{2,}"
 # Default stop list (function words that never make a useful keyword).
 STOP_WORDS = ("the", "and", "for", "that", "with", "this", "are", "was", "from", "have", "not", "but", "you", "all", "its")
 
-# A caller's stop list is broadcast only up to this many rows.
-MAX_BROADCAST_STOP = 1_000_000
-
 
 def tokens(df: DataFrame, id_col: str, text_col: str, pattern: str = KEYWORD_TOKEN) -> DataFrame:
     """(id, token) for every match in the lower-cased whole text."""
     return df.select(F.col(id_col).alias("doc_id"), F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(pattern), 0)).alias("token"))
 
 
+def counted_tokens(text: Column, pattern: str = KEYWORD_TOKEN) -> Column:
+    """(token, tf) of every distinct token of the lower-cased text: the sorted tokens, cut where the token changes."""
+    found = F.sort_array(F.regexp_extract_all(F.lower(text), F.lit(pattern), 0))
+
+    def runs(t):
+        at = F.sequence(F.lit(0), F.size(t) - 1)
+        ends = F.filter(at, lambda i: (i == F.size(t) - 1) | (F.get(t, i) != F.get(t, i + 1)))
+        return F.get(F.transform(F.array(ends), lambda e: F.transform(
+            e, lambda last, k: F.struct(F.get(t, last).alias("token"), (last - F.when(k > 0, F.get(e, k - 1)).otherwise(-1)).cast("bigint").alias("tf")))), F.lit(0))
+
+    empty = F.array().cast("array<struct<token:string,tf:bigint>>")
+    return F.get(F.transform(F.array(found), lambda t: F.when(F.size(t) > 0, runs(t)).otherwise(empty)), F.lit(0))
+
+
 def top_keywords(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, stop: DataFrame | None = None,
                  digits: int = 6) -> DataFrame:
     """(doc_id, rank, keyword, score); score = tf * ln(N / df), ties by keyword."""
     spark = docs.sparkSession
     if stop is None:
-        stop_side = F.broadcast(spark.createDataFrame([(w,) for w in STOP_WORDS], "token string"))
-    else:
-        stop_side = broadcast_if_small(stop.select("token"), MAX_BROADCAST_STOP)
-    toks = tokens(docs, id_col, text_col).join(stop_side, "token", "left_anti")
-    tf = toks.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("tf"))
-    # df = documents with tf > 0.  Counting through ``tf`` keeps the (doc, token) aggregate identical in
-    # both branches, so Spark reuses its shuffle and the text is tokenised once (a bare count lets the
-    # optimizer prune that branch into a different plan, which re-tokenises every document).
-    dfreq = tf.groupBy("token").agg(F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"))
+        stop = spark.createDataFrame([(w,) for w in STOP_WORDS], "token string")
+    tf = docs.select(F.col(id_col).alias("doc_id"), F.inline(counted_tokens(F.col(text_col))))
+    dfreq = materialize(tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")).join(stop.select("token"), "token", "left_anti"), "document-frequency")
     n_docs = docs.select(F.col(id_col)).count()
     score = F.round(F.col("tf").cast("double") * F.log(F.lit(float(n_docs)) / F.col("df").cast("double")), digits)
     scored = tf.join(dfreq, "token").select("doc_id", "token", score.alias("score"))

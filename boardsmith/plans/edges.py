@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from boardsmith.operators import batches as B
 from boardsmith.operators import categories as C
 from boardsmith.plans import register
-from boardsmith.plans.keywords import CATS_SQL, N_CATEGORIES, PER_CATEGORY, refined
+from boardsmith.plans.keywords import CATS_SQL, N_CATEGORIES, refined
 from boardsmith.plans.refine import TEXT_BATCH, _PROMPT_SQL, numbered_input
 from boardsmith.session import scratch_dir, table
 from boardsmith.sources import categories as SC
@@ -86,43 +86,44 @@ def sink_csv_roundtrip_q(spark, sf_dir):
 
 _CATS_OUT_SQL = f"""
 WITH {CATS_SQL}
-SELECT ord, name, description, array_to_string(related_keywords, '; ') AS related_keywords FROM cats
+SELECT ord, chunk_no, name, description, array_to_string(related_keywords, '; ') AS related_keywords FROM cats
 """
 
 
 def _built_categories(spark, sf_dir):
-    return C.build_categories(refined(spark, sf_dir), N_CATEGORIES, PER_CATEGORY)
+    return C.build_categories(refined(spark, sf_dir), N_CATEGORIES)
 
 
 @register("sink_json_roundtrip", oracle=_CATS_OUT_SQL)
 def sink_json_roundtrip_q(spark, sf_dir):
-    """A8 + A5: built categories written as one store document and scanned back."""
+    """A8 + A5: built categories written as a store and scanned back."""
     path = scratch_dir(spark, "category_store")
     SC.sink_categories_json(_built_categories(spark, sf_dir), path)
-    back = SC.scan_categories(spark, path)
-    return back.select("ord", "name", "description", F.array_join("related_keywords", "; ").alias("related_keywords"))
+    back = SC.scan_categories(spark, path, lines=True)
+    return back.select("ord", "chunk_no", "name", "description", F.array_join("related_keywords", "; ").alias("related_keywords"))
 
 
 @register("scan_categories", oracle=f"""
 WITH {CATS_SQL}
-SELECT ord, name, CAST(len(related_keywords) AS BIGINT) AS n_keywords FROM cats
+SELECT ord, name, CAST(sum(len(related_keywords)) AS BIGINT) AS n_keywords FROM cats GROUP BY ALL
 """)
 def scan_categories_q(spark, sf_dir):
-    """A5: a landed category store (JSON document) -> one row per category."""
+    """A5: a landed category store -> one row per category."""
     path = scratch_dir(spark, "category_store_scan")
     SC.sink_categories_json(_built_categories(spark, sf_dir), path)
-    return SC.scan_categories(spark, path).select("ord", "name", F.size("related_keywords").cast("bigint").alias("n_keywords"))
+    back = SC.scan_categories(spark, path, lines=True)
+    return back.groupBy("ord", "name").agg(F.sum(F.size("related_keywords")).cast("bigint").alias("n_keywords"))
 
 
 @register("categories_flat", oracle=f"""
 WITH {CATS_SQL}
-SELECT ord, name, description, CAST(to_json(related_keywords) AS VARCHAR) AS related_keywords FROM cats
+SELECT ord, chunk_no, name, description, CAST(to_json(related_keywords) AS VARCHAR) AS related_keywords FROM cats
 """)
 def categories_flat_q(spark, sf_dir):
     """Category table as flat CSV (keywords as JSON text), written and read back."""
     path = scratch_dir(spark, "categories_csv")
-    SV.sink_csv(SC.categories_flat(_built_categories(spark, sf_dir)), path, bom=True)
-    return SV.scan_csv(spark, path, "ord int, name string, description string, related_keywords string", null_value=None)
+    SV.sink_csv(SC.categories_flat(_built_categories(spark, sf_dir).drop("n_keywords")), path, bom=True)
+    return SV.scan_csv(spark, path, "ord int, chunk_no bigint, name string, description string, related_keywords string", null_value=None)
 
 
 @register("append_batches", oracle=f"""

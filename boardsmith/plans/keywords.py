@@ -11,9 +11,9 @@ from boardsmith.plans.fixtures import sql_strip
 from boardsmith.session import materialize, table
 
 TOPK = 5
-N_CATEGORIES, PER_CATEGORY = 10, 9
+N_CATEGORIES = 10
 LIST_CHUNK = 300
-TOKEN_SQL = r"\p{L}{2,}"
+TOKEN_SQL = r"[\p{L}\p{M}]{2,}"
 _STOP_SQL = ", ".join(f"'{w}'" for w in K.STOP_WORDS)
 
 
@@ -52,22 +52,41 @@ refined AS (SELECT d.doc_id AS id, CASE WHEN d.lang = 'fr' THEN kw.keywords || '
 pk AS (SELECT DISTINCT id AS post_id, keyword FROM (SELECT id, unnest({_SPLIT}) AS keyword FROM refined))
 """
 
+HOPS = 12  # rounds written out in the twin; more than any table here needs
+
+
+def _members_sql() -> str:
+    out = f"""
+freq AS MATERIALIZED (SELECT keyword, count(*) AS n_posts FROM pk GROUP BY 1),
+anchors AS MATERIALIZED (SELECT keyword AS name, n_posts AS anchor_posts, CAST(row_number() OVER (ORDER BY n_posts DESC, keyword) AS INTEGER) AS ord
+            FROM freq QUALIFY ord <= {N_CATEGORIES}),
+o0 AS MATERIALIZED (SELECT name AS keyword, ord, 0 AS hop FROM anchors)"""
+    for h in range(1, HOPS + 1):
+        before = " UNION ALL ".join(f"SELECT keyword FROM o{k}" for k in range(h))
+        out += f""",
+o{h} AS MATERIALIZED (
+  SELECT keyword, ord, {h} AS hop FROM (
+    SELECT u.keyword, f.ord, count(*) AS w FROM o{h - 1} f JOIN pk v ON v.keyword = f.keyword JOIN pk u ON u.post_id = v.post_id
+    WHERE u.keyword NOT IN ({before}) GROUP BY 1, 2)
+  QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY w DESC, ord) = 1)"""
+    every = " UNION ALL ".join(f"SELECT * FROM o{k}" for k in range(HOPS + 1))
+    return out + f""",
+own AS ({every}),
+members AS MATERIALIZED (
+  SELECT coalesce(own.ord, (SELECT CAST(count(*) + 1 AS INTEGER) FROM anchors)) AS ord, coalesce(a.name, 'other') AS name, freq.keyword, own.hop, freq.n_posts
+  FROM freq LEFT JOIN own USING (keyword) LEFT JOIN anchors a ON a.ord = own.ord)"""
+
+
 CATS_SQL = f"""
 {REFINED_SQL},
-freq AS (SELECT keyword, count(*) AS n_posts FROM pk GROUP BY 1),
-anchors AS (SELECT keyword AS anchor, n_posts AS anchor_posts, row_number() OVER (ORDER BY n_posts DESC, keyword) AS ord
-            FROM freq QUALIFY ord <= {N_CATEGORIES}),
-ap AS (SELECT pk.post_id, a.anchor, a.ord FROM pk JOIN anchors a ON pk.keyword = a.anchor),
-mem AS (SELECT * FROM pk WHERE keyword NOT IN (SELECT anchor FROM anchors)),
-cooc AS (SELECT m.keyword, ap.anchor, ap.ord, count(*) AS cnt FROM mem m JOIN ap USING (post_id) GROUP BY 1, 2, 3),
-owned AS (SELECT * FROM cooc QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY cnt DESC, ord) = 1),
-kept AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY cnt DESC, keyword) AS kr FROM owned QUALIFY kr <= {PER_CATEGORY - 1}),
-cats AS (SELECT CAST(a.ord AS INTEGER) AS ord, a.anchor AS name,
-                printf('{C.DESCRIPTION}', a.anchor, a.anchor_posts) AS description,
-                [a.anchor] || coalesce(list(k.keyword ORDER BY k.kr) FILTER (WHERE k.keyword IS NOT NULL), []::VARCHAR[]) AS related_keywords
-         FROM anchors a LEFT JOIN kept k ON k.anchor = a.anchor GROUP BY a.ord, a.anchor, a.anchor_posts),
-ck AS (SELECT ord, name AS category, unnest(related_keywords) AS keyword FROM cats),
-hits AS (SELECT pk.post_id, pk.keyword, ck.ord, ck.category FROM pk JOIN ck USING (keyword))
+{_members_sql()},
+placed AS (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY hop NULLS LAST, n_posts DESC, keyword) - 1 AS place FROM members),
+told AS (SELECT ord, coalesce(max(CASE WHEN hop = 0 THEN n_posts END), sum(n_posts)) AS posts FROM members GROUP BY ord),
+cats AS (SELECT ord, CAST(place // {C.CHUNK} AS BIGINT) AS chunk_no, any_value(name) AS name,
+                'Posts about ' || any_value(name) || ' and related topics (' || any_value(posts) || ' posts)' AS description,
+                list(keyword ORDER BY place) AS related_keywords
+         FROM placed JOIN told USING (ord) GROUP BY ALL),
+hits AS (SELECT pk.post_id, pk.keyword, m.ord, m.name AS category FROM pk JOIN members m USING (keyword))
 """
 
 
@@ -117,22 +136,28 @@ def keyword_list_q(spark, sf_dir):
     return K.keyword_list(refined(spark, sf_dir), LIST_CHUNK)
 
 
+@register("category_members", oracle=f"WITH {CATS_SQL} SELECT ord, name, keyword, hop, n_posts FROM members")
+def category_members_q(spark, sf_dir):
+    """Every distinct keyword once, with the category that owns it and the round that found it."""
+    return C.category_members(refined(spark, sf_dir), N_CATEGORIES)
+
+
 @register("build_categories", oracle=f"""
 WITH {CATS_SQL}
-SELECT ord, name, description, array_to_string(related_keywords, '; ') AS related_keywords, CAST(len(related_keywords) AS BIGINT) AS n_keywords
+SELECT ord, chunk_no, name, description, array_to_string(related_keywords, '; ') AS related_keywords, CAST(len(related_keywords) AS BIGINT) AS n_keywords
 FROM cats
 """)
 def build_categories_q(spark, sf_dir):
-    """10 categories of up to 9 keywords, anchored on the most frequent keywords."""
-    c = C.build_categories(refined(spark, sf_dir), N_CATEGORIES, PER_CATEGORY)
+    """10 categories anchored on the most frequent keywords and the remainder, all keywords in rows of 1,000."""
+    c = C.build_categories(refined(spark, sf_dir), N_CATEGORIES)
     return c.withColumn("related_keywords", F.array_join("related_keywords", "; "))
 
 
 @register("keyword_category_join", oracle=f"WITH {CATS_SQL} SELECT post_id, keyword, ord, category FROM hits")
 def keyword_category_join_q(spark, sf_dir):
-    """Post keywords matched to category keywords (broadcast of the bounded category table)."""
+    """Post keywords matched to category keywords."""
     r = refined(spark, sf_dir)
-    return C.keyword_categories(r, materialize(C.build_categories(r, N_CATEGORIES, PER_CATEGORY), "categories"))
+    return C.keyword_categories(r, materialize(C.category_members(r, N_CATEGORIES), "members"))
 
 
 @register("assign_categories", oracle=f"""
@@ -144,7 +169,7 @@ SELECT r.id, r.keywords, coalesce(p.p1, '') AS primary_category, coalesce(p.p2,
 FROM refined r LEFT JOIN picks p ON p.post_id = r.id
 """)
 def assign_categories_q(spark, sf_dir):
-    """Every refined post once, with its primary and secondary category (``''`` when none)."""
+    """Every refined post once, with its primary and secondary category (``''`` only without keywords or a second category)."""
     r = refined(spark, sf_dir)
-    cats = materialize(C.build_categories(r, N_CATEGORIES, PER_CATEGORY), "categories")
-    return C.assign_categories(r, cats).select("id", "keywords", "primary_category", "secondary_category")
+    members = materialize(C.category_members(r, N_CATEGORIES), "members")
+    return C.assign_categories(r, members).select("id", "keywords", "primary_category", "secondary_category")

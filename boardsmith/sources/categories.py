@@ -1,4 +1,8 @@
-"""Category store (A5, A8, A9): ``{"categories": [{name, description, related_keywords[]}]}``."""
+"""Category store (A5, A8, A9): ``{"categories": [{name, description, related_keywords[]}]}``.
+
+A store is one document, or one document a line; a line's categories carry their ``ord``, so a category whose keywords fill
+several rows spreads over lines.
+"""
 
 from __future__ import annotations
 
@@ -10,28 +14,33 @@ CATEGORY = T.StructType([
     T.StructField("name", T.StringType()),
     T.StructField("description", T.StringType()),
     T.StructField("related_keywords", T.ArrayType(T.StringType())),
+    T.StructField("ord", T.IntegerType()),
+    T.StructField("chunk_no", T.LongType()),
 ])
 STORE = T.StructType([T.StructField("categories", T.ArrayType(CATEGORY))])
 
 
-def scan_categories(spark: SparkSession, path: str) -> DataFrame:
-    """A5: one row per category with its 1-based position ``ord``."""
-    store = spark.read.schema(STORE).option("multiLine", True).json(path)
+LINE_ROWS = 50  # rows of the store in one document
+
+
+def scan_categories(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """A5: (ord, chunk_no, name, description, related_keywords) of a store: one document, or one a line.
+
+    A document without ``ord`` numbers its categories by their 1-based position.
+    """
+    store = spark.read.schema(STORE).option("multiLine", not lines).json(path)
     return store.select(F.posexplode("categories").alias("pos", "c")).select(
-        (F.col("pos") + 1).cast("int").alias("ord"), "c.name", "c.description", "c.related_keywords"
+        F.coalesce("c.ord", F.col("pos") + 1).cast("int").alias("ord"), F.coalesce("c.chunk_no", F.lit(0)).cast("bigint").alias("chunk_no"),
+        "c.name", "c.description", "c.related_keywords"
     )
 
 
 def sink_categories_json(categories: DataFrame, path: str) -> None:
-    """The store as one JSON document, non-ASCII kept.  The category table is bounded
-    (n categories), so folding it into one value is safe."""
-    doc = categories.agg(
-        F.to_json(F.struct(F.transform(
-            F.array_sort(F.collect_list(F.struct("ord", "name", "description", "related_keywords"))),
-            lambda x: F.struct(x["name"].alias("name"), x["description"].alias("description"), x["related_keywords"].alias("related_keywords")),
-        ).alias("categories"))).alias("value")
-    )
-    doc.coalesce(1).write.mode("overwrite").text(path)
+    """The store as documents of at most ``LINE_ROWS`` rows, one a line, non-ASCII kept."""
+    row = F.struct("name", "description", "related_keywords", "ord", "chunk_no")
+    docs = categories.groupBy("ord", F.floor(F.col("chunk_no") / LINE_ROWS).alias("_doc")).agg(
+        F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", row.alias("c")))), lambda x: x["c"]).alias("categories"))).alias("value"))
+    docs.select("value").write.mode("overwrite").text(path)
 
 
 def categories_flat(categories: DataFrame) -> DataFrame:

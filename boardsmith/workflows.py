@@ -96,10 +96,10 @@ def refine_posts(posts: DataFrame, fn: Callable[[int, str], str], mode: str = "t
     return Refined(refined, rejects, responses)
 
 
-def categorize_posts(refined: DataFrame, n: int = 10, per: int = 9) -> tuple[DataFrame, DataFrame]:
+def categorize_posts(refined: DataFrame, n: int = 10) -> tuple[DataFrame, DataFrame]:
     """(categories, refined rows + primary_category, secondary_category)."""
-    categories = materialize(C.build_categories(refined, n, per), "categories")
-    return categories, C.assign_categories(refined, categories)
+    members = materialize(C.category_members(refined, n), "members")
+    return C.category_store(members), C.assign_categories(refined, members)
 
 
 def search_posts(refined: DataFrame, questions: DataFrame, k: int = 3, dims: int = 256) -> tuple[DataFrame, DataFrame]:

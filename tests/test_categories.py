@@ -2,6 +2,7 @@
 
 from boardsmith.operators import categories as C
 from boardsmith.operators import keywords as K
+from boardsmith.sources import categories as SC
 
 REFINED = [
     (1, "a; b; c"), (2, "a; b; d"), (3, "a; c; e;"), (4, " ;"), (5, None), (6, "b; b; z"), (7, "q"),
@@ -28,20 +29,48 @@ def test_keywords_are_whole_words(spark):
     df = spark.createDataFrame([(1, "français résumé über straße 소득세 공제가")], "doc_id bigint, text string")
     got = {r.keyword for r in K.top_keywords(df.unionByName(spark.createDataFrame([(2, "x")], df.schema)), k=9).collect()}
     assert got == {"français", "résumé", "über", "straße", "소득세", "공제가"}
+    df = spark.createDataFrame([(1, "cafe\u0301 नमस्ते"), (2, "x"), (3, None), (4, "")], "doc_id bigint, text string")
+    assert {r.keyword for r in K.top_keywords(df, k=9).collect()} == {"cafe\u0301", "नमस्ते"}  # combining marks stay in their words
 
 
-def test_build_categories_properties(spark):
-    cats = C.build_categories(_ref(spark), n=3, per=3).collect()
-    assert [c.ord for c in sorted(cats, key=lambda c: c.ord)] == [1, 2, 3]
-    seen = [k for c in cats for k in c.related_keywords]
-    assert len(seen) == len(set(seen))  # each keyword in at most one category
-    assert all(len(c.related_keywords) <= 3 and c.related_keywords[0] == c.name for c in cats)
+def members(df, n):
+    return sorted(tuple(r) for r in C.category_members(df, n).select("ord", "name", "keyword", "hop", "n_posts").collect())
 
 
-def test_anchor_without_members_kept(spark):
-    ref = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id bigint, keywords string")
-    cats = {c.name: list(c.related_keywords) for c in C.build_categories(ref, n=2, per=5).collect()}
-    assert cats == {"a": ["a"], "b": ["b"]}
+def test_every_keyword_has_one_owner(spark):
+    rows = members(_ref(spark), 2)
+    assert sorted(r[2] for r in rows) == ["a", "b", "c", "d", "e", "q", "z"]  # each once
+    # a and b are the anchors; c meets a twice and b once, d both once (tie: the earlier anchor), e only a, z only b, q nobody
+    assert rows == [(1, "a", "a", 0, 3), (1, "a", "c", 1, 2), (1, "a", "d", 1, 1), (1, "a", "e", 1, 1), (2, "b", "b", 0, 3), (2, "b", "z", 1, 1), (3, C.REMAINDER, "q", None, 1)]
+
+
+def test_owners_spread_in_rounds(spark):
+    chain = spark.createDataFrame([(1, "a; b"), (2, "a"), (3, "b; c"), (4, "c; d"), (5, "d; e"), (6, "x; y")], "id int, keywords string")
+    assert members(chain, 1) == [(1, "a", "a", 0, 2), (1, "a", "b", 1, 2), (1, "a", "c", 2, 2), (1, "a", "d", 3, 2), (1, "a", "e", 4, 1),
+                                 (2, C.REMAINDER, "x", None, 1), (2, C.REMAINDER, "y", None, 1)]
+    assert members(chain.limit(0), 3) == []
+
+
+def test_store_holds_all_keywords_in_chunks(spark):
+    cats = sorted((c.ord, c.chunk_no, c.name, list(c.related_keywords), c.n_keywords) for c in C.build_categories(_ref(spark), n=2, chunk=3).collect())
+    assert cats == [(1, 0, "a", ["a", "c", "d"], 3), (1, 1, "a", ["e"], 1), (2, 0, "b", ["b", "z"], 2), (3, 0, C.REMAINDER, ["q"], 1)]
+    told = {c.ord: c.description for c in C.build_categories(_ref(spark), n=2).collect()}
+    assert told[1] == "Posts about a and related topics (3 posts)"
+
+
+def test_only_posts_without_keywords_stay_without_category(spark):
+    ref = _ref(spark)
+    out = {r.id: (r.primary_category, r.secondary_category) for r in C.assign_categories(ref, C.category_members(ref, 2)).collect()}
+    assert out == {1: ("a", "b"), 2: ("a", "b"), 3: ("a", ""), 4: ("", ""), 5: ("", ""), 6: ("b", ""), 7: (C.REMAINDER, "")}
+
+
+def test_store_round_trip(spark, tmp):
+    SC.sink_categories_json(C.build_categories(_ref(spark), n=2, chunk=1), f"{tmp}/s")
+    back = SC.scan_categories(spark, f"{tmp}/s", lines=True)
+    assert sorted((r.ord, r.chunk_no, r.related_keywords[0]) for r in back.collect()) == [(1, 0, "a"), (1, 1, "c"), (1, 2, "d"), (1, 3, "e"), (2, 0, "b"), (2, 1, "z"), (3, 0, "q")]
+    with open(f"{tmp}/one.json", "w") as f:
+        f.write('{\n "categories": [{"name": "n1", "description": "d", "related_keywords": ["k"]},\n {"name": "n2", "description": "d", "related_keywords": []}]\n}')
+    assert [(r.ord, r.name) for r in SC.scan_categories(spark, f"{tmp}/one.json").orderBy("ord").collect()] == [(1, "n1"), (2, "n2")]
 
 
 def test_assign_every_post_once(spark):

@@ -17,7 +17,7 @@ def test_cli_three_stages(spark, tmp):
     refined, cats, hits = (os.path.join(tmp, x) for x in ("refined", "cat", "hits"))
     main(["refine", "--input", crawl, "--output", refined, "--hook", "tests_cli_hook:reply", "--csv"])
     assert spark.read.parquet(refined).count() == 40
-    main(["categorize", "--input", refined, "--output", cats, "--n", "3", "--per", "3"])
+    main(["categorize", "--input", refined, "--output", cats, "--n", "3"])
     assert spark.read.parquet(cats).count() == 40
     q = os.path.join(tmp, "q.txt")
     open(q, "w").write("post src3\n\nforum\n")

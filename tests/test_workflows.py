@@ -30,7 +30,7 @@ def test_refine_categorize_search(spark, tmp):
     assert len(rows) == posts.count()
     assert all(x.content == f"post from {x.keywords.split('; ')[0]}" and x.comments == "없음" for x in rows.values())
     assert r.rejects.count() == 0 and spark.read.parquet(tmp).count() == len(rows)
-    cats, assigned = W.categorize_posts(r.refined, n=3, per=4)
+    cats, assigned = W.categorize_posts(r.refined, n=3)
     assert cats.count() == 3 and assigned.count() == len(rows)
     q = spark.createDataFrame([(1, "post from src3"), (2, "forum post")], "query_id bigint, text string")
     hits, ctx = W.search_posts(r.refined, q, k=3)
