@@ -1,4 +1,4 @@
-"""Vector expressions on ``array<float|double>`` columns (higher-order functions, codegen'd)."""
+"""Vector expressions on ``array<float|double>`` columns (higher-order functions, which Spark interprets: for many pairs use ``operators.search``)."""
 
 from __future__ import annotations
 
@@ -23,9 +23,3 @@ def norm(a) -> Column:
 def cosine(a, b) -> Column:
     """H9: dot / (|a| |b|); a zero or null vector gives null (never NaN), so ranking stays total."""
     return dot(a, b) / F.nullif(norm(a) * norm(b), F.lit(0.0))
-
-
-def unit(a) -> Column:
-    """Vector scaled to unit length (null for a zero vector); lets cosine become a dot product."""
-    n = F.nullif(norm(a), F.lit(0.0))
-    return F.when(n.isNull(), F.lit(None)).otherwise(F.transform(as_col(a), lambda x: x.cast("double") / n))

@@ -1,62 +1,102 @@
 """Exact cosine search: similarity scan (C4), top-k (F1), grounding context.
 
-Plan shape: the corpus is scanned once and never shuffled before the top-k.  The query
-set is the small side; it is broadcast only after its row count is checked against
-``max_broadcast_queries`` (a query is one vector, so bytes = rows x dims x 8).  Above the
-bound the corpus is broadcast instead when it is the side under the bound; when neither is,
-the queries are processed in broadcast-sized chunks whose results are unioned, so no single
-broadcast grows with the input.  Norms are computed once per row on each side
-before the join; per pair only a dot product runs.  The top-k is a ``row_number`` filter,
-which Catalyst turns into a partial ``WindowGroupLimit`` before the shuffle, so only
-k rows per query and corpus partition cross the network.
+Corpus and questions are both dealt into blocks by a hash of their ids, and a cell holds one block of either, so its size is
+fixed by two parameters whatever the tables hold: one plan for every size, nothing broadcast, no join of all rows with
+all rows.  A cell multiplies its two matrices in Arrow-fed NumPy, in double precision.  For a top-k it keeps the k best of
+each question, so k rows for each question and block of the corpus are shuffled, and a ``row_number`` filter merges them.
+
+Defined cases: a null or zero vector, or one with a null or NaN component, has a null similarity to everything; vectors of
+different lengths pair up to the shorter; rows without an id are no hits, questions without an id are not asked.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardsmith.functions.util import ordered_concat
-from boardsmith.functions.vectors import dot, norm
-
-MAX_BROADCAST_QUERIES = 4096
-
-
-def _prepare(corpus: DataFrame, queries: DataFrame, id_col: str, vec_col: str, qid_col: str, qvec_col: str):
-    c = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("_v")).withColumn("_n", norm("_v"))
-    q = queries.select(F.col(qid_col).alias("query_id"), F.col(qvec_col).alias("_qv")).withColumn("_qn", norm("_qv"))
-    return c, q
-
-
-def _scored(c: DataFrame, q: DataFrame, broadcast_corpus: bool = False) -> DataFrame:
-    sim = dot("_v", "_qv") / F.nullif(F.col("_n") * F.col("_qn"), F.lit(0.0))
-    pairs = q.join(F.broadcast(c), how="inner") if broadcast_corpus else c.join(F.broadcast(q), how="inner")
-    return pairs.select("query_id", "id", sim.alias("similarity"))
-
-
-def similarity(
-    corpus: DataFrame,
-    queries: DataFrame,
-    id_col: str = "id",
-    vec_col: str = "vec",
-    qid_col: str = "query_id",
-    qvec_col: str = "query_vec",
-    max_broadcast_queries: int = MAX_BROADCAST_QUERIES,
-) -> DataFrame:
-    """C4: (query_id, id, similarity) for every query x corpus row; similarity null for zero/null vectors."""
-    c, q = _prepare(corpus, queries, id_col, vec_col, qid_col, qvec_col)
-    n_queries = q.count()
-    if n_queries <= max_broadcast_queries:
-        return _scored(c, q)
-    if c.limit(max_broadcast_queries + 1).count() <= max_broadcast_queries:
-        return _scored(c, q, broadcast_corpus=True)  # many questions, small corpus: the corpus is the bounded side
-    n_chunks = -(-n_queries // max_broadcast_queries)
-    q = q.withColumn("_chunk", F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)))
-    parts = [_scored(c, q.where(F.col("_chunk") == i).drop("_chunk")) for i in range(n_chunks)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+VECTOR_BLOCK, QUERY_BLOCK = 16_384, 4_096  # rows of a cell of a top-k
+SCAN_BLOCK, SCAN_QUERIES = 8_192, 64  # rows of a cell that returns every similarity
+NONE = -3.0  # a similarity that is null, below any cosine
+
+
+def _cells(corpus: DataFrame, queries: DataFrame, id_col: str, vec_col: str, qid_col: str, qvec_col: str, block: int, query_block: int):
+    """Both tables grouped by the cells (corpus block, question block)."""
+    c = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where("id IS NOT NULL")
+    q = queries.select(F.col(qid_col).alias("query_id"), F.col(qvec_col).cast("array<double>").alias("vec")).where("query_id IS NOT NULL")
+    n_c, n_q = c.count(), q.count()
+    q_blocks = max(1, -(-n_q // query_block))
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    c_blocks = max(1, -(-n_c // block), min(-(-cores // q_blocks), -(-n_c // 1024)))
+    deal = lambda name, n: F.pmod(F.xxhash64(name), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    c = c.withColumn("cb", deal("id", c_blocks)).withColumn("qb", every(q_blocks))
+    q = q.withColumn("qb", deal("query_id", q_blocks)).withColumn("cb", every(c_blocks))
+    return c.groupBy("cb", "qb").cogroup(q.groupBy("cb", "qb"))
+
+
+def _unit(vectors: pd.Series, width: int) -> np.ndarray:
+    """Rows of unit length, NaN where there is none."""
+    out = np.zeros((len(vectors), width))
+    for i, v in enumerate(vectors):
+        if v is None:
+            out[i] = np.nan
+        else:
+            out[i, :len(v)] = v  # a null component arrives as NaN
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return out / np.sqrt((out * out).sum(1))[:, None]
+
+
+def _matrix(c: pd.DataFrame, q: pd.DataFrame) -> np.ndarray:
+    """Cosines, questions by corpus rows; ``NONE`` where there is none."""
+    width = max((len(v) for part in (c["vec"], q["vec"]) for v in part if v is not None), default=0)
+    with np.errstate(invalid="ignore"):
+        s = _unit(q["vec"], width) @ _unit(c["vec"], width).T
+    return np.where(np.isnan(s), NONE, s)
+
+
+def _frame(query_ids, ids, s) -> pd.DataFrame:
+    return pd.DataFrame({"query_id": query_ids, "id": ids, "similarity": np.where(s == NONE, np.nan, s)})
+
+
+def similarity(corpus: DataFrame, queries: DataFrame, id_col: str = "id", vec_col: str = "vec", qid_col: str = "query_id", qvec_col: str = "query_vec",
+               block: int = SCAN_BLOCK, query_block: int = SCAN_QUERIES) -> DataFrame:
+    """C4: (query_id, id, similarity) for every query x corpus row, which is what the operator is for; use ``search`` for the best few."""
+    def every(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        s = _matrix(c, q)
+        return _frame(np.repeat(q["query_id"].to_numpy(), len(c)), np.tile(c["id"].to_numpy(), len(q)), s.ravel())
+
+    found = _cells(corpus, queries, id_col, vec_col, qid_col, qvec_col, block, query_block).applyInPandas(every, _schema(corpus, queries, id_col, qid_col))
+    return found.withColumn("similarity", F.nanvl("similarity", F.lit(None).cast("double")))
+
+
+def _schema(corpus: DataFrame, queries: DataFrame, id_col: str, qid_col: str) -> str:
+    return f"query_id {queries.schema[qid_col].dataType.simpleString()}, id {corpus.schema[id_col].dataType.simpleString()}, similarity double"
+
+
+def _k_best(k: int, digits: int):
+    def run(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        c = c.sort_values("id")  # ties go to the smaller id: the first column of equal ones
+        ids, query_ids, s = c["id"].to_numpy(), q["query_id"].to_numpy(), _matrix(c, q)
+        if not s.size:
+            return _frame(query_ids[:0], ids[:0], np.zeros(0))
+        order = np.argsort(-np.round(s, digits), axis=1, kind="stable")[:, :k] if k > 16 else _by_maximum(np.round(s, digits), k)
+        rows = np.repeat(np.arange(len(query_ids)), order.shape[1])
+        return _frame(query_ids[rows], ids[order.ravel()], s[rows, order.ravel()])
+
+    return run
+
+
+def _by_maximum(s: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k greatest of each row, in falling order, the first of equal ones first."""
+    out, every = [], np.arange(len(s))
+    for _ in range(min(k, s.shape[1])):
+        out.append(s.argmax(1))
+        s[every, out[-1]] = -np.inf
+    return np.stack(out, 1)
 
 
 def top_k(scored: DataFrame, k: int = 3, digits: int = 6) -> DataFrame:
@@ -74,9 +114,12 @@ def top_k(scored: DataFrame, k: int = 3, digits: int = 6) -> DataFrame:
     )
 
 
-def search(corpus: DataFrame, queries: DataFrame, k: int = 3, **cols) -> DataFrame:
-    """F1 entry point: similarity + top-k."""
-    return top_k(similarity(corpus, queries, **cols), k)
+def search(corpus: DataFrame, queries: DataFrame, k: int = 3, id_col: str = "id", vec_col: str = "vec", qid_col: str = "query_id", qvec_col: str = "query_vec",
+           block: int = VECTOR_BLOCK, query_block: int = QUERY_BLOCK, digits: int = 6) -> DataFrame:
+    """(query_id, rank, id, similarity), the k best of the corpus for every question."""
+    cells = _cells(corpus, queries, id_col, vec_col, qid_col, qvec_col, block, query_block)
+    found = cells.applyInPandas(_k_best(k, digits), _schema(corpus, queries, id_col, qid_col))
+    return top_k(found.withColumn("similarity", F.nanvl("similarity", F.lit(None).cast("double"))), k, digits)
 
 
 # The grounding-context line layout (id, content, answer) and its terminator.
@@ -89,8 +132,8 @@ CONTEXT_END = "  \n"
 def rag_context(hits: DataFrame, posts: DataFrame, post_id: str = "post_id", content: str = "content", comments: str = "comments") -> DataFrame:
     """Per query, hit rows concatenated in rank order as ``id:…, 내용:…, 답변:…  \\n``.
 
-    ``hits`` = (query_id, rank, id); joined to ``posts`` on ``id = post_id`` (inner).  A null
-    comment becomes ``''`` (the reference would raise).  Groups are k rows wide.
+    ``hits`` = (query_id, rank, id); joined to ``posts`` on ``id = post_id`` (left: a hit whose post is missing keeps its
+    line, with empty texts).  A null comment becomes ``''`` (the reference would raise).  Groups are k rows wide.
     """
     p = posts.select(F.col(post_id).alias("id"), F.col(content).alias("_content"), F.col(comments).alias("_comments"))
     line = F.concat(
@@ -100,7 +143,7 @@ def rag_context(hits: DataFrame, posts: DataFrame, post_id: str = "post_id", con
         F.lit(CONTEXT_END),
     )
     return (
-        hits.join(p, "id", "inner")
+        hits.join(p, "id", "left")
         .withColumn("_line", line)
         .groupBy("query_id")
         .agg(

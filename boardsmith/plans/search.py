@@ -69,6 +69,22 @@ def cosine_topk(spark, sf_dir):
     return search(corpus(emb), probes(emb), k=TOPK)
 
 
+@register("cosine_topk_all", oracle=f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, embedding::DOUBLE[] AS x, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings),
+ranked AS (
+  SELECT q.vec_id AS query_id, v.vec_id AS id, round(list_dot_product(q.x, v.x) / nullif(q.n * v.n, 0), 6) AS similarity,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_dot_product(q.x, v.x) / nullif(q.n * v.n, 0), 6) DESC NULLS LAST, v.vec_id) AS rank
+  FROM v q, v WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank, id, similarity FROM ranked WHERE rank <= {TOPK}
+""")
+def cosine_topk_all(spark, sf_dir):
+    """F1 for many questions: every vector whose id is divisible by 20 against all vectors, in blocks."""
+    emb = table(spark, sf_dir, "embeddings")
+    asked = emb.where(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    return search(corpus(emb), asked, k=TOPK)
+
+
 @register("cosine_pairs", oracle="""
 SELECT a.vec_id AS vec_id, b.vec_id AS next_id,
        round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[])
@@ -93,7 +109,7 @@ hits AS (SELECT * FROM ranked WHERE rank <= 3),
 posts AS (SELECT doc_id AS post_id, text AS content, CASE WHEN doc_id % 2 = 1 THEN NULL ELSE source END AS comments FROM documents)
 SELECT h.query_id, CAST(count(*) AS BIGINT) AS n_hits,
        string_agg('id:' || CAST(h.id AS VARCHAR) || ', 내용:' || coalesce(p.content, '') || ', 답변:' || coalesce(p.comments, '') || '  ' || chr(10), '' ORDER BY h.rank) AS context
-FROM hits h JOIN posts p ON p.post_id = h.id
+FROM hits h LEFT JOIN posts p ON p.post_id = h.id
 GROUP BY h.query_id
 """)
 def rag_context_q(spark, sf_dir):
