@@ -1,8 +1,8 @@
 """Order-preserving packing of token streams into sequences by dynamic programming.
 
-Documents are dealt by ranges of their id and sorted; each task tokenizes its range and packs it as one stream in
-bounded segments.  Window cuts are chosen among document ends, sentence ends and (dearer) word ends so that
-padding plus truncation penalties are least.  A window of n tokens costs capacity - n, or nothing when n is a power of
+Documents are dealt by a digest of id and text and sorted by id; each task tokenizes its share and packs it as one stream in
+bounded segments.  Window cuts are chosen among all document ends and sentence ends (and, dearer, some word ends for what
+has no sentence end within a window) so that padding plus truncation penalties are least.  A window of n tokens costs capacity - n, or nothing when n is a power of
 two; the best start among all windows that end at a cut is the front of a monotone queue, and the powers of two
 are tried one by one.  The last two windows of a segment are not fixed; their tokens open the next.
 
@@ -18,17 +18,19 @@ from collections import deque
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boardsmith.llm import tokens
-from boardsmith.llm.common import prepare
+from boardsmith.llm.common import prepare, shuffle_partitions
 
 SEGMENT = 1_000_000
 # Token penalties: a new sequence, a cut at a sentence end, at a word end, within a word; none at a document's end.
 PER_SEQUENCE, AT_SENTENCE, AT_WORD, IN_WORD = 1, 8, 32, 64
-SENTENCE_STEP, WORD_STEP, TAIL_STEP = 32, 256, 16
+WORD_STEP, TAIL_STEP = 256, 16  # one word end in so many tokens is offered
+SLICE_CHARS = 16_000_000  # bytes of text tokenized at once
 SENTENCE_ENDS = (".", "!", "?", "。", "！", "？")
 
 
@@ -56,7 +58,7 @@ def candidates(classes: np.ndarray, ends: np.ndarray, last: bool) -> tuple[np.nd
 
     offer(np.arange(WORD_STEP, n, WORD_STEP), 1, IN_WORD)
     offer(np.flatnonzero(classes >= 1) + 1, WORD_STEP, AT_WORD)
-    offer(np.flatnonzero(classes == 2) + 1, SENTENCE_STEP, AT_SENTENCE)
+    offer(np.flatnonzero(classes == 2) + 1, 1, AT_SENTENCE)
     if last:  # the stream's tail may end in small powers of two
         offer(np.arange(n, max(0, n - 4096), -TAIL_STEP), 1, IN_WORD)
         offer(n - 2 ** np.arange(int(np.log2(max(n, 1))) + 1)[: 12], 1, IN_WORD)
@@ -141,6 +143,16 @@ class Stream:
         self.size = len(ids) - at
 
 
+def slices(texts: pa.Array):
+    """Ranges of rows whose texts have about ``SLICE_CHARS`` bytes, each at least a row."""
+    total = np.cumsum(pc.binary_length(texts).to_numpy())
+    a = 0
+    while a < len(total):
+        z = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + SLICE_CHARS, "right")))
+        yield a, z
+        a = z
+
+
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
@@ -164,11 +176,13 @@ def _pack(path: str, capacity: int, end_id: int, with_ids: bool):
 
         for b in batches:
             kind = b.column(0).type
-            for name, text in zip(b.column(0), b.column(1).cast(pa.binary()), strict=True):
-                ids = np.frombuffer(enc.ids(text.as_py() or b""), enc.dtype)
-                stream.add(name.as_py(), np.concatenate([ids, end]))
-                if stream.size >= SEGMENT:
-                    yield from out(False)
+            texts = b.column(1).fill_null("")
+            for a, z in slices(texts):
+                ids, ends = enc.batch(texts.slice(a, z - a))
+                for name, part in zip(b.column(0).slice(a, z - a).to_pylist(), np.split(ids, ends[:-1]), strict=True):
+                    stream.add(name, np.concatenate([part, end]))
+                    if stream.size >= SEGMENT:
+                        yield from out(False)
         yield from out(True)
 
     return run
@@ -179,7 +193,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int
     """One row per piece: document, place and length in it, CRC-32 of its ids, sequence and offset there; ``with_ids`` adds the ids."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    # By a digest, not by sampled ranges: every evaluation deals the same rows to the same stream.
+    ordered = rows.repartition(shuffle_partitions(docs.sparkSession), F.xxhash64("doc_id", "text")).sortWithinPartitions("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
     return ordered.mapInArrow(_pack(tokenizer_path, capacity, end_id, with_ids), schema + (", ids array<int>" if with_ids else ""))

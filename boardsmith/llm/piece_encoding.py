@@ -29,7 +29,7 @@ FLAT_CHARS = 64  # up to this length the least of a list is found sooner than a
 
 
 class Agenda:
-    def __init__(self, path: str, capacity: int = 200_000):
+    def __init__(self, path: str, capacity: int = 500_000):
         import sentencepiece
 
         sp = self.lib = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -45,6 +45,9 @@ class Agenda:
         inner = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         hard = "".join(c for c in "\n\t" if c not in chars)
         self.split = re.compile(r"(?s).+" if inner else f"[{hard}]|{SPACE}*[^{SPACE}{hard}]+|{SPACE}+" if hard else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        # Chunks without a space mark in front are checked behind a character that is a chunk of its own.
+        self.before = "" if inner else hard[:1]
+        self.before_ids = sp.encode(self.before) if self.before else []
         self.plain = sp.normalize(_PROBE) == SPACE + _PROBE.replace(" ", SPACE)
         self.fresh: list[tuple[str, list[int]]] = []
         self.chunks = Generations(self._new, capacity)
@@ -94,21 +97,26 @@ class Agenda:
             i = end[i]
         return symbols
 
-    def _new(self, chunk: str):
+    def _new(self, chunk: str) -> str:
+        """The chunk's ids as decimal numbers joined by commas."""
         ids = self.merge(chunk)
-        if chunk.startswith(SPACE):
-            self.fresh.append((chunk, ids))
-        return ids, ",".join(map(str, ids))
+        self.fresh.append((chunk, ids))
+        return ",".join(map(str, ids))
 
     def check(self) -> None:
-        """Hold the chunks merged since the last call against the library, which adds their first space mark itself."""
-        if self.fresh:
-            told = self.lib.encode([c[1:].replace(SPACE, " ") for c, _ in self.fresh], num_threads=1)
-            for (chunk, ids), lib in zip(self.fresh, told, strict=True):
-                if chunk != SPACE and ids != lib:  # a lone mark can't be asked for
-                    self.chunks[chunk] = lib, ",".join(map(str, lib))
+        """Hold the chunks merged since the last call against the library.
+
+        It adds a first space mark itself; a chunk without one is asked for behind ``before``, whose ids are known.
+        """
+        asked = [(c, ids, c[1:] if c.startswith(SPACE) else self.before + c) for c, ids in self.fresh if c != SPACE and (c.startswith(SPACE) or self.before)]
+        if asked:  # a lone mark can't be asked for
+            told = self.lib.encode([t.replace(SPACE, " ") for _, _, t in asked], num_threads=1)
+            for (chunk, ids, _), lib in zip(asked, told, strict=True):
+                lib = lib if chunk.startswith(SPACE) else lib[len(self.before_ids):]
+                if ids != lib:
+                    self.chunks[chunk] = ",".join(map(str, lib))
                     self.disagreed += 1
-            self.fresh.clear()
+        self.fresh.clear()
         self.chunks.trim()
 
     def parts(self, text: str) -> list[str]:
@@ -154,10 +162,10 @@ def _encode(path: str, with_ids: bool):
                 if a.disagreed > before:
                     merged = [list(map(a.chunks.__getitem__, parts)) for parts in split]
                 for chunks in merged:
-                    ids = [i for c, _ in chunks for i in c]
-                    told = hashlib.sha256(",".join([shown for _, shown in chunks]).encode()).hexdigest()
+                    shown = ",".join(chunks)
+                    ids = list(map(int, shown.split(","))) if shown else []
                     decoded = a.lib.decode(ids) if ids else ""
-                    rows.append((len(ids), told, hashlib.sha256(decoded.encode()).hexdigest(), *((ids, decoded) if with_ids else ())))
+                    rows.append((len(ids), hashlib.sha256(shown.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), *((ids, decoded) if with_ids else ())))
             names, kinds = ["n_tokens", "ids_sha256", "decoded_sha256"], [pa.int64(), pa.string(), pa.string()]
             if with_ids:
                 names, kinds = [*names, "ids", "decoded"], [*kinds, pa.list_(pa.int32()), pa.string()]

@@ -12,6 +12,9 @@ import hashlib
 import json
 import os
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 # The pre-token pattern of the supported kind of file, and the range in which lower-casing and
@@ -62,7 +65,7 @@ def _word_kind(spec: dict) -> bool:
 class Ids:
     """``ids(text)``: little-endian unsigned 16- or 32-bit ids of a UTF-8 text, without added begin or end ids."""
 
-    def __init__(self, path: str, capacity: int = 300_000):
+    def __init__(self, path: str, capacity: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.kind = os.path.splitext(path)[1]
         if self.kind == ".model":
@@ -94,7 +97,8 @@ class Ids:
         text = word.decode()
         if "<|" in text or not PLAIN.fullmatch(text):
             return self._pack(self.lib.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.parts.__getitem__, PRE.findall(text.lower())))
+        parts = PRE.findall(text.lower())
+        return self._part(parts[0]) if len(parts) == 1 else b"".join(map(self.parts.__getitem__, parts))  # a single part is kept once, as the word
 
     def ids(self, text: bytes) -> bytes:
         if not self.by_word:
@@ -105,6 +109,29 @@ class Ids:
         self.parts.trim()
         return out
 
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, where each text's ids end) of a string array without nulls.
+
+        Words are told apart by Arrow, so the cache is asked once for each distinct word of the batch.
+        """
+        if not self.by_word or pc.any(pc.match_substring(texts, "<|")).as_py():
+            each = [np.frombuffer(self.ids(t.as_py()), self.dtype) for t in texts.cast(pa.binary())]
+            return np.concatenate(each) if each else np.zeros(0, self.dtype), np.cumsum([len(x) for x in each], dtype=np.int64)
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        coded = split.flatten().dictionary_encode()
+        found = list(map(self.words.__getitem__, coded.dictionary.cast(pa.binary()).to_pylist()))
+        self.words.trim()
+        self.parts.trim()
+        pool = np.frombuffer(b"".join(found), self.dtype)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        starts = np.cumsum(sizes) - sizes
+        which = coded.indices.to_numpy()
+        counts = sizes[which]
+        ends = np.cumsum(counts)
+        ids = pool[np.repeat(starts[which] - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        words = np.cumsum(pc.list_value_length(split).to_numpy())
+        return ids, np.append(0, ends)[words]
+
 
 _LOADED: dict[str, Ids] = {}
 

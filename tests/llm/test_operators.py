@@ -422,3 +422,48 @@ def test_neighbours_odd_rows(spark):
     got = rows_of(neighbours.nearest(df, df.where("vec_id % 100 = 0")), "query_id", "rank", "vec_id")
     assert got == [(0, 1, 1), (0, 2, 2)]
     assert neighbours.nearest(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_batches_of_texts_have_the_ids_of_each_text():
+    import numpy as np
+    import public_tokenizers
+    import pyarrow as pa
+
+    from boardsmith.llm import packing, tokens
+
+    texts = ["  a  b ", "", " ", "\t\n", "x\x1cy\x0bz", "É ü İstanbul", "a <|endoftext|> b", "It's 3.5%", "word " * 300]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        path = public_tokenizers.path(name)
+        one, many = tokens.Ids(path), tokens.Ids(path)
+        for part in (texts, [t for t in texts if "<|" not in t], []):
+            ids, ends = many.batch(pa.array(part, pa.string()))
+            want = [one.lib.encode(t, add_special_tokens=False).ids for t in part]
+            assert [x.tolist() for x in np.split(ids, ends[:-1])][: len(part)] == want
+    assert list(packing.slices(pa.array(texts))) == [(0, len(texts))]
+
+
+def test_every_sentence_end_may_be_a_cut():
+    import numpy as np
+
+    from boardsmith.llm import packing
+
+    classes = np.zeros(1000, np.uint8)
+    classes[[9, 10, 11, 500]] = 2
+    pos, pen = packing.candidates(classes, np.array([1000]), False)
+    assert {10, 11, 12, 501} <= set(pos[pen == packing.AT_SENTENCE].tolist())
+
+
+def test_chunks_after_a_newline_are_checked_against_the_library():
+    import public_tokenizers
+
+    from boardsmith.llm import piece_encoding as P
+
+    a = P.Agenda(public_tokenizers.path("piece_bpe_32k.model"))
+    right = a.merge
+    a.merge = lambda chunk: right(chunk)[::-1] if chunk in ("zqxj", "qqzz") else right(chunk)  # wrong where no space mark stands in front
+    text = "x\nzqxj\tqqzz"
+    parts = a.parts(text)
+    assert {"zqxj", "qqzz"} <= set(parts)
+    [a.chunks[p] for p in parts]
+    a.check()
+    assert a.disagreed == 2 and ",".join(a.chunks[p] for p in parts) == ",".join(map(str, a.lib.encode(text)))
