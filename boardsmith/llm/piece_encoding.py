@@ -2,8 +2,8 @@
 
 A score-ordered agenda of adjacent symbol pairs merges the best pair first (leftmost on ties) until no pair is in
 the vocabulary; symbols outside it become byte pieces.  A piece never holds a space mark after another
-character, nor any character that the vocabulary lacks, so a text falls into independent chunks there and
-equal chunks are merged once (bounded cache).  In each Arrow batch the chunks merged for the first time are
+character, nor any character that the vocabulary lacks, nor (where its pieces say so) a letter beside a punctuation
+mark, so a text falls into independent chunks there and equal chunks are merged once (bounded cache).  In each Arrow batch the chunks merged for the first time are
 checked against the library, whose ids win should they ever differ, and every text is decoded by the library.
 
 Defined cases: null text counts as empty (no ids, empty decoded text); null or repeated ids give one row
@@ -44,7 +44,9 @@ class Agenda:
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         inner = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         hard = "".join(c for c in "\n\t" if c not in chars)
-        self.split = re.compile(r"(?s).+" if inner else f"[{hard}]|{SPACE}*[^{SPACE}{hard}]+|{SPACE}+" if hard else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        apart = re.escape(self._apart(chars))
+        forms = [f"[{hard}]"] * bool(hard) + [f"{SPACE}*[^{SPACE}{hard}{apart}]+"] + [f"{SPACE}*[{apart}]+"] * bool(apart) + [f"{SPACE}+"]
+        self.split = re.compile(r"(?s).+" if inner else "|".join(forms))
         # Chunks without a space mark in front are checked behind a character that is a chunk of its own.
         self.before = "" if inner else hard[:1]
         self.before_ids = sp.encode(self.before) if self.before else []
@@ -53,6 +55,28 @@ class Agenda:
         self.chunks = Generations(self._new, capacity)
         self.disagreed = 0
 
+    def _apart(self, chars: set[str]) -> str:
+        """Characters that no piece joins, directly or through others, to any but their own: no merge crosses between them and the rest.
+
+        Whole groups of joined characters but the largest one, those with an ASCII character: marks that often stand beside words.
+        """
+        beside: dict[str, set[str]] = {c: set() for c in chars if c != SPACE}
+        for piece in self.ids:
+            for a, b in zip(piece, piece[1:]):
+                if a != SPACE:
+                    beside[a].add(b)
+                    beside[b].add(a)
+        groups, left = [], set(beside)
+        while left:
+            group, edge = set(), {left.pop()}
+            while edge:
+                group |= edge
+                edge = set().union(*(beside[c] for c in edge)) - group
+            left -= group
+            groups.append(group)
+        largest = max(groups, key=len, default=set())
+        return "".join(sorted(c for g in groups if g is not largest and any(map(str.isascii, g)) for c in g))
+
     def merge(self, chunk: str) -> list[int]:
         """Ids of one chunk: the best-scored adjacent pair is merged until none is left."""
         symbols = self._flat(chunk) if len(chunk) <= FLAT_CHARS else self._heap(chunk)

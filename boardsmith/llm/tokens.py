@@ -8,9 +8,11 @@ the start of a special token, go through the whole library.  Any other file is e
 
 from __future__ import annotations
 
+import array
 import hashlib
 import json
 import os
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -82,19 +84,25 @@ class Ids:
             size, self.by_word = self.lib.get_vocab_size(with_added_tokens=True), _word_kind(spec)
         self.dtype = "<u2" if size <= 1 << 16 else "<u4"
         self.width = int(self.dtype[2])
+        self.code = next(c for c in "HIL" if array.array(c).itemsize == self.width)
         if self.by_word:
             self.symbols, self.tokenize = byte_symbols(), self.lib.model.tokenize
             self.parts = Generations(self._part, capacity)
             self.words = Generations(self._word, capacity)
 
     def _pack(self, ids) -> bytes:
-        return b"".join([i.to_bytes(self.width, "little") for i in ids])
+        out = array.array(self.code, ids)
+        if sys.byteorder != "little":
+            out.byteswap()
+        return out.tobytes()
 
     def _part(self, part: str) -> bytes:
         return self._pack([t.id for t in self.tokenize(part.encode().decode("latin-1").translate(self.symbols))])
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
+        if text.isascii() and text.isalpha():  # one part, whose bytes are written as they are
+            return self._pack([t.id for t in self.tokenize(text.lower())])
         if "<|" in text or not PLAIN.fullmatch(text):
             return self._pack(self.lib.encode(text, add_special_tokens=False).ids)
         parts = PRE.findall(text.lower())
