@@ -107,3 +107,43 @@ def keyword_list(refined: DataFrame, chunk: int = 300, id_col: str = "id", col:
         F.count(F.lit(1)).cast("bigint").alias("n_keywords"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "keyword"))), lambda x: x["keyword"]), "; ").alias("keywords"),
     )
+
+
+def compound_keywords(docs: DataFrame, text_col: str = "text", least: int = 3, score: float = 10.83, names: DataFrame | None = None,
+                      stop: DataFrame | None = None, digits: int = 3) -> DataFrame:
+    """(term, n_times, score) of neighbouring words that belong together, by the log-likelihood ratio of their counts.
+
+    Words are keyword tokens, neighbours whatever stands between them.  A pair counts from ``least`` occurrences, a higher
+    count than by chance, and a ratio of ``score`` (10.83: one chance in a thousand).  Pairs with a stop word, pairs that are a term of ``stop`` and
+    pairs that hold or are part of a name of ``names`` (column ``name``, e.g. companies, one or two words) are left out.
+
+    Pairs are counted with map-side combining; every later step is as large as the vocabulary of pairs.
+    """
+    spark = docs.sparkSession
+    found = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(KEYWORD_TOKEN), 0)
+    pairs = F.transform(F.sequence(F.lit(1), F.size("_t") - 1), lambda i: F.struct(F.get("_t", i - 1).alias("a"), F.get("_t", i).alias("b")))
+    rows = docs.select(found.alias("_t")).where(F.size("_t") > 1).select(F.inline(pairs))
+    counts = materialize(rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "pairs")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    frequent = counts.where(F.col("n") >= least)
+    first = counts.groupBy("a").agg(F.sum("n").alias("n_a"))
+    second = counts.groupBy("b").agg(F.sum("n").alias("n_b"))
+    both = frequent.join(first, "a").join(second, "b")
+    cell = lambda k, row, col: F.when(k > 0, k * F.log(k * F.lit(float(total)) / (row * col))).otherwise(0.0)
+    n, n_a, n_b = (F.col(c).cast("double") for c in ("n", "n_a", "n_b"))
+    rest = F.lit(float(total))
+    ratio = 2 * (cell(n, n_a, n_b) + cell(n_a - n, n_a, rest - n_b) + cell(n_b - n, rest - n_a, n_b) + cell(rest - n_a - n_b + n, rest - n_a, rest - n_b))
+    out = both.where(n * total > n_a * n_b).withColumn("score", F.round(ratio, digits)).where(F.col("score") >= score)
+    out = out.withColumn("term", F.concat_ws(" ", "a", "b"))
+    singles = spark.createDataFrame([(w,) for w in STOP_WORDS], "w string")
+    if names is not None:
+        name = F.split(F.trim(F.lower("name")), r"\s+")
+        words = names.select(name.alias("_n"))
+        singles = singles.unionByName(words.where(F.size("_n") == 1).select(F.get("_n", F.lit(0)).alias("w")))
+        out = out.join(words.where(F.size("_n") == 2).select(F.array_join("_n", " ").alias("term")).distinct(), "term", "left_anti")
+    if stop is not None:
+        out = out.join(stop.select(F.lower("term").alias("term")).distinct(), "term", "left_anti")
+    singles = materialize(singles.distinct(), "left-out-words")
+    for side in ("a", "b"):
+        out = out.join(singles.select(F.col("w").alias(side)), side, "left_anti")
+    return out.select("term", F.col("n").alias("n_times"), "score")

@@ -3,16 +3,19 @@
 The reference leaves these to a model's rewriting; here they are deterministic rules with
 the same output shape, not the model's results.
 
-A lexicon is a table of any size: words are joined to it, and Spark chooses the join by its measured size.
+A lexicon is a table of any size (``phrases``); texts never leave their rows.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardsmith.functions.text import NONE_MARKER, WS_CLASS, py_strip, token_estimate
-from boardsmith.functions.util import as_col, ordered_concat, with_columns_where
+from boardsmith.functions.util import as_col, with_columns_where
+from boardsmith.operators.phrases import phrase_replace
 
 # Whole-reply rules of the refine instructions - agreement phrases become one
 # phrase, bare yes/no answers are dropped.
@@ -38,30 +41,6 @@ INSIDE_MARKERS = (
     ("했어요", -1), ("했습니다", -1), ("었어요", -1), ("았어요", -1), ("었습니다", -1), ("았습니다", -1), ("경험", -2), ("후기", -2),
 )
 TENDENCY_QUESTION, TENDENCY_EXPERIENCE = "질문성", "경험성"
-MARKER_TOKEN = r"[\p{L}']+|\?"
-
-
-def _map_literal(pairs) -> Column:
-    flat = []
-    for k, v in pairs:
-        flat += [F.lit(k), F.lit(v)]
-    return F.create_map(*flat)
-
-
-def replace_words(df: DataFrame, text_col: str, lexicon: DataFrame, out: str = "text_out", key: str = "word", value: str = "replacement") -> DataFrame:
-    """H12 (word level): each space-separated word whose lower case is in the lexicon is replaced.
-
-    One plan for any lexicon: words are exploded, joined (AQE broadcasts a lexicon that it measures as small) and put
-    together again for each row; the row's other columns travel once.  A word that stands in the lexicon several times
-    has its smallest replacement.  A null text stays null.
-    """
-    lex = lexicon.groupBy(F.col(key).alias("_k")).agg(F.min(value).alias("_v")).where(F.col("_k").isNotNull())
-    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("_all"))
-    words = rows.select("_row", "_all", F.posexplode_outer(F.split(F.col("_all")[text_col], " ", -1)).alias("_pos", "_w"))
-    words = words.select("_row", "_pos", "_w", F.when(F.coalesce("_pos", F.lit(0)) == 0, F.col("_all")).alias("_all"))
-    rep = words.join(lex, F.lower(F.col("_w")) == F.col("_k"), "left").withColumn("_o", F.coalesce("_v", "_w"))
-    joined = rep.groupBy("_row").agg(F.max_by("_all", F.col("_all").isNotNull()).alias("_all"), ordered_concat("_o", "_pos", " ").alias("_t"))
-    return joined.select("_all.*", F.when(F.col("_all")[text_col].isNotNull(), F.col("_t")).alias(out))
 
 
 def reply_rules(c) -> Column:
@@ -71,23 +50,31 @@ def reply_rules(c) -> Column:
 
 
 def lexicon_replace(df: DataFrame, text_col: str, lexicon: DataFrame, out: str = "text_out", **kw) -> DataFrame:
-    """Word lexicon, then whole-reply rules; rows that are only a bare yes/no are dropped."""
-    r = replace_words(df, text_col, lexicon, out, **kw)
+    """Lexicon of words and phrases, then whole-reply rules; rows that are only a bare yes/no are dropped."""
+    r = phrase_replace(df, text_col, lexicon, out, **kw)
     bare = F.coalesce(py_strip(F.col(out)).isin(*BARE_ANSWERS), F.lit(False))
     return r.where(~bare).withColumn(out, reply_rules(out))
 
 
+def _counted(text: Column, markers, left: str = "", right: str = "") -> Column:
+    """Sum of weights over the occurrences of the markers: one count for each weight, by one alternation."""
+    by_weight: dict[int, list[str]] = {}
+    for marker, weight in markers:
+        by_weight.setdefault(weight, []).append(marker)
+    out = F.lit(0)
+    for weight, own in by_weight.items():
+        either = "|".join(sorted((re.escape(m) for m in own), key=len, reverse=True))
+        out = out + F.regexp_count(text, F.lit(f"{left}(?:{either}){right}")) * weight
+    return out
+
+
 def tendency_score(c) -> Column:
-    """H13 helper: sum of marker weights over the text's tokens (row-local map lookup)."""
-    m = _map_literal(QUESTION_MARKERS + EXPERIENCE_MARKERS)
-    toks = F.regexp_extract_all(F.lower(F.coalesce(as_col(c), F.lit(""))), F.lit(MARKER_TOKEN), 0)
-    weights = F.transform(toks, lambda t: F.coalesce(F.element_at(m, t), F.lit(0)))
-    score = F.aggregate(weights, F.lit(0), lambda a, x: a + x)
-    text = F.coalesce(as_col(c), F.lit(""))
-    for marker, weight in INSIDE_MARKERS:
-        found = (F.length(text) - F.length(F.replace(text, F.lit(marker), F.lit("")))) / len(marker)
-        score = score + found.cast("int") * weight
-    return score.cast("bigint")
+    """H13 helper: sum of marker weights over the text's words, question marks, and Korean markers wherever they stand."""
+    text = F.lower(F.coalesce(as_col(c), F.lit("")))
+    whole = [m for m in QUESTION_MARKERS + EXPERIENCE_MARKERS if m[0] != "?"]
+    asked = (F.length(text) - F.length(F.replace(text, F.lit("?"), F.lit("")))) * dict(QUESTION_MARKERS)["?"]
+    inside = F.when(text.rlike("[가-힣]"), _counted(text, INSIDE_MARKERS)).otherwise(0)
+    return (asked + _counted(text, whole, r"(?<![\p{L}'])", r"(?![\p{L}'])") + inside).cast("bigint")
 
 
 def tendency(c) -> Column:

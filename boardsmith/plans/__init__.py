@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ("search", "scalars", "refine", "keywords", "pages", "rules", "edges", "streams")
+_MODULES = ("search", "scalars", "refine", "keywords", "pages", "rules", "edges", "streams", "hooks")
 
 
 def register(name: str, oracle: str | None = None):

@@ -173,3 +173,29 @@ def assign_categories_q(spark, sf_dir):
     r = refined(spark, sf_dir)
     members = materialize(C.category_members(r, N_CATEGORIES), "members")
     return C.assign_categories(r, members).select("id", "keywords", "primary_category", "secondary_category")
+
+
+# Names that compounds must not hold: the first word of every benchmark item.
+_NAMES_SQL = f"SELECT DISTINCT regexp_extract(lower(text), '{TOKEN_SQL}') AS name FROM benchmark"
+
+
+@register("compound_keywords", oracle=f"""
+WITH t AS (SELECT regexp_extract_all(lower(text), '{TOKEN_SQL}') AS w FROM documents),
+pairs AS MATERIALIZED (SELECT w[i] AS a, w[i + 1] AS b, count(*) AS n FROM (SELECT w, unnest(range(1, len(w))) AS i FROM t) GROUP BY ALL),
+tot AS (SELECT sum(n)::DOUBLE AS total FROM pairs),
+fa AS (SELECT a, sum(n)::DOUBLE AS n_a FROM pairs GROUP BY 1), fb AS (SELECT b, sum(n)::DOUBLE AS n_b FROM pairs GROUP BY 1),
+k AS (SELECT a, b, n, n::DOUBLE AS k11, n_a - n AS k12, n_b - n AS k21, total - n_a - n_b + n AS k22, n_a, n_b, total
+      FROM pairs JOIN fa USING (a) JOIN fb USING (b), tot WHERE n >= 3),
+names AS ({_NAMES_SQL}),
+s AS (SELECT a, b, n, round(2 * (k11 * ln(k11 * total / (n_a * n_b)) + CASE WHEN k12 > 0 THEN k12 * ln(k12 * total / (n_a * (total - n_b))) ELSE 0 END
+             + CASE WHEN k21 > 0 THEN k21 * ln(k21 * total / ((total - n_a) * n_b)) ELSE 0 END
+             + CASE WHEN k22 > 0 THEN k22 * ln(k22 * total / ((total - n_a) * (total - n_b))) ELSE 0 END), 3) AS score
+      FROM k WHERE k11 * total > n_a * n_b)
+SELECT a || ' ' || b AS term, n AS n_times, score FROM s
+WHERE score >= 10.83 AND a NOT IN ({_STOP_SQL}) AND b NOT IN ({_STOP_SQL}) AND a NOT IN (SELECT name FROM names) AND b NOT IN (SELECT name FROM names)
+""")
+def compound_keywords_q(spark, sf_dir):
+    """Two-word keywords by association, without those that hold a name of a table (the benchmark items' first words)."""
+    b = table(spark, sf_dir, "benchmark")
+    names = b.select(F.regexp_substr(F.lower("text"), F.lit(K.KEYWORD_TOKEN)).alias("name")).where("name IS NOT NULL")
+    return K.compound_keywords(table(spark, sf_dir, "documents"), names=names)

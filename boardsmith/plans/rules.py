@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from boardsmith.functions.text import TOKEN_PATTERN, normalize_text
 from boardsmith.operators import keywords as K
 from boardsmith.operators import rules as RU
+from boardsmith.operators.phrases import phrase_replace
 from boardsmith.operators.vectorize import DIMS, text_vectors
 from boardsmith.plans import register
 from boardsmith.plans.fixtures import sql_normalize, sql_strip
 from boardsmith.session import table
 
-LEXICON_SIZE = 20
 REPOST_OFFSET = 100
 
 
@@ -20,11 +20,10 @@ def _q(s: str) -> str:
     return s.replace("'", "''")
 
 
-def frequent_token_lexicon(df, text_col="text", n=LEXICON_SIZE):
-    """Lexicon built from the data: the ``n`` most frequent tokens, each mapped to its upper case."""
-    toks = K.tokens(df, text_col, text_col).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
-    top = toks.orderBy(F.col("c").desc(), F.col("token").asc()).limit(n)
-    return top.select(F.col("token").alias("word"), F.upper("token").alias("replacement"))
+def repeated_token_lexicon(df, text_col="text"):
+    """Lexicon built from the data: every token that occurs twice or more, mapped to its upper case."""
+    toks = K.tokens(df, text_col, text_col).groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c >= 2")
+    return toks.select(F.col("token").alias("word"), F.upper("token").alias("replacement"))
 
 
 _AGREE = ", ".join(f"'{_q(p)}'" for p in RU.AGREE_PHRASES)
@@ -32,9 +31,8 @@ _BARE = ", ".join(f"'{_q(p)}'" for p in RU.BARE_ANSWERS)
 
 
 @register("lexicon_replace", oracle=f"""
-WITH lex AS (SELECT token, upper(token) AS rep FROM (
-               SELECT token, count(*) AS c FROM (SELECT unnest(regexp_extract_all(lower(text), '\\p{{L}}{{2,}}')) AS token FROM conversations)
-               GROUP BY 1 ORDER BY c DESC, token LIMIT {LEXICON_SIZE})),
+WITH lex AS (SELECT token, upper(token) AS rep FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}]{{2,}}')) AS token FROM conversations)
+             GROUP BY 1, 2 HAVING count(*) >= 2),
 words AS (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS pos FROM conversations),
 rep AS (SELECT conv_id, turn, string_agg(coalesce(lex.rep, w), ' ' ORDER BY pos) AS t FROM words LEFT JOIN lex ON lex.token = lower(w) GROUP BY 1, 2),
 ruled AS (SELECT conv_id, turn, CASE WHEN {sql_strip('t')} IN ({_AGREE}) THEN '{RU.AGREE_CANON}' ELSE t END AS text_out FROM rep
@@ -42,19 +40,64 @@ ruled AS (SELECT conv_id, turn, CASE WHEN {sql_strip('t')} IN ({_AGREE}) THEN '{
 SELECT conv_id, turn, text_out FROM ruled
 """)
 def lexicon_replace_q(spark, sf_dir):
-    """The 20 most frequent tokens of all conversations replaced by their upper case, then reply rules."""
+    """Every token that occurs twice in all conversations replaced by its upper case, then reply rules."""
     conv = table(spark, sf_dir, "conversations")
-    lex = frequent_token_lexicon(conv)
+    lex = repeated_token_lexicon(conv)
     return RU.lexicon_replace(conv, "text", lex).select("conv_id", "turn", "text_out")
 
 
+# Two-word phrases of the table: every pair of neighbouring words that occurs three times, and the same with a third word.
+PHRASE_SQL = """
+w AS (SELECT conv_id, turn, string_split(lower(text), ' ') AS w FROM conversations WHERE text IS NOT NULL),
+p2 AS (SELECT w[i] AS a, w[i + 1] AS b FROM (SELECT w, unnest(range(1, len(w))) AS i FROM w)),
+p3 AS (SELECT w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+lex AS (
+  SELECT a || ' ' || b AS phrase, 2 AS n FROM p2 WHERE regexp_full_match(a || b, '[a-z]+') AND a <> '' AND b <> '' GROUP BY a, b HAVING count(*) >= 3
+  UNION ALL
+  SELECT a || ' ' || b || ' ' || c, 3 FROM p3 WHERE regexp_full_match(a || b || c, '[a-z]+') AND a <> '' AND b <> '' AND c <> '' GROUP BY a, b, c HAVING count(*) >= 3)
+"""
+
+
+@register("phrase_replace", oracle=f"""
+WITH RECURSIVE {PHRASE_SQL},
+t AS (SELECT conv_id, turn, string_split(text, ' ') AS own, w FROM w JOIN conversations USING (conv_id, turn)),
+hit AS (SELECT conv_id, turn, i, max(n) AS n FROM (
+          SELECT t.conv_id, t.turn, i, lex.n FROM (SELECT conv_id, turn, w, unnest(range(1, len(w))) AS i FROM t) t JOIN lex ON lex.n = 2 AND lex.phrase = w[i] || ' ' || w[i + 1]
+          UNION ALL
+          SELECT t.conv_id, t.turn, i, lex.n FROM (SELECT conv_id, turn, w, unnest(range(1, len(w) - 1)) AS i FROM t) t JOIN lex ON lex.n = 3 AND lex.phrase = w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+        GROUP BY ALL),
+walk AS (
+  SELECT conv_id, turn, 1::BIGINT AS i FROM t
+  UNION ALL
+  SELECT walk.conv_id, walk.turn, walk.i + coalesce(hit.n, 1) FROM walk JOIN t USING (conv_id, turn) LEFT JOIN hit ON hit.conv_id = walk.conv_id AND hit.turn = walk.turn AND hit.i = walk.i
+  WHERE walk.i < len(t.w)),
+put AS (
+  SELECT walk.conv_id, walk.turn, walk.i, CASE hit.n WHEN 2 THEN '<' || w[walk.i] || '_' || w[walk.i + 1] || '>'
+           WHEN 3 THEN '<' || w[walk.i] || '_' || w[walk.i + 1] || '_' || w[walk.i + 2] || '>' ELSE own[walk.i] END AS word
+  FROM walk JOIN t USING (conv_id, turn) LEFT JOIN hit ON hit.conv_id = walk.conv_id AND hit.turn = walk.turn AND hit.i = walk.i
+  WHERE walk.i <= len(w))
+SELECT conv_id, turn, string_agg(word, ' ' ORDER BY i) AS text_out FROM put GROUP BY ALL
+""")
+def phrase_replace_q(spark, sf_dir):
+    """H12 for phrases: two- and three-word phrases of the table itself, many overlapping, replaced leftmost-longest."""
+    conv = table(spark, sf_dir, "conversations").where("text IS NOT NULL")
+    w = conv.select(F.split(F.lower("text"), " ", -1).alias("w"))
+    lex = None
+    for n in (2, 3):
+        grams = F.transform(F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: i + n <= F.size("w")), lambda i: F.slice("w", i + 1, n))
+        own = w.select(F.explode(grams).alias("g")).where(F.forall("g", lambda x: x.rlike("^[a-z]+$"))).groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c >= 3")
+        own = own.select(F.array_join("g", " ").alias("word"), F.concat(F.lit("<"), F.array_join("g", "_"), F.lit(">")).alias("replacement"))
+        lex = own if lex is None else lex.unionByName(own)
+    return phrase_replace(conv, "text", lex).select("conv_id", "turn", "text_out")
+
+
 _INSIDE_SQL = " + ".join(f"({v}) * (length(text) - length(replace(text, '{k}', ''))) // {len(k)}" for k, v in RU.INSIDE_MARKERS)
 _MARKERS_SQL = ", ".join(f"('{_q(k)}', {v})" for k, v in RU.QUESTION_MARKERS + RU.EXPERIENCE_MARKERS)
 
 
 @register("tendency", oracle=f"""
 WITH m(token, w) AS (VALUES {_MARKERS_SQL}),
-t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{_q(RU.MARKER_TOKEN)}')) AS token FROM documents),
+t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}'''']+|[?]')) AS token FROM documents),
 s AS (SELECT t.doc_id, sum(m.w) AS score FROM t JOIN m USING (token) GROUP BY 1)
 SELECT d.doc_id, CAST(coalesce(s.score, 0) + {_INSIDE_SQL} AS BIGINT) AS score,
        CASE WHEN coalesce(s.score, 0) + {_INSIDE_SQL} > 0 THEN '{RU.TENDENCY_QUESTION}' ELSE '{RU.TENDENCY_EXPERIENCE}' END AS tendency

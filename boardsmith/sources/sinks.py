@@ -3,12 +3,14 @@
 The reference rewrites its whole output file after every batch (O(n^2) bytes).  Here each
 batch is its own partition folder; ``partitionOverwriteMode=dynamic`` makes a write replace
 exactly the batches it carries, so re-running a batch (or replaying a stream epoch)
-replaces it instead of duplicating it.  Total bytes written are O(n).
+replaces it instead of duplicating it.  Total bytes written are O(n).  A batch job that has all batches at hand writes
+folders of many batches (``replace_batches``), a stream one folder an epoch (``append_epoch``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def append_batches(df: DataFrame, path: str, batch_col: str = "batch_id", fmt: str = "parquet") -> None:
@@ -19,3 +21,14 @@ def append_batches(df: DataFrame, path: str, batch_col: str = "batch_id", fmt: s
         .format(fmt)
         .save(path)
     )
+
+
+def append_epoch(df: DataFrame, path: str, epoch: int, fmt: str = "parquet") -> None:
+    """A stream's epoch as one folder: a replayed epoch replaces its own rows and no others."""
+    append_batches(df.withColumn("epoch", F.lit(epoch).cast("bigint")), path, "epoch", fmt)
+
+
+def replace_batches(df: DataFrame, path: str, batch_col: str = "batch_id", span: int = 1000, fmt: str = "parquet") -> None:
+    """A whole run: folders of ``span`` batches (``batch_range``); batches of an earlier run that this one lacks are removed."""
+    ranged = df.withColumn("batch_range", F.floor(F.col(batch_col) / F.lit(span)).cast("bigint"))
+    ranged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch_range").format(fmt).save(path)

@@ -27,6 +27,7 @@ from boardsmith.operators import replies as R
 from boardsmith.operators.enrich import enrich_batches
 from boardsmith.operators.rules import cap_tokens
 from boardsmith.operators.search import rag_context, search
+from boardsmith.operators.vector_hook import hook_vectors
 from boardsmith.operators.vectorize import fit_text_vectors
 from boardsmith.session import materialize
 from boardsmith.sources.pages import Layout, extract_posts
@@ -102,12 +103,20 @@ def categorize_posts(refined: DataFrame, n: int = 10) -> tuple[DataFrame, DataFr
     return C.category_store(members), C.assign_categories(refined, members)
 
 
-def search_posts(refined: DataFrame, questions: DataFrame, k: int = 3, dims: int = 256) -> tuple[DataFrame, DataFrame]:
-    """``questions``: query_id, text.  Returns (hits: query_id, rank, id, similarity; context per question)."""
+def search_posts(refined: DataFrame, questions: DataFrame, k: int = 3, dims: int = 256, load: Callable | None = None) -> tuple[DataFrame, DataFrame]:
+    """``questions``: query_id, text.  Returns (hits: query_id, rank, id, similarity; context per question).
+
+    ``load`` gives the caller's model (``operators.vector_hook``), whose vectors have ``dims`` components; without it texts become tf-idf vectors.
+    """
     corpus = cap_tokens(refined.withColumn("content", normalize_text("content")), "content")
-    model = fit_text_vectors(corpus, "content", dims)
-    vecs = materialize(model.transform(corpus, "content").select("id", "content", "comments", "content_vector"), "vectors")
-    qv = model.transform(questions, "text", "query_vec").select("query_id", "query_vec")
+    if load is not None:
+        vecs = hook_vectors(corpus.select("id", "content", "comments"), load, dims, "content", "content_vector")
+        qv = hook_vectors(questions.select("query_id", "text"), load, dims, "text", "query_vec")
+    else:
+        model = fit_text_vectors(corpus, "content", dims)
+        vecs, qv = model.transform(corpus, "content"), model.transform(questions, "text", "query_vec")
+    vecs = materialize(vecs.select("id", "content", "comments", "content_vector"), "vectors")
+    qv = materialize(qv.select("query_id", "query_vec"), "question-vectors")
     hits = search(vecs.select("id", F.col("content_vector").alias("vec")), qv, k=k)
     ctx = rag_context(hits, vecs.select(F.col("id").alias("post_id"), "content", "comments"))
     return hits, ctx
