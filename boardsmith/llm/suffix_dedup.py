@@ -262,7 +262,7 @@ def repeated_ranges(texts: DataFrame, least: int) -> DataFrame:
     several = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"), F.sum("size").alias("total")).where("contents > 1")
     several = materialize(several.select("anchor", "total"), "several-segments")
     alone = distinct.join(several, "anchor", "left_anti").where("n > 1").select("anchor", "content", _whole_range(F.col("size")))
-    by_text = texts.mapInArrow(_with_id, "tid binary, text string").dropDuplicates(["tid"])
+    by_text = texts.mapInArrow(_with_id, _with_id_schema(texts)).dropDuplicates(["tid"])
 
     def cut_out(anchors: DataFrame) -> DataFrame:
         w = F.struct("anchor", "content", "n", "size", F.col("at.first").alias("first"), F.col("at.spot").alias("spot"))
@@ -282,6 +282,10 @@ def repeated_ranges(texts: DataFrame, least: int) -> DataFrame:
     return spots.groupBy("tid").agg(F.collect_list("r").alias("ranges"))
 
 
+def _with_id_schema(texts: DataFrame) -> str:
+    return f"tid binary, text {texts.schema['text'].dataType.simpleString()}"
+
+
 def _with_id(batches):
     for b in batches:
         texts = b.column(0).cast(pa.binary())
@@ -318,18 +322,48 @@ def _whole_characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[i
     return out
 
 
-REPORT = "tid binary, n_removed bigint, n_spans bigint, kept_sha256 string"
+def _stretches(least: int):
+    """Rows (tid, text, n, ranges) to the stretches of at least ``least`` bytes that the ranges cover, twice for a text that has copies."""
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for tid, text, n, ranges in zip(*b.columns, strict=True):
+                data = (text.as_py() or "").encode()
+                rows += [(tid.as_py(), lo, data[lo:hi], text_id(data[lo:hi])) for lo, hi in _merged(ranges.as_py()) if hi - lo >= least] * min(n.as_py(), 2)
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.binary(), pa.int64(), pa.binary(), pa.binary()], strict=True)], ["tid", "lo", "text", "sid"])
+
+    return run
+
+
+def ranges_within(texts: DataFrame, least: int) -> DataFrame:
+    """(tid, ranges) of the strings of ``least`` bytes that repeat, from distinct texts (tid, text, n, ranges) with the ranges of shorter ones.
+
+    A string that repeats consists of shorter strings that repeat, so it lies inside a stretch that they cover, and so does its
+    other occurrence: the stretches are all that has to be sorted again.
+    """
+    own = texts.select("tid", "text", "n", "ranges")
+    stretches = materialize(own.mapInArrow(_stretches(least), "tid binary, lo bigint, text binary, sid binary"), "stretches")
+    found = repeated_ranges(stretches.select("text"), least).withColumnRenamed("tid", "sid")
+    moved = F.transform("ranges", lambda r: F.struct((r["lo"] + F.col("lo")).alias("lo"), (r["hi"] + F.col("lo")).alias("hi")))
+    places = stretches.select("tid", "lo", "sid").distinct()
+    return places.join(found, "sid").select("tid", F.explode(moved).alias("r")).groupBy("tid").agg(F.collect_list("r").alias("ranges"))
+
+
+REPORT = "tid binary, n_removed bigint, n_spans bigint, kept_sha256 string, n_passage_bytes bigint"
 
 
 def _report(batches):
     for b in batches:
         rows = []
-        for tid, text, ranges in zip(*b.columns, strict=True):
+        for tid, text, ranges, shorter in zip(*b.columns, strict=True):
             data, spans = (text.as_py() or "").encode(), _merged(ranges.as_py())
-            rows.append((tid.as_py(), sum(hi - lo for lo, hi in spans), len(spans), hashlib.sha256(_kept(data, spans)).hexdigest()))
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.binary(), pa.int64(), pa.int64(), pa.string()], strict=True)],
-                                         ["tid", "n_removed", "n_spans", "kept_sha256"])
+            rows.append((tid.as_py(), sum(hi - lo for lo, hi in spans), len(spans), hashlib.sha256(_kept(data, spans)).hexdigest(),
+                         sum(hi - lo for lo, hi in _merged(shorter.as_py()))))
+        cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.int64()], strict=True)],
+                                         ["tid", "n_removed", "n_spans", "kept_sha256", "n_passage_bytes"])
 
 
 def _whole(batches):
@@ -341,19 +375,29 @@ def _whole(batches):
              pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())], ["doc_id", "tid", "n_bytes", "whole_sha256"])
 
 
-def repeat_report(docs: DataFrame, least: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row."""
+PASSAGE = 200  # bytes: shorter than a passage of fifty words
+
+
+def repeat_report(docs: DataFrame, least: int = 400, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_bytes) for every row.
+
+    Strings of ``least`` bytes are removed.  ``n_passage_bytes`` counts the bytes of shorter repeated passages too, strings of ``passage`` bytes
+    that also start elsewhere, which are told and not removed; they are sorted first, and the strings of ``least`` bytes inside them.
+    """
     prepare(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     texts = rows.select("text")
-    ranges = materialize(repeated_ranges(texts, least), "text-ranges")
-    cut = texts.mapInArrow(_with_id, "tid binary, text string").dropDuplicates(["tid"]).join(ranges, "tid").select("tid", "text", "ranges")
+    shorter = materialize(repeated_ranges(texts, min(least, passage)), "passage-ranges")
+    distinct = texts.mapInArrow(_with_id, _with_id_schema(texts)).groupBy("tid").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
+    cut = materialize(distinct.join(shorter, "tid"), "texts-with-passages")
+    ranges = shorter if passage >= least else materialize(ranges_within(cut, least), "text-ranges")
+    cut = cut.withColumnRenamed("ranges", "shorter").join(ranges, "tid", "left").select("tid", "text", "ranges", "shorter")
     cut = cut.mapInArrow(_report, REPORT)
     kind = rows.schema["doc_id"].dataType.simpleString()
     whole = rows.mapInArrow(_whole, f"doc_id {kind}, tid binary, n_bytes bigint, whole_sha256 string")
     return whole.join(cut, "tid", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
-        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"))
+        F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"), F.coalesce("n_passage_bytes", F.lit(0)).alias("n_passage_bytes"))
 
 
 def remove_repeats(docs: DataFrame, least: int, text_col: str = "text") -> DataFrame:

@@ -194,6 +194,16 @@ def check_repeats(df, least):
     assert rows_of(suffix_dedup.repeat_report(df, least), *REPEATS) == sorted(brute.repeats(plain(df), least), key=repr)
 
 
+def test_shorter_passages_are_told_and_not_removed(spark):
+    one, two = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(450)), "".join(chr(97 + (i * i * 3 + i // 5) % 26) for i in range(300))
+    rows = [(1, "x" * 30 + one + "1"), (2, one + "2"), (3, "3" + two), (4, two + "4" + "y" * 30), (5, "clean " * 5), (6, two + "4" + "y" * 30), (7, "é" * 90 + two), (8, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = suffix_dedup.repeat_report(df, 400)
+    assert rows_of(got, *REPEATS) == sorted(brute.repeats(rows, 400), key=repr)
+    assert dict(rows_of(got, "doc_id", "n_passage_bytes")) == {d: n for d, _, n, _, _ in brute.repeats(rows, 200)}
+    assert dict(rows_of(got, "doc_id", "n_removed"))[3] == 0
+
+
 def test_repeats(docs, odd, empty):
     check_repeats(docs, 400)
     check_repeats(odd, 400)
