@@ -3,7 +3,7 @@
 One automaton over the lower-cased bytes of a text finds every keyword; an expression is tried only where its
 keyword stands, and kinds with an embedded checksum (token CRC-32, card and account check digits) are kept only if
 it holds.  Runs of hex digits have no keyword; they are found by the same kind of byte search over a map of the
-text to digit classes.
+text to digit classes.  Expressions are bounded or give nothing back, so a text costs time in proportion to its length.
 
 Spans are code points, end exclusive, over the whole text.  Defined cases: null text counts as empty; spans of one
 kind never overlap, leftmost first; ids may be null or repeated, each row is scanned alone; an empty
@@ -40,11 +40,13 @@ PATTERNS = {
     "access": re.compile(rb"AKIA[A-Z0-9]+"),
     "github": re.compile(rb"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"),
     "npm": re.compile(rb"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"),
-    "card": re.compile(rb"[A-Za-z]+[^0-9\n]{0,16}([0-9](?:[ -]?[0-9]){11,18})(?![0-9])", re.I),
-    "iban": re.compile(rb"(?i:iban)[:=]?\x20*([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){10,30})(?![A-Za-z0-9])"),
-    "jwt": re.compile(rb"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    "pem": re.compile(rb"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s:,-]*?-----END [A-Z ]*PRIVATE KEY-----"),
+    "card": re.compile(rb"[A-Za-z]{1,32}+[^0-9\n]{0,16}+([0-9](?:[ -]?[0-9]){11,18})(?![0-9])", re.I),
+    "iban": re.compile(rb"(?i:iban)[:=]?\x20*+([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){10,30})(?![A-Za-z0-9])"),
+    "jwt": re.compile(rb"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
+    "pem": re.compile(rb"-----BEGIN (?:[A-Z0-9]{1,20}+ ){0,4}?PRIVATE KEY-----"),  # the header; KeyBlocks finds the rest
 }
+PEM_END = re.compile(rb"-----END (?:[A-Z0-9]{1,20}+ ){0,4}?PRIVATE KEY-----")
+PEM_BODY = re.compile(rb"[A-Za-z0-9+/=\s:,-]*+")
 BASE62 = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 HEX_LEAST, ACCESS_LEAST, ASSIGN_LEAST = 32, 16, 8
 _HEX_CLASS = bytes(120 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
@@ -76,6 +78,25 @@ VALID = {
 }
 
 
+class KeyBlocks:
+    """Ends of key blocks in one text.  What is known of the text behind a header is kept for later headers, so that many
+    headers without an end cost one pass together."""
+
+    def __init__(self, data: bytes):
+        self.data, self.end, self.body = data, (0, 0), (0, 0)  # the next end mark; a run of bytes that a body may hold
+
+    def close(self, at: int) -> int | None:
+        """Where the block whose header ends at ``at`` ends, if it does."""
+        if self.end is not None and self.end[0] < at:
+            m = PEM_END.search(self.data, at)
+            self.end = m and m.span()
+        if self.end is None:  # no end mark from here on
+            return None
+        if not self.body[0] <= at <= self.body[1]:
+            self.body = at, PEM_BODY.match(self.data, at).end()
+        return self.end[1] if self.end[0] <= self.body[1] else None
+
+
 class Scanner:
     def __init__(self):
         import ahocorasick
@@ -88,14 +109,17 @@ class Scanner:
 
     def spans(self, data: bytes) -> list[tuple[int, int, int]]:
         """(start, kind's index, end) in bytes, sorted."""
-        found, free = [], dict.fromkeys(KINDS, 0)
+        found, free, keys = [], dict.fromkeys(KINDS, 0), KeyBlocks(data)
         for last, (kind, size) in self.automaton.iter(data.lower().decode("latin-1")):
             at = last + 1 - size
             if at < free[kind] or not (m := PATTERNS[kind].match(data, at)):
                 continue
-            free[kind] = m.end()  # a failing match still takes its place
+            end = keys.close(m.end()) if kind == "pem" else m.end()
+            if end is None:
+                continue
+            free[kind] = end  # a failing match still takes its place
             if kind not in VALID or VALID[kind](m):
-                found.append((m.start(), KINDS.index(kind), m.end()))
+                found.append((m.start(), KINDS.index(kind), end))
         classes, at = data.translate(_HEX_CLASS), 0
         while (at := classes.find(b"x" * HEX_LEAST, at)) >= 0:
             end = classes.find(b" ", at)

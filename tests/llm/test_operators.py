@@ -477,3 +477,23 @@ def test_chunks_after_a_newline_are_checked_against_the_library():
     [a.chunks[p] for p in parts]
     a.check()
     assert a.disagreed == 2 and ",".join(a.chunks[p] for p in parts) == ",".join(map(str, a.lib.encode(text)))
+
+
+def test_secrets_in_long_texts_take_linear_time():
+    import time
+
+    scan = secret_scan.Scanner()
+    end = b"-----END RSA PRIVATE KEY-----"
+    head = b"-----BEGIN RSA PRIVATE KEY-----\n"
+    for unit in (b"card", b"card ", b"card1", head, b"-----BEGIN " * 2, b"eyJ", b"eyJaaaaaaaaaaa.", b"iban ", b"iban" + b" " * 50, b"token ", b"token=", b"password:  '", b"AKIA", b"ghp_", b"visa 4111 "):
+        text = (unit * (200_000 // len(unit) + 1))[:200_000]
+        for tail in (b"", end):
+            t0 = time.process_time()
+            scan.spans(text + tail)
+            assert time.process_time() - t0 < 1.0, unit
+    kinds = lambda t: [secret_scan.KINDS[k] for _, k, _ in scan.spans(t)]
+    block = head + b"MIIE" * 20 + b"\n" + end
+    assert kinds(b"a " + block + b" b " + block) == ["pem", "pem"] and scan.spans(b"xx" + block)[0] == (2, secret_scan.KINDS.index("pem"), 2 + len(block))
+    assert kinds(head + b"MIIE!" + end) == [] and kinds(head * 3 + b"MIIE" + end) == ["pem"] and kinds(block.replace(b"RSA ", b"")) == ["pem"]
+    assert kinds(b"card number: 4111 1111 1111 1111.") == ["card"] and kinds(b"card number: 4111 1111 1111 1112.") == []
+    assert "jwt" in kinds(b"x: eyJhbGciOiJI.eyJzdWIiOiIx.abcdefghij") and kinds(b"xeyJhbGciOiJI.eyJzdWIiOiIx.abcdefghij") == []
