@@ -21,9 +21,9 @@ def _q(s: str) -> str:
 
 
 def repeated_token_lexicon(df, text_col="text"):
-    """Lexicon built from the data: every token that occurs twice or more, mapped to its upper case."""
+    """Lexicon built from the data: every token that occurs twice or more, put in brackets."""
     toks = K.tokens(df, text_col, text_col).groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c >= 2")
-    return toks.select(F.col("token").alias("word"), F.upper("token").alias("replacement"))
+    return toks.select(F.col("token").alias("word"), F.concat(F.lit("<"), "token", F.lit(">")).alias("replacement"))
 
 
 _AGREE = ", ".join(f"'{_q(p)}'" for p in RU.AGREE_PHRASES)
@@ -31,7 +31,7 @@ _BARE = ", ".join(f"'{_q(p)}'" for p in RU.BARE_ANSWERS)
 
 
 @register("lexicon_replace", oracle=f"""
-WITH lex AS (SELECT token, upper(token) AS rep FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}]{{2,}}')) AS token FROM conversations)
+WITH lex AS (SELECT token, '<' || token || '>' AS rep FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}]{{2,}}')) AS token FROM conversations)
              GROUP BY 1, 2 HAVING count(*) >= 2),
 words AS (SELECT conv_id, turn, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS pos FROM conversations),
 rep AS (SELECT conv_id, turn, string_agg(coalesce(lex.rep, w), ' ' ORDER BY pos) AS t FROM words LEFT JOIN lex ON lex.token = lower(w) GROUP BY 1, 2),
@@ -40,7 +40,7 @@ ruled AS (SELECT conv_id, turn, CASE WHEN {sql_strip('t')} IN ({_AGREE}) THEN '{
 SELECT conv_id, turn, text_out FROM ruled
 """)
 def lexicon_replace_q(spark, sf_dir):
-    """Every token that occurs twice in all conversations replaced by its upper case, then reply rules."""
+    """Every token that occurs twice in all conversations put in brackets, then reply rules."""
     conv = table(spark, sf_dir, "conversations")
     lex = repeated_token_lexicon(conv)
     return RU.lexicon_replace(conv, "text", lex).select("conv_id", "turn", "text_out")
