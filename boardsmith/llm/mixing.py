@@ -34,7 +34,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MOST = 3  # times a source's size at which its target stops, and passes over a document
 PACKET = 64  # words served at once
-PART_ROWS = 500_000  # rows of a source in one window
+PART_ROWS = 500_000  # rows of a source in one window, or fewer where the table is small for its tasks
 SPAN_WORDS = 20_000_000  # words of the mix in one span of virtual time
 SEED = 20_251
 
@@ -76,7 +76,8 @@ def queue(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, *
     sized = materialize(sizes(docs, **columns), "sizes")
     aims = materialize(targets(sized, weights, most), "targets").withColumnRenamed("source", "_source")
     rows = sized.join(aims, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    parts = F.ceil(F.col("source_rows") / PART_ROWS).cast("long")
+    part_rows = min(PART_ROWS, -(-sized.count() // shuffle_partitions(docs.sparkSession)) or 1)  # a source with a third of the rows takes a third of the tasks
+    parts = F.ceil(F.col("source_rows") / part_rows).cast("long")
     rows = rows.withColumn("part", F.shiftright(F.shiftrightunsigned("digest", 33) * parts, 31))  # ranges of the digest's first 31 bits
     own = Window.partitionBy("source_rank", "part").orderBy("digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.partitionBy("source_rank").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each part
