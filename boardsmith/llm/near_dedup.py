@@ -39,6 +39,7 @@ from boardsmith.llm.tokens import Generations
 from boardsmith.session import materialize
 
 SKETCH = 32
+LIST_ROWS = 4_096  # classes of one inverted list that one task compares
 GROUP_HASHES = 4_000_000  # hashes of full sets that one task holds of a group before the group is cut into blocks
 WORD_CACHE = 300_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -85,8 +86,8 @@ def _sketches(width: int, k: int):
                 sketch.append(s[:k].view(np.int64))
             flat = pa.array(np.concatenate(sketch) if sketch else np.zeros(0, np.int64))
             offsets = pa.array(np.cumsum([0, *map(len, sketch)]), pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.ListArray.from_arrays(offsets, flat)],
-                                             ["doc_id", "n_shingles", "sid", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(sid, pa.binary()), pa.ListArray.from_arrays(offsets, flat)],
+                                             ["doc_id", "digest", "n_shingles", "sid", "sketch"])
 
     return run
 
@@ -168,6 +169,56 @@ def _forest(similarity: tuple[int, int], least: float, k: int):
     return run
 
 
+def _agreeing(least: float, k: int):
+    """Rows (value, node, sketch) sorted by value to links (a, b) of nodes that share a list and whose sketches agree, enough of
+    them to keep connected what agrees."""
+
+    def tree(nodes: list[int], sketches: list[np.ndarray]):
+        size = np.array([len(s) for s in sketches])
+        owner = np.repeat(np.arange(len(nodes)), size)
+        values = np.concatenate(sketches)
+        order = np.argsort(values, kind="stable")
+        values, owner, waiting = values[order], owner[order], np.ones(len(nodes), bool)
+        for seed in range(len(nodes)):
+            if not waiting[seed]:
+                continue
+            waiting[seed], todo = False, [seed]
+            while todo:
+                i = todo.pop()
+                a, b = np.searchsorted(values, sketches[i]), np.searchsorted(values, sketches[i], side="right")
+                near, shared = np.unique(np.concatenate([owner[x:y] for x, y in zip(a, b, strict=True)]), return_counts=True)
+                for j in near[waiting[near] & (shared >= np.floor(least * np.maximum(size[near], size[i])))].tolist():
+                    if _estimate(sketches[i], sketches[j], k, least):
+                        waiting[j] = False
+                        todo.append(j)
+                        yield nodes[i], nodes[j]
+
+    def run(batches):
+        value, nodes, sketches = None, [], []
+
+        def links():
+            if len(nodes) == 2:
+                return [tuple(nodes)] if _estimate(*sketches, k, least) else []
+            return list(tree(nodes, sketches)) if len(nodes) > 2 else []
+
+        def rows(out):
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            out = []
+            flat, at = batch.column(2).values.to_numpy().view(np.uint64), batch.column(2).offsets.to_numpy()
+            for i, (v, node) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                if v != value:
+                    out += links()
+                    value, nodes, sketches = v, [], []
+                nodes.append(node)
+                sketches.append(flat[at[i]:at[i + 1]])
+            yield rows(out)
+        yield rows(links())
+
+    return run
+
+
 def _estimate(a: np.ndarray, b: np.ndarray, k: int, least: float) -> bool:
     """Whether the k smallest values of the union have a large enough share in both sketches."""
     union = np.union1d(a, b)[:k]
@@ -199,13 +250,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
     spark = docs.sparkSession
     prepare(spark)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    sketched = materialize(rows.mapInArrow(_sketches(width, k), "doc_id bigint, n_shingles bigint, sid binary, sketch array<bigint>"), "sketches")
+    rows = rows.withColumn("digest", F.xxhash64("text"))
+    sketched = materialize(rows.mapInArrow(_sketches(width, k), "doc_id bigint, digest bigint, n_shingles bigint, sid binary, sketch array<bigint>"), "sketches")
     wanted = similarity[0] / similarity[1]
     least = _least_share(wanted, k)
 
     # Classes of equal sets, each with its smallest id; copies meet in the map side of this aggregation.
-    classes = sketched.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first"), F.first("sketch").alias("sketch"))
-    classes = materialize(classes, "classes")
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest"))
+    classes = sketched.where("sid IS NOT NULL").groupBy("sid").agg(one.alias("one"), F.first("sketch").alias("sketch"))
+    classes = materialize(classes.select("sid", F.col("one.doc_id").alias("first"), F.col("one.digest").alias("digest"), "sketch"), "classes")
 
     # Inverted lists: the rarest retained values of each class, of which linked classes share at least one.
     node = F.xxhash64("sid")
@@ -217,13 +270,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
     reach = F.col("m") - F.ceil(F.col("m") * F.lit(least)) + 1 - (F.col("m") - F.size("v"))
     lists = shared.where(reach > 0).select("node", F.explode(F.slice("v", 1, reach.cast("int"))).alias("e")).select("node", F.col("e.value").alias("value"))
     lists = materialize(lists, "lists")
-    heads = lists.groupBy("value").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    groups = components(lists.join(heads, "value").select(F.col("node").alias("a"), F.col("head").alias("b")), "groups")
+    # Inside a list only classes whose sketches agree are joined, so groups do not grow through single shared values.  A list
+    # too long for that is joined whole: a group may be larger than needed, as its links are confirmed later.
+    heads = materialize(lists.groupBy("value").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1"), "heads")
+    short = lists.join(heads.where(F.col("n") <= LIST_ROWS).select("value"), "value").join(classes.select(node.alias("node"), "sketch"), "node")
+    short = short.repartition(shuffle_partitions(spark), "value").sortWithinPartitions("value", "node").select("value", "node", "sketch")
+    joined = short.mapInArrow(_agreeing(least, k), "a bigint, b bigint")
+    whole = lists.join(heads.where(F.col("n") > LIST_ROWS), "value").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    groups = components(joined.unionByName(whole), "groups")
 
     # Full sets of the candidates, from one document of each class.
-    members = classes.withColumn("node", node).join(groups, "node").select("sid", "label", "first")
+    members = classes.withColumn("node", node).join(groups, "node").select("sid", "label", "first", "digest")
+    # By id and text: rows that repeat an id, or have none, meet only the classes of their own text.
     absent = F.lit(-(2**63))
-    held = rows.withColumn("first", F.coalesce("doc_id", absent)).join(members.withColumn("first", F.coalesce("first", absent)), "first")
+    held = rows.withColumn("first", F.coalesce("doc_id", absent)).join(members.withColumn("first", F.coalesce("first", absent)), ["first", "digest"])
     full = held.select("sid", "label", "text").mapInArrow(_full_sets(width), "sid binary, label bigint, full binary").dropDuplicates(["sid"])
     full = materialize(full, "full-sets")
 

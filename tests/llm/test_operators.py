@@ -497,3 +497,39 @@ def test_secrets_in_long_texts_take_linear_time():
     assert kinds(head + b"MIIE!" + end) == [] and kinds(head * 3 + b"MIIE" + end) == ["pem"] and kinds(block.replace(b"RSA ", b"")) == ["pem"]
     assert kinds(b"card number: 4111 1111 1111 1111.") == ["card"] and kinds(b"card number: 4111 1111 1111 1112.") == []
     assert "jwt" in kinds(b"x: eyJhbGciOiJI.eyJzdWIiOiIx.abcdefghij") and kinds(b"xeyJhbGciOiJI.eyJzdWIiOiIx.abcdefghij") == []
+
+
+def test_groups_do_not_grow_through_single_shared_values(spark, monkeypatch):
+    """Texts that share common shingles in chains: no group is far above the largest true component, and no link is lost."""
+    rng = random.Random(8)
+    common = [" ".join(f"c{rng.randrange(40)}" for _ in range(12)) for _ in range(30)]  # phrases that many texts hold
+    rows, k = [], 0
+    for i in range(300):
+        own = " ".join([*rng.sample(common, 4), *(f"u{rng.randrange(10**6)}" for _ in range(30))])
+        for _ in range(rng.choice([1, 1, 1, 3])):  # some have near copies
+            rows.append((k, own + f" end{rng.randrange(2)}"))
+            k += 1
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    seen = []
+    real = near_dedup.components
+
+    def spy(links, name):
+        out = real(links, name)
+        seen.append((name, max([r["count"] for r in out.groupBy("label").count().collect()], default=0)))
+        return out
+
+    monkeypatch.setattr(near_dedup, "components", spy)
+    got = rows_of(near_dedup.near_duplicates(df, width=3, similarity=(85, 100)), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == sorted(brute.near(rows, 3, 85, 100), key=repr)
+    largest = dict(seen)
+    assert largest["groups"] <= 2 * max(largest["links"], 3)
+    monkeypatch.setattr(near_dedup, "LIST_ROWS", 1)  # every list joined whole: the same result
+    assert rows_of(near_dedup.near_duplicates(df, width=3, similarity=(85, 100)), "doc_id", "n_shingles", "component_id", "kept") == got
+
+
+def test_rows_without_ids_or_with_one_id_meet_only_their_own_text(spark):
+    texts = [f"{w} " * 3 + " ".join(f"x{i}y{j}" for j in range(30)) for i, w in enumerate(["a", "b"] * 40)]
+    for key in (None, 7):
+        rows = [(key, t + " tail" * (i % 2)) for i, t in enumerate(texts + texts)]
+        df = spark.createDataFrame(rows, "doc_id bigint, text string")
+        assert rows_of(near_dedup.near_duplicates(df), "doc_id", "n_shingles", "component_id", "kept") == sorted(brute.near(rows, 5, 4, 5), key=repr)
