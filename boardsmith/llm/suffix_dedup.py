@@ -53,11 +53,16 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out)
 
 
+def gram_of(least: int) -> int:
+    """Bytes of a gram: long enough that other texts seldom share an anchor, short enough that segments are long."""
+    return max(1, least * 3 // 10)
+
+
 class Anchors:
     """Segments of the windows of some texts, ``least`` bytes each, by the smallest hash of their grams."""
 
     def __init__(self, least: int):
-        self.least, self.gram = least, max(1, least * 2 // 5)
+        self.least, self.gram = least, gram_of(least)
         self.limit = max(BLOCK, 4 * least)
         self.place = np.uint64((1 << (2 * self.limit).bit_length()) - 1)
         size = 2 * self.limit + 1
@@ -272,7 +277,7 @@ def repeated_ranges(texts: DataFrame, least: int) -> DataFrame:
     large = several.where(F.col("total") > GROUP_BYTES)
     ranges = _by_shards(cut_out(several.where(F.col("total") <= GROUP_BYTES)), least).unionByName(alone)
     if not large.isEmpty():
-        ranges = ranges.unionByName(_dealt_ranges(cut_out(large), least, least - max(1, least * 2 // 5) + 1))
+        ranges = ranges.unionByName(_dealt_ranges(cut_out(large), least, least - gram_of(least) + 1))
     ranges = materialize(ranges, "ranges")
 
     # Back to every text that holds the segment; copies of a text are one row here.
@@ -375,7 +380,7 @@ def _whole(batches):
              pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())], ["doc_id", "tid", "n_bytes", "whole_sha256"])
 
 
-PASSAGE = 200  # bytes: shorter than a passage of fifty words
+PASSAGE = 256  # bytes: about fifty short words
 
 
 def repeat_report(docs: DataFrame, least: int = 400, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE) -> DataFrame:

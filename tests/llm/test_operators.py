@@ -200,7 +200,7 @@ def test_shorter_passages_are_told_and_not_removed(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = suffix_dedup.repeat_report(df, 400)
     assert rows_of(got, *REPEATS) == sorted(brute.repeats(rows, 400), key=repr)
-    assert dict(rows_of(got, "doc_id", "n_passage_bytes")) == {d: n for d, _, n, _, _ in brute.repeats(rows, 200)}
+    assert dict(rows_of(got, "doc_id", "n_passage_bytes")) == {d: n for d, _, n, _, _ in brute.repeats(rows, suffix_dedup.PASSAGE)}
     assert dict(rows_of(got, "doc_id", "n_removed"))[3] == 0
 
 
