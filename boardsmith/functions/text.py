@@ -59,19 +59,14 @@ def split_list(c, sep: str = ";") -> Column:
     return F.filter(F.transform(parts, lambda x: py_strip(x)), lambda x: x != F.lit(""))
 
 
-def split_list_raw(c, sep: str = ";") -> Column:
-    """Split and trim, blanks kept (the reference's set update keeps ``''``)."""
-    return F.transform(F.split(as_col(c), _regex_literal(sep)), lambda x: py_strip(x))
-
-
 def join_list(c, sep: str = LIST_SEP) -> Column:
     """H4: ``'; '.join(list)``; an empty list gives ``''``, null stays null."""
     return F.array_join(as_col(c), sep)
 
 
 def strip_marker(c) -> Column:
-    """H8: strip one leading list mark (``-``/``*``/``•``) or number (``12.`` / ``12)``) and the spaces after it."""
-    return F.regexp_replace(as_col(c), r"^\s*(?:[-*•]|[0-9]+[.)])\s*", "")
+    """H8: strip one leading list mark (``-``) or number (``12.``) and the spaces after it; other marks stay, as in the reference."""
+    return F.regexp_replace(as_col(c), r"^\s*(?:-|[0-9]+[.])\s*", "")
 
 
 def none_marker(c) -> Column:

@@ -72,8 +72,14 @@ def entry_text(row_idx="row_idx"):
     return F.concat(head, F.lit("\n"), cm, F.lit("\n"), kw, tend)
 
 
-def text_replies(spark, sf_dir):
-    ent = numbered_input(spark, sf_dir, TEXT_BATCH).select(
+def written_input(spark, sf_dir, size):
+    """The numbered input written once, for queries that read it more than once."""
+    return materialize(numbered_input(spark, sf_dir, size), "numbered")
+
+
+def text_replies(spark, sf_dir, numbered=None):
+    numbered = written_input(spark, sf_dir, TEXT_BATCH) if numbered is None else numbered
+    ent = numbered.select(
         "batch_id", (F.col("row_idx") % TEXT_BATCH).alias("pos"), entry_text().alias("entry")
     )
     b, pos = F.col("batch_id"), F.col("pos")
@@ -230,8 +236,8 @@ def reply_filter_q(spark, sf_dir):
 
 
 # ---- H7 / W2 / C1 / B13 ---------------------------------------------------------------------
-def parsed_text(spark, sf_dir):
-    return R.parse_text_replies(text_replies(spark, sf_dir), TEXT_BATCH, strict_position=True)
+def parsed_text(spark, sf_dir, numbered=None):
+    return R.parse_text_replies(text_replies(spark, sf_dir, numbered), TEXT_BATCH, strict_position=True)
 
 
 @register("parse_text_reply", oracle=f"""
@@ -267,8 +273,8 @@ aligned AS (SELECT r.post_id AS id, l.content, array_to_string(l.comments, '; ')
 
 
 def aligned_text(spark, sf_dir):
-    parsed = parsed_text(spark, sf_dir)
-    return R.align(parsed, numbered_input(spark, sf_dir, TEXT_BATCH))
+    numbered = written_input(spark, sf_dir, TEXT_BATCH)
+    return R.align(parsed_text(spark, sf_dir, numbered), numbered)
 
 
 @register("align_replies", oracle=f"""
@@ -310,9 +316,10 @@ SELECT id, batch_id, reject_reason, landed AND reject_reason <> 'missing_key' AS
 """)
 def refine_rejects_q(spark, sf_dir):
     """B13 over the whole input: failed calls, replies without entries, short replies and contract violations."""
-    replies = materialize(text_replies(spark, sf_dir), "replies")
+    numbered = written_input(spark, sf_dir, TEXT_BATCH)
+    replies = materialize(text_replies(spark, sf_dir, numbered), "replies")
     parsed = R.parse_text_replies(replies, TEXT_BATCH, strict_position=True)
-    return R.reject_table(parsed, numbered_input(spark, sf_dir, TEXT_BATCH), replies)
+    return R.reject_table(parsed, numbered, replies)
 
 
 # ---- H5: JSON replies (20-row batches) ------------------------------------------------------
@@ -334,8 +341,7 @@ def json_post():
     return F.struct(F.regexp_replace("text", "\n", " ").alias("content"), comments.alias("comments"), keywords.alias("keywords"), tendency.alias("tendency"))
 
 
-def json_replies(spark, sf_dir):
-    num = numbered_input(spark, sf_dir, JSON_BATCH)
+def json_replies(num):
     g = num.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("row_idx", json_post().alias("p")))).alias("_ps"))
     b = F.col("batch_id")
     body = F.to_json(F.struct(F.transform("_ps", lambda x: x["p"]).alias("posts")))
@@ -372,8 +378,9 @@ FROM jlast l JOIN rin r ON r.row_idx = l.row_idx
 """)
 def parse_json_reply_q(spark, sf_dir):
     """H5 + C1 + W2: JSON replies decoded (malformed -> no rows), aligned by position."""
-    parsed = R.parse_json_replies(json_replies(spark, sf_dir), JSON_BATCH)
-    return R.to_refined_rows(R.align(parsed, numbered_input(spark, sf_dir, JSON_BATCH)))
+    numbered = written_input(spark, sf_dir, JSON_BATCH)
+    parsed = R.parse_json_replies(json_replies(numbered), JSON_BATCH)
+    return R.to_refined_rows(R.align(parsed, numbered))
 
 
 @register("parse_text_reply_compact", oracle=f"""

@@ -97,16 +97,19 @@ def to_json_comments_q(spark, sf_dir):
 @register("strip_marker", oracle="""
 SELECT doc_id, CAST(pos AS BIGINT) AS line_no, regexp_replace(marked, '^\\s*(-|[0-9]+\\.)\\s*', '') AS line FROM (
   SELECT doc_id, pos,
-         CASE pos % 3 WHEN 0 THEN '- ' || line WHEN 1 THEN CAST(pos + 1 AS VARCHAR) || '. ' || line ELSE line END AS marked
+         CASE pos % 6 WHEN 0 THEN '- ' || line WHEN 3 THEN '- ' || line WHEN 1 THEN CAST(pos + 1 AS VARCHAR) || '. ' || line WHEN 4 THEN '* ' || line
+                      WHEN 5 THEN CAST(pos AS VARCHAR) || ') ' || line ELSE line END AS marked
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents))
 """)
 def strip_marker_q(spark, sf_dir):
-    """H8 on every line of every document, with ``- `` and ``N. `` marks injected."""
+    """H8 on every line of every document, with ``- `` and ``N. `` marks injected, and ``* `` and ``N) ``, which stay."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    pm = F.col("pos") % 3
+    pm = F.col("pos") % 6
     marked = (
-        F.when(pm == 0, F.concat(F.lit("- "), "line"))
+        F.when(pm.isin(0, 3), F.concat(F.lit("- "), "line"))
         .when(pm == 1, F.concat((F.col("pos") + 1).cast("string"), F.lit(". "), "line"))
+        .when(pm == 4, F.concat(F.lit("* "), "line"))
+        .when(pm == 5, F.concat(F.col("pos").cast("string"), F.lit(") "), "line"))
         .otherwise(F.col("line"))
     )
     return d.select("doc_id", F.col("pos").cast("bigint").alias("line_no"), T.strip_marker(marked).alias("line"))
@@ -159,6 +162,16 @@ def required_filter_q(spark, sf_dir):
     return P.required(raw_posts(spark, sf_dir)).select("post_id", "title", "date_text")
 
 
+@register("required_rejects", oracle=f"""
+WITH {RAW_POSTS_SQL}
+SELECT post_id, CASE WHEN title IS NULL THEN 'no_title' WHEN trim(title) = '' THEN 'blank_title' WHEN contents = '' THEN 'empty_contents' ELSE 'empty_date' END AS reject_reason
+FROM raw_posts WHERE NOT ({_REQ_SQL})
+""")
+def required_rejects_q(spark, sf_dir):
+    """The rows that are dropped, each with its reason."""
+    return P.rejected(raw_posts(spark, sf_dir)).select("post_id", "reject_reason")
+
+
 @register("project_refined", oracle=f"""
 WITH {RAW_POSTS_SQL}
 SELECT post_id AS id, contents AS content, title, TRY_CAST(replace({_s('views_text')}, ',', '') AS BIGINT) AS views, date_text AS date
@@ -242,10 +255,21 @@ SELECT doc_id, lang, status FROM (SELECT doc_id, lang, {_STATUS_SQL} AS status F
 """)
 def status_filter_q(spark, sf_dir):
     """Landed responses with a status; only 200 pages give rows."""
+    return P.ok_pages(_landed(spark, sf_dir))[0]
+
+
+def _landed(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     status = F.when(F.col("lang") == "de", F.lit(404)).when((F.col("lang") == "es") & (F.col("n_chars") < 500), F.lit(500)).otherwise(F.lit(200))
-    ok, _rej = P.ok_pages(d.select("doc_id", "lang", status.alias("status")))
-    return ok
+    return d.select("doc_id", "lang", status.alias("status"))
+
+
+@register("status_rejects", oracle=f"""
+SELECT doc_id, lang, status FROM (SELECT doc_id, lang, {_STATUS_SQL} AS status FROM documents) WHERE status <> 200
+""")
+def status_rejects_q(spark, sf_dir):
+    """Landed responses that give no rows, with their status."""
+    return P.ok_pages(_landed(spark, sf_dir))[1]
 
 
 # ---- C2 / A6 / C5 ---------------------------------------------------------------------------

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boardsmith.operators.ranking import with_rank
+
 CATEGORY = T.StructType([
     T.StructField("name", T.StringType()),
     T.StructField("description", T.StringType()),
@@ -36,11 +38,16 @@ def scan_categories(spark: SparkSession, path: str, lines: bool = False) -> Data
 
 
 def sink_categories_json(categories: DataFrame, path: str) -> None:
-    """The store as documents of at most ``LINE_ROWS`` rows, one a line, non-ASCII kept."""
+    """The store in the order of its categories, in documents of at most ``LINE_ROWS`` rows, one a line, non-ASCII kept.
+
+    A small store is one document, as the reference writes it.
+    """
+    categories = categories if "chunk_no" in categories.columns else categories.withColumn("chunk_no", F.lit(0).cast("bigint"))
     row = F.struct("name", "description", "related_keywords", "ord", "chunk_no")
-    docs = categories.groupBy("ord", F.floor(F.col("chunk_no") / LINE_ROWS).alias("_doc")).agg(
-        F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", row.alias("c")))), lambda x: x["c"]).alias("categories"))).alias("value"))
-    docs.select("value").write.mode("overwrite").text(path)
+    placed = with_rank(categories, ["ord", "chunk_no"], "_place")
+    docs = placed.groupBy(F.floor(F.col("_place") / LINE_ROWS).alias("_doc")).agg(
+        F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("_place", row.alias("c")))), lambda x: x["c"]).alias("categories"))).alias("value"))
+    docs.orderBy("_doc").select("value").write.mode("overwrite").text(path)
 
 
 def categories_flat(categories: DataFrame) -> DataFrame:

@@ -23,3 +23,17 @@ def test_cli_three_stages(spark, tmp):
     open(q, "w").write("post src3\n\nforum\n")
     main(["search", "--input", refined, "--questions", q, "--output", hits, "--k", "2"])
     assert spark.read.parquet(hits).count() == 4
+
+
+def test_cli_extract(spark, tmp):
+    from boardsmith.sources import pages as P
+    from boardsmith.sources.csv import scan_posts_csv
+
+    html = f'<h2 class="{P.TITLE}">T</h2><div class="{P.CONTENTS}"><div>a</div>b</div><div class="{P.COMMENTS}"><ul><li><p class="{P.COMMENT_TEXT}">c</p></li></ul></div>'
+    pages, posts = os.path.join(tmp, "pages"), os.path.join(tmp, "posts")
+    spark.createDataFrame([(1, html), (2, "<p>no post")], "page_id bigint, html string").write.parquet(pages)
+    main(["extract", "--input", pages, "--output", posts, "--csv"])
+    (row,) = spark.read.parquet(posts).collect()
+    assert (row.post_id, row.title, row.contents, [c.comment_text for c in row.comments]) == (1, "T", "ab", ["c"])
+    assert [r.reject_reason for r in spark.read.parquet(posts + "_rejects").collect()] == ["no_title"]
+    assert scan_posts_csv(spark, posts + "_csv").first().comments == '[{"comment_date":"N/A","comment_text":"c"}]'

@@ -89,3 +89,17 @@ def test_posts_csv_is_read_by_name(spark, tmp):
     C.sink_csv(spark.createDataFrame([("7", "3")], "talkNo string, ReplyCount string"), tmp + "/listing")
     with pytest.raises(ValueError, match="Comments"):
         C.scan_posts_csv(spark, tmp + "/listing")
+
+
+def test_whole_runs_remove_stale_batches(spark, tmp):
+    from boardsmith.sources.sinks import append_epoch, replace_batches
+
+    run = lambda n: spark.range(n).selectExpr("id AS batch_id", "id * 2 AS v")
+    replace_batches(run(25), tmp + "/b", span=10)
+    assert sorted(f for f in os.listdir(tmp + "/b") if f.startswith("batch_range")) == ["batch_range=0", "batch_range=1", "batch_range=2"]
+    replace_batches(run(7), tmp + "/b", span=10)
+    assert spark.read.parquet(tmp + "/b").count() == 7
+    append_epoch(run(3), tmp + "/e", 0)
+    append_epoch(run(4), tmp + "/e", 1)
+    append_epoch(run(2), tmp + "/e", 0)  # a replayed epoch replaces its own rows
+    assert spark.read.parquet(tmp + "/e").groupBy("epoch").count().orderBy("epoch").collect() == [(0, 2), (1, 4)]
