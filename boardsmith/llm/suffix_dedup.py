@@ -55,7 +55,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def gram_of(least: int) -> int:
     """Bytes of a gram: long enough that other texts seldom share an anchor, short enough that segments are long."""
-    return max(1, least * 3 // 10)
+    return max(1, least * 2 // 5)
 
 
 class Anchors:
@@ -380,7 +380,7 @@ def _whole(batches):
              pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())], ["doc_id", "tid", "n_bytes", "whole_sha256"])
 
 
-PASSAGE = 256  # bytes: about fifty short words
+PASSAGE = 200  # bytes: shorter than a passage of fifty words
 
 
 def repeat_report(docs: DataFrame, least: int = 400, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE) -> DataFrame:
