@@ -82,3 +82,18 @@ def test_rag_context(spark):
     posts = spark.createDataFrame([(1, "내용1", None), (2, "내용2", "답")], "post_id bigint, content string, comments string")
     r = rag_context(hits, posts).first()
     assert r.n_hits == 3 and r.context == "id:1, 내용:내용1, 답변:  \nid:2, 내용:내용2, 답변:답  \nid:77, 내용:, 답변:  \n"
+
+
+def test_a_cell_holds_a_bounded_number_of_similarities(monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    from boardsmith.operators import search as S
+
+    r = np.random.default_rng(3)
+    c = pd.DataFrame({"id": np.arange(50), "vec": [None if i == 7 else v for i, v in enumerate(r.normal(size=(50, 6)))]})
+    q = pd.DataFrame({"query_id": np.arange(33), "vec": list(r.normal(size=(33, 6)))})
+    whole = S._k_best(4, 6)(c, q)
+    monkeypatch.setattr(S, "SCORES", 500)
+    assert max(s.size for _, s in S._matrices(c, q)) <= 500
+    pd.testing.assert_frame_equal(whole.reset_index(drop=True), S._k_best(4, 6)(c, q).reset_index(drop=True))
