@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from boardsmith.functions.util import pieces
 from boardsmith.llm.common import prepare
 
 # The kinds in order, the base kinds first; their keywords (lower case) and expressions.
@@ -155,7 +156,7 @@ SCAN_SCHEMA = "doc_id {id}, n_assign bigint, n_access bigint, n_hex bigint, base
 
 def _scan(batches):
     scan = scanner()
-    for b in batches:
+    for b in (p for whole in batches for p in pieces(whole)):
         rows = []
         for t in b.column(1).cast(pa.binary()):
             data = t.as_py() or b""
@@ -193,7 +194,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches):
         scan_ = scanner()
-        for b in batches:
+        for b in (p for whole in batches for p in pieces(whole)):
             texts = [t.as_py() for t in b.column(place).cast(pa.binary())]
             clean = [None if t is None else _redacted(t, scan_.spans(t)) for t in texts]
             cols = [pa.array(clean, pa.binary()).cast(pa.string()) if i == place else b.column(i) for i in range(b.num_columns)]

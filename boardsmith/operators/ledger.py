@@ -11,10 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boardsmith.functions.util import pieces
 from boardsmith.session import materialize
 
 LEDGER = "digest string, response string, error string"
@@ -49,11 +50,11 @@ def _called(fn: Callable[[int, str], str], calls: int):
         except Exception as e:  # noqa: BLE001 - the hook isolates any failure
             return None, f"{type(e).__name__}: {e}"
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ThreadPoolExecutor(calls) as pool:
-            for pdf in frames:
-                told = list(pool.map(ask, pdf["batch_id"].tolist(), pdf["prompt"].tolist()))
-                yield pd.DataFrame({"digest": pdf["digest"], "response": [r for r, _ in told], "error": [e for _, e in told]})
+            for b in (p for whole in batches for p in pieces(whole, 1_000_000)):
+                told = list(pool.map(ask, b.column("batch_id").to_pylist(), b.column("prompt").to_pylist()))
+                yield pa.RecordBatch.from_arrays([b.column("digest"), *(pa.array(t, pa.string()) for t in ([r for r, _ in told], [e for _, e in told]))], names=["digest", "response", "error"])
 
     return run
 
@@ -75,5 +76,5 @@ def enrich_with_ledger(prompts: DataFrame, fn: Callable[[int, str], str], path:
         waves = -(-n // wave_rows)
         for wave in range(waves):
             part = todo.where(F.pmod(F.xxhash64("digest"), F.lit(waves)) == wave)
-            part.mapInPandas(_called(fn, calls), LEDGER).write.mode("append").parquet(path)
+            part.mapInArrow(_called(fn, calls), LEDGER).write.mode("append").parquet(path)
     return keyed.join(replies(read_ledger(spark, path)), "digest", "left").select("batch_id", "response", "error", F.coalesce("n_calls", F.lit(0)).alias("n_calls"))

@@ -130,3 +130,31 @@ def test_compounds(spark):
     assert "machine learning" in got and "corp sells" in got
     assert not {"acme corp", "tax relief", "big tax"} & got
     assert K.compound_keywords(df.limit(0)).collect() == [] and df.select(F.lit(1)).count() == 150
+
+
+def test_hooks_and_scans_take_a_batch_in_small_pieces(monkeypatch):
+    import pyarrow as pa
+
+    from boardsmith.llm import secret_scan
+    from boardsmith.operators import enrich, ledger
+
+    n, text = 1000, "token = abcdefgh1234 " * 400  # 8 MB in one Arrow batch
+    batch = pa.RecordBatch.from_pydict({"batch_id": list(range(1, n + 1)), "prompt": [text] * n, "digest": ["d"] * n})
+    kept = {}
+
+    class Rows:
+        columns, schema, sparkSession = ["batch_id", "prompt"], None, None
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):  # noqa: N802
+            kept["run"] = run
+
+    monkeypatch.setattr(secret_scan, "prepare", lambda _: None)
+    enrich.enrich_batches(Rows(), enrich.echo)
+    runs = [kept["run"], ledger._called(lambda _, p: p, 2)]
+    secret_scan.redact(Rows(), "prompt")
+    for run in [*runs, kept["run"]]:
+        out = list(run(iter([batch if run is runs[1] else batch.select([0, 1])])))
+        assert sum(b.num_rows for b in out) == n and max(b.nbytes for b in out) < 5_000_000
