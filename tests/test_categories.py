@@ -92,3 +92,24 @@ def test_top_keywords_rule(spark):
     assert top[(1, 1)] == "apple"         # tf 2 x ln(3/1)
     assert "the" not in top.values()      # stop word
     assert top[(3, 1)] == "cherry" or top[(3, 1)] == "date"
+
+
+def test_top_keywords_leave_out_what_cannot_be_among_the_best(spark):
+    from boardsmith.operators import keywords as K
+
+    texts = [(i if i % 9 else None, None if i == 50 else " ".join(["common"] * (1 + i % 3) + [f"{chr(97 + i % 7)}mid", f"{chr(97 + i % 26)}{chr(97 + i // 26)}rare", "the", "zzstop"] * (1 + i % 2)))
+             for i in range(120)]
+    docs = spark.createDataFrame(texts + texts[:9], "doc_id int, text string")
+    stop = spark.createDataFrame([("the",), ("zzstop",), (None,)], "token string")
+    want = sorted(map(tuple, K.top_keywords(docs, k=2, stop=stop, common=0).collect()), key=str)  # a stop list above ``common``: nothing is left out
+    for common in (3, 5, 10, 1000):
+        assert sorted(map(tuple, K.top_keywords(docs, k=2, stop=stop, common=common).collect()), key=str) == want
+    # Of a document's words only those that may be among its best reach the join.
+    import pyarrow as pa
+
+    class Shared:
+        value = (["common"], [90], ["the"])
+
+    words = [{"token": w, "tf": n} for w, n in [("common", 3), ("rarea", 1), ("rareb", 1), ("the", 9)]]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [7], "t": pa.array([words], pa.list_(pa.struct([("token", pa.string()), ("tf", pa.int64())])))})
+    assert [r["token"] for out in K._candidates(Shared, 100, 4, 2, 0.0)(iter([batch])) for r in out.to_pylist()] == ["rarea", "rareb"]
