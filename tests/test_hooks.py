@@ -158,3 +158,17 @@ def test_hooks_and_scans_take_a_batch_in_small_pieces(monkeypatch):
     for run in [*runs, kept["run"]]:
         out = list(run(iter([batch if run is runs[1] else batch.select([0, 1])])))
         assert sum(b.num_rows for b in out) == n and max(b.nbytes for b in out) < 5_000_000
+
+
+def test_a_large_lexicon_is_joined_and_not_held_by_tasks(spark, monkeypatch):
+    from boardsmith.operators import phrases as P
+
+    df = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "X  a B"), (2, None), (3, ""), (4, "b c a b")], "id int, t string")
+    lex = spark.createDataFrame([("a b", "<ab>"), ("A  b", "<Ab>"), ("b c a", "<bca>"), ("x", "<x>"), ("  ", "<none>"), (None, "n")], "word string, replacement string")
+    want = sorted(phrase_replace(df, "t", lex, "out").collect(), key=str)
+
+    def refused(_):
+        raise AssertionError("the whole lexicon went into a trie")
+
+    monkeypatch.setattr(P, "trie", refused)
+    assert sorted(phrase_replace(df, "t", lex, "out", block_bytes=10).collect(), key=str) == want
