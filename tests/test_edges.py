@@ -103,3 +103,19 @@ def test_whole_runs_remove_stale_batches(spark, tmp):
     append_epoch(run(4), tmp + "/e", 1)
     append_epoch(run(2), tmp + "/e", 0)  # a replayed epoch replaces its own rows
     assert spark.read.parquet(tmp + "/e").groupBy("epoch").count().orderBy("epoch").collect() == [(0, 2), (1, 4)]
+
+
+def test_append_batches_writes_folders_by_range_and_settles_cut_off_writes(spark, tmp):
+    path = f"{tmp}/s"
+    rows = lambda: sorted((r.batch_id, r.v) for r in spark.read.parquet(path).collect())
+    append_batches(spark.range(300).selectExpr("id AS batch_id", "'a' AS v").coalesce(1), path, span=100)
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert len(files) == 3  # a folder of each batch before
+    append_batches(spark.createDataFrame([(5, "b"), (5, "c"), (300, "d")], "batch_id bigint, v string"), path, span=100)
+    want = [(i, "a") for i in range(300) if i != 5] + [(5, "b"), (5, "c"), (300, "d")]
+    assert rows() == sorted(want)
+    # The write of run 2 was cut off before it removed what it replaces: the latest run holds after the next write.
+    spark.createDataFrame([(200 + i, "x") for i in range(100)], "batch_id bigint, v string").write.parquet(f"{path}/run=2/batch_range=2")
+    append_batches(spark.createDataFrame([(250, "y"), (7, "z")], "batch_id bigint, v string"), path, span=100)
+    want = [(i, v) for i, v in want if i < 200 and i != 7 or i >= 300] + [(200 + i, "x") for i in range(100) if i != 50] + [(250, "y"), (7, "z")]
+    assert rows() == sorted(want)
