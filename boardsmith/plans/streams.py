@@ -16,6 +16,7 @@ from boardsmith.streaming.ingest import ingest_posts, read_landed, run_to_table
 from boardsmith.streaming.missing import missing_ids_stream
 from boardsmith.streaming.refine import LANDED, refine_rows_stream, refine_stream
 
+LANDED_ROWS = 50_000  # posts of a landed file: a micro-batch, two files, does not grow with the table
 WATERMARK = "3650 days"  # longer than the data: every repeat of a post id is a duplicate
 
 
@@ -72,7 +73,7 @@ def stream_refine_rows_q(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     posts = d.select(F.col("doc_id").alias("post_id"), F.concat("source", F.lit("-"), F.col("doc_id").cast("string")).alias("title"), F.replace("text", F.lit("\n"), F.lit(" ")).alias("contents"),
                      F.col("lang").alias("comments"), F.col("n_chars").alias("views"), F.lit("2025-01-01").alias("date_text"), F.lit(False).alias("end"))
-    posts.repartition(4, "post_id").write.parquet(landing)
+    posts.repartition(4, "post_id").write.option("maxRecordsPerFile", LANDED_ROWS).parquet(landing)
     run = lambda: refine_rows_stream(read_landed(spark, landing, LANDED, max_files=2), titled_reply, os.path.join(base, "out"), os.path.join(base, "ckpt"), size=TEXT_BATCH, lanes=8)
     run()
     spark.createDataFrame([(None, None, None, None, None, None, True)], LANDED).write.mode("append").parquet(landing)

@@ -43,19 +43,25 @@ LANDED = "post_id bigint, title string, contents string, comments string, views
 _NUMBERED = "batch_id bigint, row_idx bigint, post_id bigint, title string, contents string, comments string, views bigint, date_text string"
 
 
+FRAME_ROWS = 1000  # numbered posts handed on at once
+
+
 def _lane(size: int, lanes: int, wait_ms: int | None):
     """Numbers the posts of one lane; state: (its next batch, posts that wait as JSON rows)."""
 
     def run(key, frames, state: GroupState):
         lane = int(key[0])
         number, waiting = (state.get[0], json.loads(state.get[1])) if state.exists else (0, [])
-        out, ended = [], state.hasTimedOut
+        ended = state.hasTimedOut
 
-        def emit(rows):
+        def emitted(rows):
             nonlocal number
             batch = number * lanes + lane
-            out.extend((batch, batch * size + k, *r) for k, r in enumerate(rows))
             number += 1
+            return [(batch, batch * size + k, *r) for k, r in enumerate(rows)]
+
+        def frame(out):
+            return pd.DataFrame(out, columns=["batch_id", "row_idx", *POST]).astype({"batch_id": "int64", "row_idx": "int64", "post_id": "Int64", "views": "Int64"})
 
         arrived = []
         for pdf in frames:
@@ -63,18 +69,24 @@ def _lane(size: int, lanes: int, wait_ms: int | None):
             arrived += [[None if pd.isna(v) else (int(v) if c in ("post_id", "views") else v) for c, v in zip(POST, r, strict=True)]
                         for r in pdf.loc[~pdf["end"].fillna(False).astype(bool), list(POST)].itertuples(index=False)]
         # One order for any order of arrival inside the micro-batch, so a replay numbers alike.
-        waiting += sorted(arrived, key=lambda r: [(v is not None, v if v is not None else 0) for v in r])
-        while len(waiting) >= size:
-            emit(waiting[:size])
-            waiting = waiting[size:]
+        arrived.sort(key=lambda r: [(v is not None, v if v is not None else 0) for v in r])
+        waiting += arrived
+        del arrived
+        full, out = len(waiting) // size * size, []
+        for at in range(0, full, size):
+            out += emitted(waiting[at:at + size])
+            waiting[at:at + size] = [None] * size  # handed on: a lane's texts are held once
+            if len(out) >= FRAME_ROWS:
+                yield frame(out)
+                out = []
+        waiting = waiting[full:]
         if ended and waiting:
-            emit(waiting)
+            out += emitted(waiting)
             waiting = []
         state.update((number, json.dumps(waiting, ensure_ascii=False)))
         if waiting and wait_ms is not None:
             state.setTimeoutDuration(wait_ms)
-        frame = pd.DataFrame(out, columns=["batch_id", "row_idx", *POST])
-        yield frame.astype({"batch_id": "int64", "row_idx": "int64", "post_id": "Int64", "views": "Int64"})
+        yield frame(out)
 
     return run
 
