@@ -9,7 +9,9 @@ keywords owned in the round before goes to the category with the most such (post
 anchor.  Rounds end when one owns nothing new; what no anchor reaches is the ``REMAINDER``, a category after all others.
 
 Scale: a round counts the owned keywords of each post by category before posts meet the keywords without an owner, so no
-pairs of keywords are formed; a round's owners are written, and the next round reads only them.  Anchors are n rows.
+pairs of keywords are formed; a round's owners and the posts that hold them are written, and the next round reads only them and
+what is still free.  Rounds halve towards the end: a late round's written tables are small enough for Spark to broadcast, so it
+scans the free rows and shuffles none.  Anchors are n rows.
 Ranks inside categories cut (category, round, frequency, keyword), so one category may hold most keywords.
 """
 
@@ -27,6 +29,8 @@ from boardsmith.session import materialize
 # How a built category describes itself, and the name of the category of all that no anchor reaches.
 DESCRIPTION = "Posts about %s and related topics (%d posts)"
 REMAINDER = "other"
+HELD = 100_000  # owners of a round above which the rows still free are written again
+LATE = 8  # rounds of fewer owners before they are
 CHUNK = 1000  # keywords of a category in one row of the store
 
 
@@ -45,16 +49,22 @@ def category_members(refined: DataFrame, n: int = 10, id_col: str = "id", col: s
     top = freq.orderBy(F.desc("n_posts"), "keyword").limit(n).collect()  # n rows
     spark = refined.sparkSession
     anchors = spark.createDataFrame([(i, r["keyword"]) for i, r in enumerate(top, 1)], "ord int, name string")
-    owned = [anchors.select(F.col("name").alias("keyword"), "ord", F.lit(0).alias("hop"))]
-    while True:
-        near = pk.join(owned[-1].select("keyword", "ord"), "keyword").groupBy("post_id", "ord").agg(F.count(F.lit(1)).alias("pairs"))
-        free = pk.join(reduce(DataFrame.unionByName, owned).select("keyword"), "keyword", "left_anti")
+    owned, free, gained, late = [], pk, F.broadcast(anchors.select(F.col("name").alias("keyword"), "ord", F.lit(0).alias("hop"))), 0
+    n_gained = len(top)
+    while n_gained:
+        owned.append(gained)
+        late += 1
+        if n_gained > HELD or late > LATE:  # the rows still free are written, so that no later round shuffles the others
+            rows = materialize(free.join(gained.select("keyword", "ord"), "keyword", "left"), "free-keywords")
+            won, free, late = rows.where("ord IS NOT NULL"), rows.where("ord IS NULL").select("post_id", "keyword"), 0
+        else:
+            won, free = free.join(gained.select("keyword", "ord"), "keyword"), free.join(gained.select("keyword"), "keyword", "left_anti")
+        near = materialize(won.groupBy("post_id", "ord").agg(F.count(F.lit(1)).alias("pairs")), "near-posts")
         weight = free.join(near, "post_id").groupBy("keyword", "ord").agg(F.sum("pairs").alias("weight"))
         best = weight.groupBy("keyword").agg(F.max(F.struct("weight", (-F.col("ord")).alias("first"))).alias("b"))
         gained = materialize(best.select("keyword", (-F.col("b.first")).alias("ord"), F.lit(len(owned)).alias("hop")), "owners")
-        if gained.isEmpty():
-            break
-        owned.append(gained)
+        n_gained = gained.count()
+    owned = owned or [gained]
     own = reduce(DataFrame.unionByName, owned)
     named = F.broadcast(anchors.unionByName(spark.createDataFrame([(len(top) + 1, REMAINDER)], anchors.schema)))
     every = freq.join(own, "keyword", "left").withColumn("ord", F.coalesce("ord", F.lit(len(top) + 1)))

@@ -51,6 +51,30 @@ def test_owners_spread_in_rounds(spark):
     assert members(chain.limit(0), 3) == []
 
 
+def test_rounds_shuffle_no_keywords_of_all_posts_for_few_owners(spark, monkeypatch):
+    rows = [(i, f"k{i}; k{i + 1}") for i in range(4)] + [(90, "k0"), (91, "k0; m"), (91, "m; n"), (None, "n; o"), (92, None)]
+    rows += [(1000 + i, f"{i * 7919 ** 3 % 10 ** 12}x") for i in range(5000)]  # more bytes than Spark is let broadcast below
+    posts = spark.createDataFrame(rows, "id int, keywords string")
+    plans, write = [], C.materialize
+
+    def told(df, name="stage"):
+        plans.append((name, df._jdf.queryExecution().sparkPlan().toString()))
+        return write(df, name)
+
+    monkeypatch.setattr(C, "materialize", told)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        want = members(posts, 2)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r[3] for r in want} == {None, *range(4)} and len(want) == 5008
+    rounds = [p for name, p in plans if name in ("near-posts", "owners")]
+    assert len(rounds) >= 4 and not [p for p in rounds if "SortMergeJoin" in p or "ShuffledHashJoin" in p]
+    monkeypatch.setattr(C, "HELD", 0)  # every round writes what is still free
+    assert members(posts, 2) == want and [name for name, _ in plans].count("free-keywords") == 4
+
+
 def test_store_holds_all_keywords_in_chunks(spark):
     cats = sorted((c.ord, c.chunk_no, c.name, list(c.related_keywords), c.n_keywords) for c in C.build_categories(_ref(spark), n=2, chunk=3).collect())
     assert cats == [(1, 0, "a", ["a", "c", "d"], 3), (1, 1, "a", ["e"], 1), (2, 0, "b", ["b", "z"], 2), (3, 0, C.REMAINDER, ["q"], 1)]
