@@ -5,7 +5,7 @@ are suffix tuples (position, common prefix with the tuple before); each bucket i
 taking the buckets in symbol order makes them one monotone priority queue.  What a pass has sorted goes to queues as
 well, which the next pass takes bucket by bucket.  Queues above ``SPILL`` bytes live in temporary files, so of the
 tuples memory holds that many bytes a queue set and the bucket at hand; it also holds the text, its suffix types and, while the LMS
-substrings are named, about 32 bytes a symbol.  Shards of the usual size stay below ``SPILL`` and never reach the disk.
+suffixes are ordered, four bytes a suffix for each round.  Shards of the usual size stay below ``SPILL`` and never reach the disk.
 
 The reduced text of LMS names is ordered by the same induction's names, doubled until they cover ``depth``
 symbols: only repeats of ``depth`` matter here, so suffixes equal up to there stay in any order, and common-prefix
@@ -14,11 +14,14 @@ values are capped at ``depth``.
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 
 import numpy as np
 
 SPILL = 64 * 2**20
+PAIRS = 1 << 16  # neighbours whose common prefixes are taken at once
+HASHED = 1 << 17  # symbols whose LMS substrings are hashed at once, or one longer substring
 TUPLE = np.dtype([("pos", np.int32), ("lcp", np.uint16)])
 
 
@@ -98,27 +101,31 @@ class Sorter:
         self.run = np.minimum(turn - np.arange(n, dtype=np.int32) + 1, depth).astype(np.uint16)
         rises = np.append(text[1:] > text[:-1], True)
         self.small = rises[turn]  # S-type: smaller than the suffix after it
-        lms = self.small.copy()
-        lms[0] = False
-        lms[1:] &= ~self.small[:-1]
-        self.lms = np.flatnonzero(lms).astype(np.int32)
+        # whether the symbol before is there and of that type
+        self.leads_small, self.leads_large = np.append(False, self.small[:-1]), np.append(False, ~self.small[:-1])
+        self.lms = np.flatnonzero(self.small & self.leads_large).astype(np.int32)
 
-    def _induce(self, batch: np.ndarray, queues: Queues, small: bool, carry: np.ndarray) -> None:
+    def _induce(self, batch: np.ndarray, queues: Queues, small: bool, carry: np.ndarray | None) -> None:
         """Put the predecessors of the given type of a batch of sorted tuples into their buckets.
 
-        ``carry[c]``: least common prefix over what has been taken since bucket c last got a tuple (-1: it never did).
+        ``carry[c]``: least common prefix over what has been taken since bucket c last got a tuple (-1: it never did); None: order only.
         """
-        gap = batch["lcp"]
-        ok = batch["pos"] > 0
-        before = np.where(ok, batch["pos"] - 1, 0)
-        ok &= self.small[before] == small
-        at = np.flatnonzero(ok)
-        before = before[at]
+        pos = batch["pos"]
+        at = np.flatnonzero(self.leads_small[pos] if small else self.leads_large[pos])
+        before = pos[at] - 1
         symbol = self.text[before]
         order = np.argsort(symbol, kind="stable")
-        kinds, first = np.unique(symbol[order], return_index=True)
+        symbol = symbol[order]
+        cuts = [0, *(np.flatnonzero(symbol[1:] != symbol[:-1]) + 1).tolist(), len(at)] if len(at) else [0]
+        runs = [(int(symbol[lo]), lo, hi) for lo, hi in itertools.pairwise(cuts)]
+        if carry is None:
+            put = tuples(before[order], 0)
+            for c, lo, hi in runs:
+                queues.put(c, put[lo:hi].copy())
+            return
+        gap = batch["lcp"]
         least = int(gap.min())
-        got = dict(zip(kinds.tolist(), np.split(order, first[1:]), strict=True)) if len(kinds) else {}
+        got = {c: order[lo:hi] for c, lo, hi in runs}
         rest = carry > least
         for c in got:
             rest[c] = False
@@ -136,9 +143,10 @@ class Sorter:
         for c, low_end in ends.items():
             carry[c] = low_end
 
-    def _pass(self, seeds: Queues | Turned, small: bool) -> Queues:
+    def _pass(self, seeds: Queues | Turned, small: bool, prefixes: bool) -> Queues:
         """Sorted tuples of one type per symbol; ``seeds`` are the other type's, sorted, which open each bucket's second part."""
-        queues, carry, out = Queues(self.symbols, self.spill), np.full(self.symbols, -1, np.int32), Queues(self.symbols, self.spill)
+        queues, out = Queues(self.symbols, self.spill), Queues(self.symbols, self.spill)
+        carry = np.full(self.symbols, -1, np.int32) if prefixes else None
         for c in range(self.symbols - 1, -1, -1) if small else range(self.symbols):
             last, fresh = -1, True
             while len(batch := queues.take(c)):
@@ -162,72 +170,111 @@ class Sorter:
             out.put(c, part)
         return out
 
-    def _both(self, pos: np.ndarray, lcp: np.ndarray | int) -> tuple[Queues, Queues]:
-        large = self._pass(self._by_symbol(pos, lcp), small=False)
-        return large, self._pass(Turned(large), small=True)
+    def _both(self, pos: np.ndarray, lcp: np.ndarray | int, prefixes: bool = True) -> tuple[Queues, Queues]:
+        large = self._pass(self._by_symbol(pos, lcp), False, prefixes)
+        return large, self._pass(Turned(large), True, prefixes)
 
     def _names(self) -> tuple[np.ndarray, np.ndarray]:
         """Sorted order of the LMS substrings (indices into ``lms``), and the name of each in text order."""
         text, lms = self.text, self.lms
-        _, small = self._both(lms[np.argsort(text[lms], kind="stable")], 0)
-        is_lms = np.zeros(len(text), bool)
-        is_lms[lms] = True
+        _, small = self._both(lms[np.argsort(text[lms], kind="stable")], 0, prefixes=False)
+        place = np.full(len(text), -1, np.int32)  # of an LMS position in ``lms``
+        place[lms] = np.arange(len(lms), dtype=np.int32)
         end = lms[-1]  # the last separator has no symbol after it and comes first
         found = [np.array([end], np.int32)]
         for c in range(self.symbols):
             pos = small.get(c)["pos"][::-1]
-            found.append(pos[is_lms[pos] & (pos != end)])
-        found = np.concatenate(found)
-        order = np.searchsorted(lms, found)
+            found.append(pos[(place[pos] >= 0) & (pos != end)])
+        order = place[np.concatenate(found)]
         until = np.append(lms[1:], len(text) - 1)
         size = until - lms + 1
-        weight = np.cumprod(np.full(len(text), 0x9E3779B97F4A7C15, np.uint64))
-        inverse = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-        back = np.cumprod(np.full(len(text), inverse, np.uint64))
+        digest = np.empty(len(lms), np.uint64)
         table = np.random.default_rng(7).integers(1, 2**63, self.symbols, np.uint64)
-        total = np.concatenate([[np.uint64(0)], np.cumsum(table[text] * weight)])
-        digest = (total[until + 1] - total[lms]) * back[lms]
+        at = 0
+        while at < len(lms):
+            to = max(at + 1, int(np.searchsorted(until, lms[at] + HASHED)))
+            part = text[lms[at]:until[to - 1] + 1]
+            weight = np.cumprod(np.full(len(part), 0x9E3779B97F4A7C15, np.uint64))
+            total = np.concatenate([[np.uint64(0)], np.cumsum(table[part] * weight)])
+            back = np.cumprod(np.full(len(part), pow(0x9E3779B97F4A7C15, -1, 2**64), np.uint64))
+            digest[at:to] = (total[until[at:to] + 1 - lms[at]] - total[lms[at:to] - lms[at]]) * back[lms[at:to] - lms[at]]
+            at = to
         fresh = np.append(True, (digest[order][1:] != digest[order][:-1]) | (size[order][1:] != size[order][:-1]))
-        name = np.empty(len(lms), np.int64)
-        name[order] = np.cumsum(fresh) - 1
+        name = np.empty(len(lms), np.int32)
+        name[order] = np.cumsum(fresh, dtype=np.int32) - 1
         return order, name
 
     def _sorted_lms(self) -> tuple[np.ndarray, np.ndarray]:
-        """LMS suffixes in order, each with its common prefix with the one before."""
-        order, rank = self._names()
-        levels, step, n = [rank], 1, len(rank)
-        while rank.max() + 1 < n and 2 * step <= self.depth:
-            after = np.append(rank[step:], np.full(min(step, n), -1, rank.dtype))[:n]
-            order = np.lexsort((after, rank))
-            fresh = np.append(True, (rank[order][1:] != rank[order][:-1]) | (after[order][1:] != after[order][:-1]))
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(fresh) - 1
+        """LMS suffixes in order, each with its common prefix with the one before.
+
+        A rank is the place of a name's first bearer; a round sorts only the suffixes that share theirs and agree on less than ``depth`` symbols.
+        """
+        order, name = self._names()
+        n = len(order)
+        top = np.append(self.lms, np.int32(len(self.text) - 1))
+        split = np.ones(n, np.int8)  # the round that told a suffix from the one before it; -1: none yet
+        split[1:] = np.where(name[order[1:]] != name[order[:-1]], 0, -1)
+        heads = np.flatnonzero(split == 0)
+        split[0] = 0
+        rank = np.empty(n, np.int32)
+        rank[order] = np.repeat(np.append(0, heads), np.diff(np.concatenate([[0], heads, [n]])))
+        del name, heads
+        levels, step = [rank], 1
+        while 2 * step <= self.depth:
+            shares = split < 0
+            shares[:-1] |= shares[1:]  # the first bearer too
+            open_ = np.flatnonzero(shares).astype(np.int32)
+            own = order[open_]
+            live = top[np.minimum(own + step, n)] - top[own] < self.depth
+            open_, own = open_[live], own[live]
+            if not len(own):
+                break
+            key = rank[own].astype(np.int64)
+            key *= n + 1
+            after = own + np.int32(step)
+            key += np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+            turn = np.argsort(key)
+            own, key = own[turn], key[turn]
+            order[open_] = own
+            opens = np.append(True, key[1:] != key[:-1])
+            del after, turn, key
+            told = open_[opens]
+            split[told[split[told] < 0]] = len(levels)
+            rank = rank.copy()
+            rank[own] = np.repeat(told, np.diff(np.append(np.flatnonzero(opens), len(own))))
             levels.append(rank)
             step *= 2
-        if len(levels) == 1:
-            order = np.argsort(rank, kind="stable")
-        a, b = order[:-1].copy(), order[1:].copy()
-        a0 = a.copy()
-        for i in range(len(levels) - 1, -1, -1):
-            inside = (a < n) & (b < n)
-            same = np.zeros(len(a), bool)
-            same[inside] = levels[i][a[inside]] == levels[i][b[inside]]
-            a[same] += 1 << i
-            b[same] += 1 << i
-        top = np.append(self.lms, len(self.text) - 1)
-        common = (top[np.minimum(a, n)] - top[a0]).astype(np.int64)
-        p, q = top[np.minimum(a, n)].astype(np.int64), top[np.minimum(b, n)].astype(np.int64)
+        common = np.full(n, self.depth, np.uint16)  # of those not told apart
+        common[0] = 0
+        told = np.flatnonzero(split[1:] >= 0) + 1
+        for i in range(0, len(told), PAIRS):
+            at = told[i:i + PAIRS]
+            common[at] = self._common(order[at - 1], order[at], split[at], levels, top)
+        return self.lms[order], common
+
+    def _common(self, above: np.ndarray, below: np.ndarray, told: np.ndarray, levels: list[np.ndarray], top: np.ndarray) -> np.ndarray:
+        """Common prefixes, up to ``depth``, of pairs of LMS suffixes that the given rounds told apart."""
+        n, last = len(self.lms), len(self.text)
+        known = np.where(told > 0, 1 << np.maximum(told.astype(np.int64) - 1, 0), 0)  # names that agree for sure
+        a, b = above + known, below + known
+        for i in range(len(levels) - 3, -1, -1):
+            some = np.flatnonzero((told >= i + 2) & (a < n) & (b < n))
+            some = some[levels[i][a[some]] == levels[i][b[some]]]
+            a[some] += 1 << i
+            b[some] += 1 << i
+        a, b = np.minimum(a, n), np.minimum(b, n)
+        common = (top[a] - top[above]).astype(np.int64)
         live = np.flatnonzero(common < self.depth)
-        last = len(self.text)
+        p, q, far = top[a[live]].astype(np.int64), top[b[live]].astype(np.int64), common[live]
         while len(live):
-            inside = (p[live] < last) & (q[live] < last)
-            live = live[inside]
-            live = live[self.text[p[live]] == self.text[q[live]]]
-            common[live] += 1
-            p[live] += 1
-            q[live] += 1
-            live = live[common[live] < self.depth]
-        return self.lms[order], np.minimum(np.append(0, common), self.depth).astype(np.uint16)
+            go = np.flatnonzero((p < last) & (q < last))
+            go = go[self.text[p[go]] == self.text[q[go]]]
+            live, p, q, far = live[go], p[go] + 1, q[go] + 1, far[go] + 1
+            common[live] = far
+            go = far < self.depth
+            if not go.all():
+                live, p, q, far = live[go], p[go], q[go], far[go]
+        return np.minimum(common, self.depth)
 
     def repeated(self) -> np.ndarray:
         """Mask of the positions whose next ``depth`` symbols also start somewhere else."""

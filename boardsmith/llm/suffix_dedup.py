@@ -25,9 +25,11 @@ character of which some byte is removed goes as a whole.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +43,7 @@ from boardsmith.session import materialize
 SHARD_BYTES = 4_000_000
 GROUP_BYTES = 4_000_000  # bytes of the distinct segments of one anchor before they are dealt again
 DEAL = 4  # cells into which the offsets of such an anchor are cut in each round
-BLOCK = 1 << 19  # bytes that are hashed at once; a longer text is taken in overlapping blocks
+BLOCK = 1 << 17  # bytes that are hashed at once; a longer text is taken in overlapping blocks
 _BASE = 0x9E3779B97F4A7C15
 _TABLE = np.random.default_rng(11).integers(1, 2**63, 256, np.uint64)
 
@@ -139,13 +141,25 @@ def _segments(least: int):
 def _cut_out(batches):
     """Rows (text, wanted segments) to the segments' bytes."""
     for b in batches:
-        for text, wanted in zip(b.column("text").cast(pa.binary()), b.column("wanted"), strict=True):
-            data, rows = text.as_py(), wanted.as_py()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r["anchor"] for r in rows], pa.int64()), pa.array([r["content"] for r in rows], pa.int64()),
-                 pa.array([r["n"] for r in rows], pa.int64()),
-                 pa.array([data[r["first"]:r["first"] + r["size"]] for r in rows], pa.binary()),
-                 pa.array([r["spot"] for r in rows], pa.int64())], ["anchor", "content", "n", "bytes", "spot"])
+        wanted = b.column("wanted")
+        fields = dict(zip((f.name for f in wanted.type.value_type), wanted.flatten().flatten(), strict=True))
+        spots = zip(fields["first"].to_pylist(), fields["size"].to_pylist(), strict=True)
+        done, cut, size = 0, [], 0
+        for text, n in zip(b.column("text").cast(pa.binary()), wanted.value_lengths().to_pylist(), strict=True):
+            data = text.as_py()
+            for first, length in itertools.islice(spots, n):
+                cut.append(data[first:first + length])
+                size += length
+            if size >= SHARD_BYTES:
+                yield _cut_rows(fields, done, cut)
+                done, cut, size = done + len(cut), [], 0
+        if cut:
+            yield _cut_rows(fields, done, cut)
+
+
+def _cut_rows(fields: dict, at: int, cut: list[bytes]) -> pa.RecordBatch:
+    anchor, content, n, spot = (fields[c].slice(at, len(cut)) for c in ("anchor", "content", "n", "spot"))
+    return pa.RecordBatch.from_arrays([anchor, content, n, pa.array(cut, pa.binary()), spot], ["anchor", "content", "n", "bytes", "spot"])
 
 
 ROWS = "anchor bigint, content bigint, n bigint, bytes binary, spot bigint"
@@ -176,34 +190,28 @@ def _pieces(least: int, width: int):
 RANGES = "anchor bigint, content bigint, ranges array<struct<lo:bigint,hi:bigint>>"
 
 
-def _runs(mask: np.ndarray, least: int) -> list[dict]:
-    """Byte ranges covered by the windows that start where ``mask`` is set."""
-    at = np.flatnonzero(mask)
-    if not len(at):
-        return []
-    gaps = np.flatnonzero(np.diff(at) > least)
-    lo, hi = at[np.append(0, gaps + 1)], at[np.append(gaps, len(at) - 1)] + least
-    return [{"lo": int(a), "hi": int(b)} for a, b in zip(lo, hi, strict=True)]
-
-
 def _shard(rows: list[tuple[int, int, int, bytes]], least: int):
-    text = np.zeros(sum(len(r[3]) + 1 for r in rows), np.uint16)
-    at = 0
-    for *_, data in rows:
-        text[at:at + len(data)] = np.frombuffer(data, np.uint8)
-        text[at:at + len(data)] += 1
-        at += len(data) + 1
+    anchor, content, n, data = zip(*rows, strict=True)
+    text = np.frombuffer(b"\0".join([*data, b""]), np.uint8).astype(np.uint16) + 1
+    size = np.array([len(d) for d in data])
+    end = np.cumsum(size + 1) - 1
+    text[end] = 0
     again = Sorter(text, least).repeated()
-    at, out = 0, []
-    for anchor, content, n, data in rows:
-        mask = again[at:at + len(data) - least + 1]
-        out.append((anchor, content, _runs(np.ones(len(mask), bool) if n > 1 else mask, least)))
-        at += len(data) + 1
-    kept = [r for r in out if r[2]]
-    cols = list(zip(*kept, strict=True)) if kept else [[], [], []]
-    kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
-    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], kind)],
-                                      ["anchor", "content", "ranges"])
+    again |= np.repeat(np.array(n) > 1, size + 1)
+    again &= np.arange(least, len(text) + least) <= np.repeat(end, size + 1)  # windows that end inside their segment
+    # Byte ranges covered by such windows.  Those of two segments are more than ``least`` bytes apart.
+    at = np.flatnonzero(again)
+    gaps = np.flatnonzero(np.diff(at) > least)
+    lo = at[np.append(0, gaps + 1)] if len(at) else at
+    hi = at[np.append(gaps, len(at) - 1)] + least if len(at) else at
+    own = np.searchsorted(end, lo)
+    first = (end - size)[own]
+    kept = np.unique(own)
+    ranges = pa.StructArray.from_arrays([pa.array(lo - first), pa.array(hi - first)], ["lo", "hi"])
+    offsets = pa.array(np.append(np.searchsorted(own, kept), len(own)), pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(anchor, pa.int64()).take(pa.array(kept)), pa.array(content, pa.int64()).take(pa.array(kept)), pa.ListArray.from_arrays(offsets, ranges)],
+        ["anchor", "content", "ranges"])
 
 
 def _sorted_shards(least: int):
@@ -297,14 +305,21 @@ def _with_id(batches):
         yield pa.RecordBatch.from_arrays([pa.array([text_id(t.as_py() or b"") for t in texts], pa.binary()), b.column(0)], ["tid", "text"])
 
 
-def _merged(ranges: list[dict]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for lo, hi in sorted((r["lo"], r["hi"]) for r in ranges or ()):
-        if out and lo <= out[-1][1]:
-            out[-1] = (out[-1][0], max(hi, out[-1][1]))
-        else:
-            out.append((lo, hi))
-    return out
+def _merged(column: pa.ListArray) -> list[list[tuple[int, int]]]:
+    """Each row's ranges in order, joined where they meet; none for null."""
+    count = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    flat = column.flatten()
+    if not len(flat):
+        return [[] for _ in count]
+    lo, hi = (pc.struct_field(flat, c).to_numpy(zero_copy_only=False) for c in ("lo", "hi"))
+    base = np.repeat(np.arange(len(count)) * (int(hi.max()) + 1), count)  # a row's ranges lie after those of the row before
+    order = np.argsort(lo + base)
+    lo, reach = (lo + base)[order], np.maximum.accumulate((hi + base)[order])
+    opens = np.flatnonzero(np.append(True, lo[1:] > reach[:-1]))
+    until = np.append(opens[1:], len(lo)) - 1
+    pairs = list(zip((lo[opens] - base[opens]).tolist(), (reach[until] - base[opens]).tolist(), strict=True))
+    ends = np.searchsorted(opens, np.cumsum(count)).tolist()
+    return [pairs[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 def _kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -333,9 +348,9 @@ def _stretches(least: int):
     def run(batches):
         for b in batches:
             rows = []
-            for tid, text, n, ranges in zip(*b.columns, strict=True):
-                data = (text.as_py() or "").encode()
-                rows += [(tid.as_py(), lo, data[lo:hi], text_id(data[lo:hi])) for lo, hi in _merged(ranges.as_py()) if hi - lo >= least] * min(n.as_py(), 2)
+            for tid, text, n, spans in zip(b.column(0), b.column(1).cast(pa.binary()), b.column(2), _merged(b.column(3)), strict=True):
+                data = text.as_py() or b""
+                rows += [(tid.as_py(), lo, data[lo:hi], text_id(data[lo:hi])) for lo, hi in spans if hi - lo >= least] * min(n.as_py(), 2)
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.binary(), pa.int64(), pa.binary(), pa.binary()], strict=True)], ["tid", "lo", "text", "sid"])
 
@@ -362,10 +377,9 @@ REPORT = "tid binary, n_removed bigint, n_spans bigint, kept_sha256 string, n_pa
 def _report(batches):
     for b in batches:
         rows = []
-        for tid, text, ranges, shorter in zip(*b.columns, strict=True):
-            data, spans = (text.as_py() or "").encode(), _merged(ranges.as_py())
-            rows.append((tid.as_py(), sum(hi - lo for lo, hi in spans), len(spans), hashlib.sha256(_kept(data, spans)).hexdigest(),
-                         sum(hi - lo for lo, hi in _merged(shorter.as_py()))))
+        for tid, text, spans, shorter in zip(b.column(0), b.column(1).cast(pa.binary()), _merged(b.column(2)), _merged(b.column(3)), strict=True):
+            rows.append((tid.as_py(), sum(hi - lo for lo, hi in spans), len(spans), hashlib.sha256(_kept(text.as_py() or b"", spans)).hexdigest(),
+                         sum(hi - lo for lo, hi in shorter)))
         cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.int64()], strict=True)],
                                          ["tid", "n_removed", "n_spans", "kept_sha256", "n_passage_bytes"])
@@ -421,9 +435,9 @@ def remove_repeats(docs: DataFrame, least: int, text_col: str = "text") -> DataF
     def cut(batches):
         for b in batches:
             out = []
-            for text, r in zip(b.column(place).cast(pa.binary()), b.column(b.num_columns - 1), strict=True):
+            for text, found in zip(b.column(place).cast(pa.binary()), _merged(b.column(b.num_columns - 1)), strict=True):
                 data = text.as_py()
-                out.append(data if data is None or not r.is_valid else _kept(data, _whole_characters(data, _merged(r.as_py()))))
+                out.append(data if data is None or not found else _kept(data, _whole_characters(data, found)))
             cols = [pa.array(out, pa.binary()).cast(pa.string()) if i == place else b.column(i) for i in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:-1])
 

@@ -4,10 +4,11 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 
 import brute
-from boardsmith.llm import near_dedup, neighbours, packing, piece_encoding, quality, secret_scan, suffix_dedup, token_counts, tokens
+from boardsmith.llm import induced_sort, near_dedup, neighbours, packing, piece_encoding, quality, secret_scan, suffix_dedup, token_counts, tokens
 from boardsmith.llm.induced_sort import Sorter
 
 WORD = P.path("word_bpe_49k.json")
@@ -187,6 +188,65 @@ def test_induced_sort_random():
         assert by_sorter(segments, depth, 64) == by_sorter(segments, depth, 64 << 20) == want
 
 
+def test_suffix_order_sorts_only_what_is_not_told_apart(monkeypatch):
+    rng, count = random.Random(4), []
+
+    class Counting:
+        def __getattr__(self, name):
+            f = getattr(np, name)
+            if name not in ("argsort", "lexsort"):
+                return f
+            return lambda a, *args, **kw: (count.append(len(a[0]) if name == "lexsort" else len(a)), f(a, *args, **kw))[1]
+
+    passage, tail = (bytes(rng.choices(range(97, 123), k=n)) for n in (300, 40))
+    segments = [bytes(rng.choices(range(97, 123), k=2_000)) + p for p in (passage, passage + tail, b"", tail, b"ab" * 150) for _ in range(2)]
+    text = np.concatenate([x for s in segments for x in (np.frombuffer(s, np.uint8).astype(np.uint16) + 1, np.zeros(1, np.uint16))])
+    sorter = Sorter(text, 200)
+    names = sorter._names()
+    monkeypatch.setattr(sorter, "_names", lambda: names)
+    monkeypatch.setattr(induced_sort, "np", Counting())
+    order, common = sorter._sorted_lms()
+    assert sum(count) < len(names[0])  # one round over all suffixes would be as many
+    raw = text.tolist()
+    suffixes = [raw[i:i + 200] for i in order]
+    assert suffixes == sorted(suffixes)
+    for a, b, n in zip(suffixes, suffixes[1:], common[1:].tolist(), strict=False):
+        assert n == next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+
+def test_ranges_are_joined_for_a_whole_batch():
+    rng = random.Random(5)
+    rows = [None, [], [(0, 5)], [(7, 9), (0, 3), (3, 7)]] + [[(lo, lo + rng.randint(1, 30)) for lo in rng.choices(range(200), k=rng.randint(0, 12))] for _ in range(200)]
+    kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
+    column = pa.array([None if r is None else [{"lo": lo, "hi": hi} for lo, hi in r] for r in rows], kind)
+    want = []
+    for r in rows:
+        spans = []
+        for lo, hi in sorted(r or []):
+            if spans and lo <= spans[-1][1]:
+                spans[-1] = (spans[-1][0], max(hi, spans[-1][1]))
+            else:
+                spans.append((lo, hi))
+        want.append(spans)
+    assert suffix_dedup._merged(column) == want
+    assert suffix_dedup._merged(column.slice(3, 50)) == want[3:53]
+    assert suffix_dedup._merged(column.slice(0, 2)) == [[], []]
+
+
+def test_segments_are_cut_out_in_bounded_batches(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 20)
+    texts = ["abcdefghij" * 3, "é" * 10, "x" * 9]
+    wanted = [[(1, 2, 2, 10, 0, 4), (3, 4, 1, 30, 0, 5)], [(5, 6, 1, 8, 4, 0)], [(7, 8, 3, 9, 0, 1)]]
+    fields = ("anchor", "content", "n", "size", "first", "spot")
+    kind = pa.list_(pa.struct([(f, pa.int64()) for f in fields]))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([[dict(zip(fields, w, strict=True)) for w in ws] for ws in wanted], kind)], ["text", "wanted"])
+    got = list(suffix_dedup._cut_out([batch, batch.slice(2, 1)]))
+    assert [b.num_rows for b in got] == [2, 2, 1]
+    rows = [tuple(r.values()) for b in got for r in b.to_pylist()]
+    assert rows[:4] == [(a, c, n, t.encode()[first:first + size], spot) for t, ws in zip(texts, wanted, strict=True) for a, c, n, size, first, spot in ws]
+    assert rows[4] == rows[3]
+
+
 REPEATS = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
